@@ -2,20 +2,27 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import read_table
 from .license_scan import scan_licenses
 from .secret_scan import scan_secrets
+from .token_output import round_trip
 
 
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(read_table(spark, sf_dir, "documents"))
 
 
+def op6_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = round_trip(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return files.select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op4_license_scan, op7_secret_scan)}
+QUERIES = {f.__name__: f for f in (op4_license_scan, op6_token_output, op7_secret_scan)}
 ORACLE_SQL: dict[str, str] = {}

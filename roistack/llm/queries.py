@@ -5,6 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from . import byte_bpe
 from .common import read_table
 from .license_scan import scan_licenses
 from .secret_scan import scan_secrets
@@ -24,5 +25,10 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op4_license_scan, op6_token_output, op7_secret_scan)}
+def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    return byte_bpe.digests(byte_bpe.round_trip(read_table(spark, sf_dir, "documents"), ranks, pattern))
+
+
+QUERIES = {f.__name__: f for f in (op4_license_scan, op6_token_output, op7_secret_scan, op8_byte_bpe)}
 ORACLE_SQL: dict[str, str] = {}

@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import NON_SPACE, byte_table, chunks, fold_case, materialize, scratch_path, text_bytes, words
+from .piecewise import PieceEncoder, binary_rows, row_bytes
 
 MAGIC = b"HUF1"
 #: Ids between two checkpoints.
@@ -42,67 +43,29 @@ _LETTER = byte_table((0x61, 0x7A))
 _MARK = byte_table((0x21, 0x2F), (0x3A, 0x40), (0x5B, 0x60), (0x7B, 0x7E))
 
 
-class WordEncoder:
-    """Encodes words once and keeps their ids; a text's ids are those of its words in turn.
+class WordEncoder(PieceEncoder):
+    """Words between ASCII white space, cut again where an ASCII letter meets a mark, in lower case.
 
-    The tokenizer splits before its merges at white space and where a letter meets a mark, so that
-    encoding the pieces alone gives the ids of the whole text.
+    The tokenizer splits at all these places before its merges, and lower-cases, so the ids are those of the whole text.
     """
 
     def __init__(self, path: str, keep: int = 300_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
+        super().__init__(keep)
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.keep = keep
-        self.clear()
-
-    def clear(self) -> None:
-        self.slots: dict[str, int] = {}
-        self.flat, self.used = np.zeros(1 << 16, np.uint32), 0
-        self.first = [0]
-
-    def add(self, fresh: list[str]) -> None:
-        for i in range(0, len(fresh), 20_000):
-            part = fresh[i : i + 20_000]
-            found = [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
-            ids = np.fromiter((x for f in found for x in f), np.uint32)
-            while self.used + len(ids) > len(self.flat):
-                self.flat = np.concatenate([self.flat, np.zeros(len(self.flat), np.uint32)])
-            self.flat[self.used : self.used + len(ids)] = ids
-            for word, f in zip(part, found, strict=True):
-                self.slots[word] = len(self.first) - 1
-                self.used += len(f)
-                self.first.append(self.used)
-
-    def encode(self, data: np.ndarray, offsets: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all rows, each row's with ``end`` appended, and the number of each row's."""
+
+    def cut(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         data = fold_case(data)
         starts, ends, _ = words(data, offsets, NON_SPACE)
-        cut = np.flatnonzero(_LETTER[data[:-1]] & _MARK[data[1:]]) + 1
-        cut = cut[~np.isin(cut, offsets)] if len(cut) else cut
-        starts, ends = np.sort(np.concatenate([starts, cut])), np.sort(np.concatenate([ends, cut]))
-        size = ends - starts
-        bounds = np.concatenate([[0], np.cumsum(size)])
-        packed = data[np.repeat(starts - bounds[:-1], size) + np.arange(bounds[-1])]
-        listed = pa.Array.from_buffers(pa.large_string(), len(size), [None, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(packed)]).dictionary_encode()
-        names = listed.dictionary.to_pylist()
-        if len(self.slots) > self.keep:
-            self.clear()
-        self.add([w for w in names if w not in self.slots])
-        slots = np.fromiter((self.slots[w] for w in names), np.int64, len(names))
-        first = np.array(self.first, np.int64)
-        at = slots[listed.indices.to_numpy()] if len(names) else np.zeros(0, np.int64)
-        count = first[at + 1] - first[at]
-        before = np.concatenate([[0], np.cumsum(count)])
-        row = np.searchsorted(offsets, starts, "right") - 1
-        n_rows = len(offsets) - 1
-        per_row = np.bincount(row, weights=count, minlength=n_rows).astype(np.int64) + 1
-        source = np.repeat(first[at] - before[:-1], count) + np.arange(before[-1])
-        ids = np.full(int(per_row.sum()), end, np.uint32)
-        ids[np.arange(before[-1]) + np.repeat(row, count)] = self.flat[source]
-        return ids, per_row
+        inner = np.flatnonzero(_LETTER[data[:-1]] & _MARK[data[1:]]) + 1
+        inner = inner[~np.isin(inner, offsets)]
+        return data, np.sort(np.concatenate([starts, inner])), np.sort(np.concatenate([ends, inner]))
+
+    def encode_pieces(self, pieces: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
 
 
 @functools.lru_cache(1)
@@ -111,20 +74,6 @@ def encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
 
 
-def binary_rows(data: np.ndarray, sizes: np.ndarray) -> pa.Array:
-    """A binary column whose rows are consecutive pieces of ``data``."""
-    bounds = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
-    return pa.Array.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(data))]).cast(pa.binary())
-
-
-def row_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    column = column.cast(pa.large_binary())
-    offsets = np.frombuffer(column.buffers()[1], np.int64, len(column) + 1, column.offset * 8)
-    data = column.buffers()[2]
-    data = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
-    return data[offsets[0] : offsets[-1]], offsets - offsets[0]
-
-
 # --- the code ------------------------------------------------------------------
 
 

@@ -4,14 +4,21 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import byte_bpe
 from .common import read_table
 from .license_scan import scan_licenses
+from .lm_score import score_documents
 from .secret_scan import scan_secrets
 from .token_output import round_trip
 
 
+def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2
+    return score_documents(read_table(spark, sf_dir, "documents"), held_out)
+
+
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(read_table(spark, sf_dir, "documents"))
 
@@ -30,5 +37,5 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(byte_bpe.round_trip(read_table(spark, sf_dir, "documents"), ranks, pattern))
 
 
-QUERIES = {f.__name__: f for f in (op4_license_scan, op6_token_output, op7_secret_scan, op8_byte_bpe)}
+QUERIES = {f.__name__: f for f in (op3_lm_score, op4_license_scan, op6_token_output, op7_secret_scan, op8_byte_bpe)}
 ORACLE_SQL: dict[str, str] = {}

@@ -65,7 +65,11 @@ class WordEncoder(PieceEncoder):
         return data, np.sort(np.concatenate([starts, inner])), np.sort(np.concatenate([ends, inner]))
 
     def encode_pieces(self, pieces: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+        # words of a to z alone are what normalising and splitting leave as they are: only the merges are to be done
+        model = self.tokenizer.model
+        plain = [w.isascii() and w.isalpha() for w in pieces]
+        others = iter(self.tokenizer.encode_batch_fast([w for w, p in zip(pieces, plain, strict=True) if not p], add_special_tokens=False))
+        return [[t.id for t in model.tokenize(w)] if p else next(others).ids for w, p in zip(pieces, plain, strict=True)]
 
 
 @functools.lru_cache(1)

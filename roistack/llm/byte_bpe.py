@@ -62,7 +62,7 @@ _SPACE_LEADS[[0xE1, 0xE2, 0xE3]] = True
 class BytePairEncoder(PieceEncoder):
     """``ranks``: the public rank file; ``pattern``: splits a text before the merges."""
 
-    def __init__(self, ranks: str, pattern: str, keep: int = 300_000, longest: int = 400, memory: str = "300MB"):
+    def __init__(self, ranks: str, pattern: str, keep: int = 200_000, longest: int = 400, memory: str = "160MB"):
         super().__init__(keep)
         with open(ranks, "rb") as lines:
             self.ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in lines if line.strip())}
@@ -165,19 +165,27 @@ def encoder(ranks: str, pattern: str) -> BytePairEncoder:
     return BytePairEncoder(ranks, pattern)
 
 
+def _texts(documents: DataFrame) -> DataFrame:
+    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+
+
+def _encoded(batch: pa.RecordBatch, enc: BytePairEncoder) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
+    """Pieces of about 1 MB of text: the rows' doc_id, all their ids and the number of each row's."""
+    data, offsets = text_bytes(batch.column(1))
+    for i, j in chunks(offsets):
+        yield batch.column(0).slice(i, j - i), *enc.encode(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
+
+
 def encode_texts(documents: DataFrame, ranks: str, pattern: str) -> DataFrame:
     """doc_id, n_tokens and ids (little-endian unsigned 32 bits) of each row."""
-    texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(ranks, pattern)
         for batch in batches:
-            data, offsets = text_bytes(batch.column(1))
-            for i, j in chunks(offsets, 4 << 20):
-                ids, sizes = enc.encode(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
-                yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0).slice(i, j - i), "n_tokens": sizes, "ids": binary_rows(ids.astype("<u4").view(np.uint8), 4 * sizes)})
+            for doc_id, ids, sizes in _encoded(batch, enc):
+                yield pa.RecordBatch.from_pydict({"doc_id": doc_id, "n_tokens": sizes, "ids": binary_rows(ids.astype("<u4").view(np.uint8), 4 * sizes)})
 
-    return texts.mapInArrow(run, "doc_id long, n_tokens long, ids binary")
+    return _texts(documents).mapInArrow(run, "doc_id long, n_tokens long, ids binary")
 
 
 def decode_ids(encoded: DataFrame, ranks: str, pattern: str) -> DataFrame:
@@ -187,7 +195,7 @@ def decode_ids(encoded: DataFrame, ranks: str, pattern: str) -> DataFrame:
         enc = encoder(ranks, pattern)
         for batch in batches:
             data, offsets = row_bytes(batch.column(2))
-            for i, j in chunks(offsets, 4 << 20):
+            for i, j in chunks(offsets):
                 decoded = enc.decode(data[offsets[i] : offsets[j]].view("<u4"), batch.column(1).slice(i, j - i).to_numpy())
                 yield pa.RecordBatch.from_pydict({n: batch.column(k).slice(i, j - i) for k, n in enumerate(("doc_id", "n_tokens", "ids"))} | {"decoded": pa.array(decoded, pa.binary())})
 
@@ -195,8 +203,16 @@ def decode_ids(encoded: DataFrame, ranks: str, pattern: str) -> DataFrame:
 
 
 def round_trip(documents: DataFrame, ranks: str, pattern: str) -> DataFrame:
-    """Encode every text and decode the ids again."""
-    return decode_ids(encode_texts(documents, ranks, pattern), ranks, pattern)
+    """Encode every text and decode the ids again, both in the same task's DuckDB."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enc = encoder(ranks, pattern)
+        for batch in batches:
+            for doc_id, ids, sizes in _encoded(batch, enc):
+                decoded = pa.array(enc.decode(ids, sizes), pa.binary())
+                yield pa.RecordBatch.from_pydict({"doc_id": doc_id, "n_tokens": sizes, "ids": binary_rows(ids.astype("<u4").view(np.uint8), 4 * sizes), "decoded": decoded})
+
+    return _texts(documents).mapInArrow(run, "doc_id long, n_tokens long, ids binary, decoded binary")
 
 
 def digests(encoded: DataFrame) -> DataFrame:

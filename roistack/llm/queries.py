@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import byte_bpe
+from .ann_search import nearest
 from .common import read_table
 from .license_scan import scan_licenses
 from .lm_score import score_documents
@@ -37,5 +38,9 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(byte_bpe.round_trip(read_table(spark, sf_dir, "documents"), ranks, pattern))
 
 
-QUERIES = {f.__name__: f for f in (op3_lm_score, op4_license_scan, op6_token_output, op7_secret_scan, op8_byte_bpe)}
+def op10_ann_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(read_table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
+
+
+QUERIES = {f.__name__: f for f in (op3_lm_score, op4_license_scan, op6_token_output, op7_secret_scan, op8_byte_bpe, op10_ann_search)}
 ORACLE_SQL: dict[str, str] = {}

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from . import byte_bpe
 from .ann_search import nearest
 from .common import read_table
+from .jaccard_join import jaccard_components
 from .license_scan import scan_licenses
 from .lm_score import score_documents
 from .secret_scan import scan_secrets
@@ -38,9 +39,42 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(byte_bpe.round_trip(read_table(spark, sf_dir, "documents"), ranks, pattern))
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(read_table(spark, sf_dir, "documents"), n=3, num=90, den=100)
+
+
 def op10_ann_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(read_table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
 
 
-QUERIES = {f.__name__: f for f in (op3_lm_score, op4_license_scan, op6_token_output, op7_secret_scan, op8_byte_bpe, op10_ann_search)}
-ORACLE_SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op3_lm_score, op4_license_scan, op6_token_output, op7_secret_scan, op8_byte_bpe, op9_jaccard_join, op10_ann_search)}
+ORACLE_SQL: dict[str, str] = {
+    "op9_jaccard_join": r"""
+WITH RECURSIVE texts AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+    FROM documents
+),
+elements AS (
+    SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+        ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS e
+    FROM texts
+),
+sizes AS (SELECT doc_id, count(*) AS n FROM elements GROUP BY doc_id),
+pairs AS (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared
+    FROM elements x JOIN elements y ON x.e = y.e AND x.doc_id <> y.doc_id GROUP BY ALL
+),
+links AS (
+    SELECT a, b FROM pairs JOIN sizes s ON s.doc_id = a JOIN sizes t ON t.doc_id = b
+    WHERE 100 * shared >= 90 * (s.n + t.n - shared)
+),
+reached AS (
+    SELECT doc_id AS a, doc_id AS b FROM documents
+    UNION
+    SELECT r.a, l.b FROM reached r JOIN links l ON l.a = r.b
+),
+named AS (SELECT a, min(b) AS component_id FROM reached GROUP BY a)
+SELECT d.doc_id, coalesce(s.n, 0)::BIGINT AS n_shingles, m.component_id
+FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id JOIN named m ON m.a = d.doc_id
+""",
+}

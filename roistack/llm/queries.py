@@ -13,6 +13,7 @@ from .decontaminate import find_leaks
 from .jaccard_join import jaccard_components
 from .license_scan import scan_licenses
 from .lm_score import score_documents
+from .quality import fit_quality, score_quality
 from .secret_scan import scan_secrets
 from .token_output import round_trip
 
@@ -30,6 +31,11 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(read_table(spark, sf_dir, "documents"))
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents")
+    return score_quality(documents, fit_quality(documents, read_table(spark, sf_dir, "labels")))
+
+
 def op6_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = round_trip(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
     return files.select("doc_id", "start", "n_tokens", "ids_crc32")
@@ -52,7 +58,7 @@ def op10_ann_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(read_table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op3_lm_score, op4_license_scan, op6_token_output, op7_secret_scan, op8_byte_bpe, op9_jaccard_join, op10_ann_search)}
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op3_lm_score, op4_license_scan, op5_quality, op6_token_output, op7_secret_scan, op8_byte_bpe, op9_jaccard_join, op10_ann_search)}
 ORACLE_SQL: dict[str, str] = {
     "op9_jaccard_join": r"""
 WITH RECURSIVE texts AS (

@@ -12,6 +12,7 @@ from .common import read_table
 from .decontaminate import find_leaks
 from .jaccard_join import jaccard_components
 from .license_scan import scan_licenses
+from .line_dedup import dedup_lines
 from .lm_score import score_documents
 from .quality import fit_quality, score_quality
 from .secret_scan import scan_secrets
@@ -22,6 +23,10 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_lines(read_table(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines_dropped")
+
+
 def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2
     return score_documents(read_table(spark, sf_dir, "documents"), held_out)
@@ -58,7 +63,7 @@ def op10_ann_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(read_table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op3_lm_score, op4_license_scan, op5_quality, op6_token_output, op7_secret_scan, op8_byte_bpe, op9_jaccard_join, op10_ann_search)}
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_line_dedup, op3_lm_score, op4_license_scan, op5_quality, op6_token_output, op7_secret_scan, op8_byte_bpe, op9_jaccard_join, op10_ann_search)}
 ORACLE_SQL: dict[str, str] = {
     "op9_jaccard_join": r"""
 WITH RECURSIVE texts AS (

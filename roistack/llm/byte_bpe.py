@@ -28,7 +28,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, text_bytes
+from .common import byte_table, chunks, text_bytes
 from .piecewise import PieceEncoder, binary_rows, row_bytes
 
 CONTRACT = """
@@ -40,9 +40,9 @@ WITH RECURSIVE state(word, ids, step) AS (
         SELECT word, any_value(ids) AS ids, any_value(step) AS step,
                min(merged) AS merged, min(merged::BIGINT * 2147483648 + pos) % 2147483648 AS pos
         FROM (
-            SELECT word, ids, step, pos, ids[pos] AS first_id, ids[pos + 1] AS second_id
+            SELECT word, ids, step, pos, ids[pos] * 2147483648::BIGINT + ids[pos + 1] AS pair
             FROM (SELECT word, ids, step, unnest(range(1, len(ids))) AS pos FROM state)
-        ) JOIN merges USING (first_id, second_id)
+        ) JOIN merges USING (pair)
         GROUP BY word
     )
 )
@@ -57,12 +57,14 @@ FROM token_rows JOIN vocabulary USING (id) GROUP BY doc ORDER BY doc
 #: Characters that white space beyond ASCII ends in, by the byte before: no cut follows them.
 _SPACE_LEADS = np.zeros(256, bool)
 _SPACE_LEADS[[0xE1, 0xE2, 0xE3]] = True
+_LETTER = byte_table((0x41, 0x5A), (0x61, 0x7A))
+_MARK = byte_table((0x21, 0x2F), (0x3A, 0x40), (0x5B, 0x60), (0x7B, 0x7E))
 
 
 class BytePairEncoder(PieceEncoder):
     """``ranks``: the public rank file; ``pattern``: splits a text before the merges."""
 
-    def __init__(self, ranks: str, pattern: str, keep: int = 200_000, longest: int = 400, memory: str = "160MB"):
+    def __init__(self, ranks: str, pattern: str, keep: int = 600_000, longest: int = 400, memory: str = "160MB"):
         super().__init__(keep)
         with open(ranks, "rb") as lines:
             self.ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in lines if line.strip())}
@@ -72,7 +74,7 @@ class BytePairEncoder(PieceEncoder):
         pairs = [(x, y, r) for w, r in self.ranks.items() for k in range(1, len(w)) if (x := self.ranks.get(w[:k])) is not None and (y := self.ranks.get(w[k:])) is not None]
         self.merges = {(x, y): r for x, y, r in pairs}
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": memory})
-        merges = pa.table({n: pa.array(c, pa.int32()) for n, c in zip(("first_id", "second_id", "merged"), zip(*pairs, strict=True), strict=True)})
+        merges = pa.table({"pair": pa.array([x * 2147483648 + y for x, y, _ in pairs], pa.int64()), "merged": pa.array([r for *_, r in pairs], pa.int32())})
         vocabulary = pa.table({"id": pa.array(self.ranks.values(), pa.int32()), "piece": pa.array([w.hex() for w in self.ranks])})
         for name, table in (("merges", merges), ("vocabulary", vocabulary)):
             self.db.register("incoming", table)
@@ -80,9 +82,9 @@ class BytePairEncoder(PieceEncoder):
             self.db.unregister("incoming")
 
     def cut(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Cuts before ASCII white space that follows a character that is no white space.
+        """Cuts before ASCII white space that follows a character that is no white space, and where an ASCII letter meets a mark.
 
-        The pattern never joins such a character with what follows, and looks no further than the white space it matches.
+        The pattern never joins what is cut, and looks no further than the white space it matches.
         """
         n = len(data)
         if not n:
@@ -93,7 +95,7 @@ class BytePairEncoder(PieceEncoder):
         solid &= ~((two == 0xC2) & ((data == 0x85) | (data == 0xA0)))
         solid &= ~(_SPACE_LEADS[three] & (data >= 0x80) & ((two == 0x80) | (two == 0x81) | (two == 0x9A)))
         space = (data == 0x20) | ((data >= 0x09) & (data <= 0x0D))
-        cuts = np.flatnonzero(solid[:-1] & space[1:]) + 1
+        cuts = np.flatnonzero((solid[:-1] & space[1:]) | (_LETTER[data[:-1]] & _MARK[data[1:]])) + 1
         bounds = np.unique(np.concatenate([cuts, offsets]))
         return data, bounds[:-1], bounds[1:]
 
@@ -104,8 +106,8 @@ class BytePairEncoder(PieceEncoder):
         return [[i for w in s for i in ids[w]] for s in split]
 
     def _encode_words(self, words: list[bytes]) -> list[list[int]]:
-        short = [k for k, w in enumerate(words) if len(w) <= self.longest]
-        out: list[list[int]] = [[] for _ in words]
+        out = [[self.ranks[w]] if w in self.ranks else [] for w in words]
+        short = [k for k, w in enumerate(words) if not out[k] and len(w) <= self.longest]
         if short:
             sizes = np.array([len(words[k]) for k in short])
             data = np.frombuffer(b"".join(words[k] for k in short), np.uint8)
@@ -119,7 +121,7 @@ class BytePairEncoder(PieceEncoder):
                 out[k] = ids
             self.db.unregister("bytes_of_words")
         for k, w in enumerate(words):
-            if len(w) > self.longest:
+            if not out[k] and len(w) > self.longest:
                 out[k] = self._contract_long(w)
         return out
 

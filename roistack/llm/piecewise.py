@@ -49,14 +49,15 @@ class PieceEncoder:
         data, starts, ends = self.cut(data, offsets)
         size = ends - starts
         bounds = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
-        packed = np.ascontiguousarray(data[np.repeat(starts - bounds[:-1], size) + np.arange(bounds[-1])])
+        whole = bounds[-1] == len(data)  # the pieces are all of the bytes
+        packed = np.ascontiguousarray(data if whole else data[np.repeat(starts - bounds[:-1], size) + np.arange(bounds[-1])])
         listed = pa.Array.from_buffers(pa.large_string(), len(size), [None, pa.py_buffer(bounds), pa.py_buffer(packed)]).dictionary_encode()
         names = listed.dictionary.to_pylist()
         if len(self.slots) > self.keep:
             self.clear()
         fresh = [w for w in names if w not in self.slots]
-        for i in range(0, len(fresh), 20_000):
-            self._add(fresh[i : i + 20_000])
+        for i in range(0, len(fresh), 50_000):
+            self._add(fresh[i : i + 50_000])
         slots = np.fromiter((self.slots[w] for w in names), np.int64, len(names))
         first = np.array(self.first, np.int64)
         at = slots[listed.indices.to_numpy()] if len(names) else np.zeros(0, np.int64)

@@ -15,8 +15,9 @@ only lists that still hold several components give the pairs between those.
 Every pair of candidates is so either verified or already in one component: no
 link is lost, and a large group of near copies costs its size, not its square.
 
-Shuffled: the keys, some tenth of all elements at t = 0.9; then only sets that
-share keys.  To the driver: counts, and the at most ``frequent`` most frequent
+Bitmaps of the sets rule out most candidates before whole sets are compared.
+Shuffled: the keys, some tenth of all elements at t = 0.9; then bitmaps of
+candidates, and the sets of those that remain.  To the driver: counts, and the at most ``frequent`` most frequent
 elements, which the global order puts last (any order is right).
 
 Defined results: a null or empty text has no elements and its own component; a
@@ -42,6 +43,8 @@ from .common import NON_SPACE, chunks, fold_case, materialize, mix, shingle_hash
 from .graph import connected_components
 from .piecewise import binary_rows, row_bytes
 
+#: Buckets of a set's bitmap.
+BITS = 1024
 #: Rows of ids that may be broadcast to pick texts; beyond that the texts are shuffled.
 BROADCAST_ROWS = 1_000_000
 
@@ -65,11 +68,18 @@ def _signatures(h: np.ndarray, first: np.ndarray) -> np.ndarray:
     return mix(sums[first[1:]] - sums[first[:-1]] + np.diff(first).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)).view(np.int64)
 
 
+def _bitmaps(h: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Which of ``BITS`` buckets each row's elements fall into, packed; empty buckets bound what two sets share."""
+    bits = np.zeros((len(first) - 1, BITS), np.uint8)
+    bits[np.repeat(np.arange(len(first) - 1), np.diff(first)), (mix(h) % np.uint64(BITS)).astype(np.int64)] = 1
+    return np.packbits(bits, axis=1)
+
+
 def _scan(texts: DataFrame, n: int, local: int) -> DataFrame:
-    """Rows of kind 0: doc_id, size and signature of each text. Kind 1: element, occurrences in a piece of at least ``local``. Kind 2: elements, distinct elements."""
+    """Rows of kind 0: doc_id, size, signature and bitmap of each text. Kind 1: element, occurrences in a piece of at least ``local``. Kind 2: elements, distinct elements."""
 
-    def rows(kind: int, a, b, c) -> pa.RecordBatch:
-        return pa.RecordBatch.from_pydict({"kind": np.full(len(b), kind, np.int32), "a": a, "b": pa.array(b, pa.int64()), "c": pa.array(c, pa.int64())})
+    def rows(kind: int, a, b, c, bits=None) -> pa.RecordBatch:
+        return pa.RecordBatch.from_pydict({"kind": np.full(len(b), kind, np.int32), "a": a, "b": pa.array(b, pa.int64()), "c": pa.array(c, pa.int64()), "bits": pa.nulls(len(b), pa.binary()) if bits is None else bits})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -77,7 +87,7 @@ def _scan(texts: DataFrame, n: int, local: int) -> DataFrame:
             seen: list[np.ndarray] = []
             for i, j in chunks(offsets, 4 << 20):
                 h, first = _sets(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], n)
-                yield rows(0, batch.column(0).slice(i, j - i), np.diff(first), _signatures(h, first))
+                yield rows(0, batch.column(0).slice(i, j - i), np.diff(first), _signatures(h, first), binary_rows(_bitmaps(h, first).ravel(), np.full(j - i, BITS // 8)))
                 seen.append(h)
                 if j == len(offsets) - 1 or sum(map(len, seen)) > 1 << 22:
                     heads, counts = np.unique(np.concatenate(seen), return_counts=True)
@@ -86,7 +96,7 @@ def _scan(texts: DataFrame, n: int, local: int) -> DataFrame:
                     yield rows(2, pa.array([0], pa.int64()), [int(counts.sum())], [len(heads)])
                     seen = []
 
-    return texts.mapInArrow(run, "kind int, a long, b long, c long")
+    return texts.mapInArrow(run, "kind int, a long, b long, c long, bits binary")
 
 
 class Scheme:
@@ -170,10 +180,27 @@ def _wanted_sets(texts: DataFrame, rows: DataFrame, nodes: DataFrame, n: int) ->
                 yield pa.RecordBatch.from_pydict({"node": _signatures(h, first), "elements": binary_rows(h.view(np.uint8), np.diff(first) * 8)})
 
     sets = texts.join(ids, "doc_id", "left_semi").select("text").mapInArrow(run, "node long, elements binary")
-    return materialize(sets.join(F.broadcast(nodes) if nodes.count() <= BROADCAST_ROWS else nodes, "node", "left_semi").dropDuplicates(["node"]), "sets", compression="none")
+    # rows that share a doc_id may add further copies of a set, which only repeat a comparison
+    return sets.join(F.broadcast(nodes) if nodes.count() <= BROADCAST_ROWS else nodes, "node", "left_semi")
+
+
+def _plausible(pairs: DataFrame, rows: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs a, b whose bitmaps allow the similarity: an element in a bucket that the other set leaves empty isn't shared."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, m = batch.column(2).to_numpy(), batch.column(4).to_numpy()
+            x, y = (row_bytes(batch.column(k))[0].view(np.uint64).reshape(-1, BITS // 64) for k in (3, 5))
+            both = np.minimum(n - np.bitwise_count(x & ~y).sum(axis=1, dtype=np.int64), m - np.bitwise_count(y & ~x).sum(axis=1, dtype=np.int64))
+            fine = pa.array(den * both >= num * (n + m - both))
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(fine), batch.column(1).filter(fine)], names=["a", "b"])
+
+    sets = rows.where("b > 0").groupBy("c").agg(F.first("b").alias("n"), F.first("bits").alias("bits"))
+    one, two = (sets.select(F.col("c").alias(s), F.col("n").alias(f"n_{s}"), F.col("bits").alias(f"bits_{s}")) for s in "ab")
+    return materialize(pairs.join(one, "a").join(two, "b").select("a", "b", "n_a", "bits_a", "n_b", "bits_b").mapInArrow(run, "a long, b long"), "plausible")
 
 
-def _links(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+def _links(pairs: DataFrame, texts: DataFrame, rows: DataFrame, n: int, num: int, den: int) -> DataFrame:
     """The pairs a, b of nodes whose sets' similarity reaches the threshold."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,6 +215,9 @@ def _links(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
                 fine[k] = den * both >= num * (len(own) + len(other) - both)
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(fine)), batch.column(1).filter(pa.array(fine))], names=["a", "b"])
 
+    pairs = _plausible(pairs, rows, num, den)
+    nodes = materialize(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "nodes")
+    sets = _wanted_sets(texts, rows, nodes, n)
     both = pairs.join(sets.select(F.col("node").alias("a"), F.col("elements").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("elements").alias("y")), "b")
     return materialize(both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long"), "links")
 
@@ -200,7 +230,7 @@ def jaccard_components(documents: DataFrame, n: int = 3, num: int = 90, den: int
     """
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     scanned = materialize(_scan(texts, n, local), "shingle-sets")
-    rows = scanned.where("kind = 0").select("a", "b", "c")
+    rows = scanned.where("kind = 0").select("a", "b", "c", "bits")
     top = scanned.where("kind = 1").groupBy("a").agg(F.sum("b").alias("n")).orderBy(F.desc("n"), "a").limit(frequent).toArrow()
     total, distinct = scanned.where("kind = 2").agg(F.coalesce(F.sum("b"), F.lit(0)), F.coalesce(F.sum("c"), F.lit(0))).first()
     scheme = Scheme(num, den, c, total / distinct if distinct else 1.0)
@@ -217,9 +247,7 @@ def jaccard_components(documents: DataFrame, n: int = 3, num: int = 90, den: int
     # A key of single elements pairs what isn't light; two light sets meet under keys of subsets, which hold light sets only.
     star = lists.where((F.col("node") != F.col("leader")) & near(F.col("size"), F.col("leader_size")))
     star = materialize(star.select(F.greatest("node", "leader").alias("a"), F.least("node", "leader").alias("b")).distinct(), "pairs")
-    nodes = lists.select("node").distinct()
-    sets = _wanted_sets(texts, rows, materialize(nodes, "nodes"), n)
-    links = _links(star, sets, num, den)
+    links = _links(star, texts, rows, n, num, den)
     found = materialize(connected_components(links), "components")
 
     placed = lists.select("key", "node", "size").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
@@ -228,7 +256,7 @@ def jaccard_components(documents: DataFrame, n: int = 3, num: int = 90, den: int
     left, right = (several.select("key", *[F.col(x).alias(f"{x}_{s}") for x in ("node", "size", "component")]) for s in "ab")
     rest = left.join(right, "key").where((F.col("node_a") > F.col("node_b")) & (F.col("component_a") != F.col("component_b")) & near(F.col("size_a"), F.col("size_b")))
     rest = rest.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct().join(star, ["a", "b"], "left_anti")
-    more = _links(rest, sets, num, den)
+    more = _links(rest, texts, rows, n, num, den)
     found = connected_components(links.union(more))
 
     named = rows.where("b > 0").groupBy(F.col("c").alias("node")).agg(F.min("a").alias("least")).join(found, "node", "left")

@@ -1,6 +1,370 @@
-"""The registered queries over the given tables, and their SQL."""
+"""The registered queries over the given tables, and the SQL that another engine answers them with."""
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from ..functions import geometry as G
+from ..functions import labels as L
+from ..operators import raster as R
+from ..operators.components import connected_components
+from ..operators.features import as_polygons, component_table, define_feature_group, fail_reasons
+from ..operators.match import find_overlap_features, first_match, match_statistics
+from ..operators.overlap import find_z_intersect, same_slice_pairs
+from ..sources import fixtures as X
+from . import oracle as O
+
 QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+ORACLE_SQL: dict[str, str] = {}
+
+#: The parameters of the reference scenarios.
+NUCLEUS = {"max_z_dist": 3, "min_z_span": 5, "min_avg_area": 100.0}
+NUCLEOLUS = {"max_z_dist": 1, "min_z_span": 2}
+REGEX = "[02468]$"
+
+
+def query(sql: str | None = None):
+    def register(f):
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return register
+
+
+def _polygons(spark: SparkSession, sf: str) -> DataFrame:
+    return as_polygons(X.vertices(spark, sf))
+
+
+def _rounded(df: DataFrame, *columns: str) -> DataFrame:
+    return df.withColumns({c: F.round(c, 6) for c in columns})
+
+
+# --- polygons and filters ---------------------------------------------------------
+
+
+@query(O.polygons("SELECT name, roi, z, round(area, 6) AS area FROM p"))
+def polygon_area(spark: SparkSession, sf: str) -> DataFrame:
+    return _rounded(_polygons(spark, sf).select("name", "roi", "z", "area"), "area")
+
+
+@query(O.polygons("SELECT name, roi, z, n AS n_points, xmin, ymin, xmax, ymax FROM p"))
+def roi_polygonize(spark: SparkSession, sf: str) -> DataFrame:
+    return _polygons(spark, sf).select("name", "roi", "z", F.size("ring").cast("long").alias("n_points"), "xmin", "ymin", "xmax", "ymax")
+
+
+@query(O.polygons("SELECT name, roi, round(12.566370614359172 * area / (per * per), 6) AS circ, round(per, 6) AS perimeter FROM p"))
+def roi_shape(spark: SparkSession, sf: str) -> DataFrame:
+    return _rounded(_polygons(spark, sf).select("name", "roi", G.circularity(F.col("ring")).alias("circ"), G.perimeter(F.col("ring")).alias("perimeter")), "circ", "perimeter")
+
+
+@query(O.with_vertices("SELECT name, roi, round(ex, 6) AS x, round(ey, 6) AS y, round(4 * sqrt(h + r), 6) AS major, round(4 * sqrt(greatest(h - r, 0)), 6) AS minor FROM (SELECT name, roi, avg(x) AS ex, avg(y) AS ey, (var_pop(x) + var_pop(y)) / 2 AS h, sqrt((var_pop(x) - var_pop(y)) * (var_pop(x) - var_pop(y)) / 4 + covar_pop(x, y) * covar_pop(x, y)) AS r FROM v GROUP BY name, roi)"))
+def roi_ellipse(spark: SparkSession, sf: str) -> DataFrame:
+    return _rounded(_polygons(spark, sf).select("name", "roi", G.ellipse(F.col("ring")).alias("e")).select("name", "roi", "e.x", "e.y", "e.major", "e.minor"), "x", "y", "major", "minor")
+
+
+@query(O.with_vertices("SELECT name, roi, round(x * 0.25, 6) AS x_um, round(y * 0.25, 6) AS y_um FROM v"))
+def physical_coordinates(spark: SparkSession, sf: str) -> DataFrame:
+    return _rounded(X.vertices(spark, sf).select("name", "roi", G.physical(F.col("x"), 0.25).alias("x_um"), G.physical(F.col("y"), 0.25).alias("y_um")), "x_um", "y_um")
+
+
+@query(O.polygons("SELECT name, roi, z FROM p WHERE include"))
+def filter_flag_any(spark: SparkSession, sf: str) -> DataFrame:
+    return fail_reasons(_polygons(spark, sf), area_range=None).where("fail_reason IS NULL").select("name", "roi", "z")
+
+
+@query(O.polygons(f"SELECT name, roi, z FROM p WHERE regexp_matches(roi, '{REGEX}')"))
+def filter_name_regex(spark: SparkSession, sf: str) -> DataFrame:
+    return fail_reasons(_polygons(spark, sf), None, None, REGEX).where("fail_reason IS NULL").select("name", "roi", "z")
+
+
+@query(O.polygons("SELECT name, roi, z FROM p WHERE area BETWEEN 60 AND 200"))
+def filter_area_range(spark: SparkSession, sf: str) -> DataFrame:
+    return fail_reasons(_polygons(spark, sf), None, (200, 60)).where("fail_reason IS NULL").select("name", "roi", "z")
+
+
+@query(O.polygons(f"SELECT name, roi, CASE WHEN NOT include THEN 'excluded' WHEN NOT regexp_matches(roi, '{REGEX}') THEN 'name' WHEN area NOT BETWEEN 60 AND 200 THEN 'area' ELSE 'passed' END AS reason FROM p"))
+def filter_cascade_reasons(spark: SparkSession, sf: str) -> DataFrame:
+    return fail_reasons(_polygons(spark, sf), "include", (60, 200), REGEX).select("name", "roi", F.coalesce("fail_reason", F.lit("passed")).alias("reason"))
+
+
+# --- overlap over slices -----------------------------------------------------------
+
+PAIR = "name, roi_1, roi_2, z1, z2, z_dist"
+
+
+def _pairs(df: DataFrame) -> DataFrame:
+    return _rounded(df.select("name", "roi_1", "roi_2", "z1", "z2", "z_dist", "int_area", "int_ratio"), "int_area", "int_ratio")
+
+
+@query(O.pairs(1, 0.0, f"SELECT {PAIR}, round(int_area, 6) AS int_area, round(int_ratio, 6) AS int_ratio FROM pairs"))
+def overlap_pairs_z1(spark: SparkSession, sf: str) -> DataFrame:
+    return _pairs(find_z_intersect(_polygons(spark, sf)))
+
+
+@query(O.pairs(3, 0.0, f"SELECT {PAIR}, round(int_area, 6) AS int_area, round(int_ratio, 6) AS int_ratio FROM pairs"))
+def overlap_pairs_z3(spark: SparkSession, sf: str) -> DataFrame:
+    return _pairs(find_z_intersect(_polygons(spark, sf), max_z_dist=3))
+
+
+@query(O.pairs(1, 0.3, "SELECT name, roi_1, roi_2, round(area_1, 6) AS area_1, round(area_2, 6) AS area_2, round(min_area, 6) AS min_area, round(int_ratio, 6) AS int_ratio FROM pairs"))
+def overlap_ratio(spark: SparkSession, sf: str) -> DataFrame:
+    found = find_z_intersect(_polygons(spark, sf), min_intersect_ratio=0.3)
+    return _rounded(found.select("name", "roi_1", "roi_2", "area_1", "area_2", "min_area", "int_ratio"), "area_1", "area_2", "min_area", "int_ratio")
+
+
+@query(O.pairs(1, 0.0, f"SELECT {PAIR} FROM pairs WHERE round(int_area, 9) = 0"))
+def overlap_touch_only(spark: SparkSession, sf: str) -> DataFrame:
+    return find_z_intersect(_polygons(spark, sf)).where(F.round("int_area", 9) == 0).select("name", "roi_1", "roi_2", "z1", "z2", "z_dist")
+
+
+@query(O.pairs(2, 0.0, f"SELECT {PAIR} FROM pairs"))
+def overlap_pairs_grid(spark: SparkSession, sf: str) -> DataFrame:
+    return find_z_intersect(_polygons(spark, sf), max_z_dist=2, cell=32.0).select("name", "roi_1", "roi_2", "z1", "z2", "z_dist")
+
+
+@query(O.pairs(0, None, "SELECT name, roi_1, roi_2 FROM pairs"))
+def overlap_pairs_any_z(spark: SparkSession, sf: str) -> DataFrame:
+    return find_z_intersect(_polygons(spark, sf), max_z_dist=0, min_intersect_ratio=None, cell=64.0).select("name", "roi_1", "roi_2")
+
+
+# --- features ------------------------------------------------------------------------
+
+
+def _features(spark: SparkSession, sf: str, **parameters) -> DataFrame:
+    return define_feature_group(X.vertices(spark, sf), **parameters)
+
+
+FEATURE = "SELECT name, roi, z, round(area, 6) AS area, feature_id FROM features"
+
+
+def _listed(df: DataFrame) -> DataFrame:
+    return _rounded(df.select("name", "roi", "z", "area", "feature_id"), "area")
+
+
+@query(O.pairs(1, 0.0, "SELECT r.name, p.roi, q.roi AS first_roi FROM r JOIN p ON p.name = r.name AND p.ord = r.node JOIN p q ON q.name = r.name AND q.ord = r.component", reach=True))
+def feature_components(spark: SparkSession, sf: str) -> DataFrame:
+    polygons = _polygons(spark, sf)
+    pairs = find_z_intersect(polygons)
+    found = connected_components(pairs.select("name", F.col("ord_1").alias("a"), F.col("ord_2").alias("b")))
+    rois = polygons.select("name", "ord", "roi")
+    named = found.join(rois.withColumnRenamed("ord", "node"), ["name", "node"])
+    return named.join(rois.select("name", F.col("ord").alias("component"), F.col("roi").alias("first_roi")), ["name", "component"]).select("name", "roi", "first_roi")
+
+
+def _component_stats(spark: SparkSession, sf: str) -> DataFrame:
+    polygons = _polygons(spark, sf)
+    return component_table(polygons, find_z_intersect(polygons).select("name", "ord_1", "ord_2"))[1]
+
+
+@query(O.features("v", X.VERTICES, "SELECT name, component, n_z_span FROM c", include=False))
+def feature_zspan(spark: SparkSession, sf: str) -> DataFrame:
+    return _component_stats(spark, sf).select("name", "component", "n_z_span")
+
+
+@query(O.features("v", X.VERTICES, "SELECT name, component, round(mean_area, 6) AS mean_area FROM c WHERE mean_area >= 100", include=False))
+def feature_mean_area(spark: SparkSession, sf: str) -> DataFrame:
+    return _rounded(_component_stats(spark, sf).where("mean_area >= 100").select("name", "component", "mean_area"), "mean_area")
+
+
+@query(O.features("v", X.VERTICES, FEATURE))
+def define_feature_group_query(spark: SparkSession, sf: str) -> DataFrame:
+    return _listed(_features(spark, sf))
+
+
+for _d in (QUERIES, ORACLE_SQL):
+    _d["define_feature_group"] = _d.pop("define_feature_group_query")
+
+
+@query(O.features("v", X.VERTICES, FEATURE, **NUCLEUS))
+def define_feature_group_minarea(spark: SparkSession, sf: str) -> DataFrame:
+    return _listed(_features(spark, sf, **NUCLEUS))
+
+
+@query(O.features("v", X.VERTICES, FEATURE, literal=True))
+def define_feature_group_literal(spark: SparkSession, sf: str) -> DataFrame:
+    return _listed(_features(spark, sf, compat="literal"))
+
+
+@query(O.features("v", X.VERTICES, "SELECT name, feature_id, count(*) AS n FROM features GROUP BY ALL"))
+def feature_id_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return _features(spark, sf).groupBy("name", "feature_id").agg(F.count("*").alias("n"))
+
+
+@query(O.features("v", X.VERTICES, "SELECT name, roi FROM features WHERE feature_id = 'failed_ROI_overlap'"))
+def unmatched_rois(spark: SparkSession, sf: str) -> DataFrame:
+    return _features(spark, sf).where("feature_id = 'failed_ROI_overlap'").select("name", "roi")
+
+
+# --- matching --------------------------------------------------------------------------
+
+
+def _both(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    return define_feature_group(X.nucleoli(spark, sf), feature_prefix="feature_", **NUCLEOLUS), _features(spark, sf, pre_roi_filter_colname=None, **NUCLEUS)
+
+
+@query(O.matches("SELECT name, roi_a AS roi_1, roi_b AS roi_2, round(int_ratio, 6) AS int_ratio FROM m"))
+def match_roi_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    found = same_slice_pairs(as_polygons(X.nucleoli(spark, sf)), _polygons(spark, sf), [])
+    return _rounded(found.select(F.col("name_a").alias("name"), F.col("roi_a").alias("roi_1"), F.col("roi_b").alias("roi_2"), "int_ratio"), "int_ratio")
+
+
+@query(O.matches("SELECT name, f_id_1, f_id_2, n_roi_1, n_roi_2, least(n_roi_1, n_roi_2) AS min_roi, n_roi_1_ovl, n_roi_2_ovl, round(ratio, 6) AS ratio_roi_ovl FROM s"))
+def match_feature_stats(spark: SparkSession, sf: str) -> DataFrame:
+    return _rounded(match_statistics(*_both(spark, sf), "^feature_", "^feature_", 0.5), "ratio_roi_ovl")
+
+
+@query(O.matches("SELECT name, f_id_1 AS feature_id_1, f_id_2 AS feature_id_2 FROM s WHERE ratio >= 0.75"))
+def match_features(spark: SparkSession, sf: str) -> DataFrame:
+    return find_overlap_features(*_both(spark, sf), "^feature_", "^feature_", 0.5, 0.75)
+
+
+@query(O.matches("SELECT a.name, a.roi, k.f_id_2 AS nucleus_id FROM a_features a LEFT JOIN (SELECT name, f_id_1, min(f_id_2) AS f_id_2 FROM s WHERE ratio >= 0.75 GROUP BY ALL) k ON k.name = a.name AND k.f_id_1 = a.feature_id"))
+def nucleus_map(spark: SparkSession, sf: str) -> DataFrame:
+    nucleoli, nuclei = _both(spark, sf)
+    lookup = first_match(find_overlap_features(nucleoli, nuclei, "^feature_", "^feature_", 0.5, 0.75), ["name", "feature_id_1"], "feature_id_2", ["feature_id_2"])
+    return nucleoli.join(lookup.withColumnsRenamed({"feature_id_1": "feature_id", "feature_id_2": "nucleus_id"}), ["name", "feature_id"], "left").select("name", "roi", "nucleus_id")
+
+
+# --- labels and measurements ----------------------------------------------------------------
+
+
+@query(O.measurements("SELECT DISTINCT label, len(t) AS n_tokens, t[1] AS first_token, t[len(t)] AS last_token FROM (SELECT label, string_split_regex(label, '(/)|(\\s+)|(:)') AS t FROM m)"))
+def label_tokens(spark: SparkSession, sf: str) -> DataFrame:
+    t = L.tokens(F.col("label"))
+    return X.measurements(spark, sf).select("label", F.size(t).cast("long").alias("n_tokens"), F.get(t, F.lit(0)).alias("first_token"), F.element_at(t, -1).alias("last_token")).distinct()
+
+
+@query(O.measurements("SELECT label, CAST(regexp_extract(label, 'z:(\\d+)', 1) AS INT) AS z, CAST(regexp_extract(label, 'c:(\\d+)', 1) AS INT) AS c FROM m"))
+def label_z_extract(spark: SparkSession, sf: str) -> DataFrame:
+    return X.measurements(spark, sf).select("label", L.slice_number(F.col("label")).alias("z"), L.channel_number(F.col("label")).alias("c"))
+
+
+@query(O.measurements("SELECT label, t[1] AS filename, t[2] AS pos, t[3] AS roi, CAST(regexp_extract(label, 'z:(\\d+)', 1) AS INT) AS z FROM (SELECT label, string_split_regex(label, '(/)|(\\s+)|(:)') AS t FROM m)"))
+def label_content_names(spark: SparkSession, sf: str) -> DataFrame:
+    return L.parse_labels(X.measurements(spark, sf).select("label")).select("label", "filename", "pos", "roi", "z")
+
+
+@query(O.measurements("SELECT v.name, v.roi, bool_or(v.roi IN (SELECT roi_name FROM m WHERE circ > 0.7)) AS include FROM v GROUP BY v.name, v.roi", vertices=True))
+def include_by_circ(spark: SparkSession, sf: str) -> DataFrame:
+    good = X.measurements(spark, sf).where("circ > 0.7").select(F.col("roi_name").alias("roi")).distinct().withColumn("include", F.lit(True))
+    rois = X.vertices(spark, sf).select("name", "roi").distinct()
+    return rois.join(good, "roi", "left").select("name", "roi", F.coalesce("include", F.lit(False)).alias("include"))
+
+
+@query(O.with_vertices("SELECT DISTINCT name, roi, regexp_extract(roi, '^[a-zA-Z]+') AS roi_type FROM v"))
+def roi_type_prefix(spark: SparkSession, sf: str) -> DataFrame:
+    return X.vertices(spark, sf).select("name", "roi", L.roi_type(F.col("roi")).alias("roi_type")).distinct()
+
+
+@query(O.polygons("SELECT name, CASE WHEN n BETWEEN 10 AND 99 THEN concat('cell_', roi, '_b') ELSE roi END AS roi FROM (SELECT name, roi, row_number() OVER (PARTITION BY name ORDER BY ord) - 1 AS n FROM p)"))
+def rename_prefix_range(spark: SparkSession, sf: str) -> DataFrame:
+    index = F.row_number().over(Window.partitionBy("name").orderBy("ord")) - 1
+    return _polygons(spark, sf).withColumn("n", index).select("name", L.renamed(F.col("n"), F.col("roi"), 10, 100, "cell_", "_b").alias("roi"))
+
+
+@query(O.measurements("SELECT split_part(label, '/', 2) AS position, count(*) AS n FROM (SELECT string_split(label, '/')[2] AS part, label FROM m) GROUP BY ALL"))
+def position_from_label(spark: SparkSession, sf: str) -> DataFrame:
+    return X.measurements(spark, sf).groupBy(L.position_part(F.col("label")).alias("position")).agg(F.count("*").alias("n"))
+
+
+PALETTE = "[" + ", ".join(f"'{c}'" for c in L.PAIRED) + "]"
+RANKED = "SELECT name, feature_id, dense_rank() OVER (PARTITION BY name ORDER BY feature_id) AS k FROM (SELECT DISTINCT name, feature_id FROM features"
+
+
+@query(O.features("v", X.VERTICES, f"SELECT name, feature_id, {PALETTE}[(k - 1) % 12 + 1] AS colour FROM ({RANKED} WHERE feature_id LIKE 'feature%'))"))
+def feature_palette(spark: SparkSession, sf: str) -> DataFrame:
+    ids = _features(spark, sf).where(F.col("feature_id").startswith("feature")).select("name", "feature_id").distinct()
+    return ids.select("name", "feature_id", L.palette_colour(F.dense_rank().over(Window.partitionBy("name").orderBy("feature_id"))).alias("colour"))
+
+
+@query(O.features("v", X.VERTICES, f"SELECT name, feature_id, CASE WHEN feature_id LIKE 'failed%' THEN 'gray80' WHEN feature_id LIKE 'invalid%' THEN 'gray40' ELSE {PALETTE}[(k - 1) % 12 + 1] END AS colour FROM ({RANKED}))"))
+def feature_color_map(spark: SparkSession, sf: str) -> DataFrame:
+    ids = _features(spark, sf).select("name", "feature_id").distinct()
+    rank = F.dense_rank().over(Window.partitionBy("name").orderBy("feature_id"))
+    return ids.select("name", "feature_id", L.feature_colour(F.col("feature_id"), rank).alias("colour"))
+
+
+@query(O.with_vertices("SELECT name, round(min(x) * 0.9, 6) AS x_lo, round(max(x) * 1.1, 6) AS x_hi, round(min(y) * 0.9, 6) AS y_lo, round(max(y) * 1.1, 6) AS y_hi FROM v GROUP BY name"))
+def plot_extent(spark: SparkSession, sf: str) -> DataFrame:
+    ends = X.vertices(spark, sf).groupBy("name").agg(*[(f(a) * w).alias(f"{a}_{s}") for a in "xy" for f, w, s in ((F.min, 0.9, "lo"), (F.max, 1.1, "hi"))])
+    return _rounded(ends, "x_lo", "x_hi", "y_lo", "y_hi")
+
+
+@query(O.polygons("SELECT roi, count(*) AS n FROM (SELECT roi FROM p UNION ALL SELECT roi FROM p WHERE z = 1) GROUP BY roi HAVING count(*) > 1"))
+def duplicate_roi_check(spark: SparkSession, sf: str) -> DataFrame:
+    polygons = _polygons(spark, sf).select("roi", "z")
+    return polygons.unionByName(polygons.where("z = 1")).groupBy("roi").agg(F.count("*").alias("n")).where("n > 1")
+
+
+@query(O.polygons("SELECT name, CAST(least(floor((area - lo) / (hi - lo) * 20) + 1, 20) AS BIGINT) AS bin, count(*) AS n FROM p, (SELECT min(area) AS lo, max(area) AS hi FROM p) GROUP BY ALL"))
+def area_histogram(spark: SparkSession, sf: str) -> DataFrame:
+    polygons = _polygons(spark, sf).select("name", "area")
+    lo, hi = polygons.agg(F.min("area"), F.max("area")).first()
+    place = F.least(F.floor((F.col("area") - lo) / (hi - lo) * 20) + 1, F.lit(20)) if lo is not None and hi > lo else F.lit(1)
+    return polygons.groupBy("name", place.cast("long").alias("bin")).agg(F.count("*").alias("n"))
+
+
+@query(O.polygons("SELECT name, roi FROM p WHERE include INTERSECT SELECT name, roi FROM p WHERE area >= 100"))
+def id_set_intersect(spark: SparkSession, sf: str) -> DataFrame:
+    polygons = _polygons(spark, sf)
+    return polygons.where("include").select("name", "roi").intersect(polygons.where("area >= 100").select("name", "roi"))
+
+
+# --- pixels -----------------------------------------------------------------------------------
+
+LEVEL = 100
+
+
+def _mask(spark: SparkSession, sf: str) -> DataFrame:
+    return R.threshold_mask(R.select_channel(X.pixels(spark, sf), 1), LEVEL)
+
+
+@query(O.particles("SELECT b.name, b.region, p.ch, count(*) AS area, round(avg(p.v), 6) AS mean, min(p.v) AS min, max(p.v) AS max FROM b JOIN px p USING (name, z, y, x) GROUP BY ALL"))
+def measure_per_channel(spark: SparkSession, sf: str) -> DataFrame:
+    found = R.measure(X.pixels(spark, sf), R.label_regions(_mask(spark, sf)))
+    return _rounded(found.select("name", "region", "ch", "area", "mean", "min", "max"), "mean")
+
+
+@query(O.particles("SELECT name, region, size, xmin, xmax, ymin, ymax, 4 * size - coalesce(inner_sides, 0) AS perimeter FROM (SELECT name, region, count(*) AS size, min(x) AS xmin, max(x) AS xmax, min(y) AS ymin, max(y) AS ymax FROM b GROUP BY ALL) LEFT JOIN (SELECT u.name, u.region, count(*) AS inner_sides FROM b u JOIN b w ON u.name = w.name AND u.region = w.region AND abs(u.x - w.x) + abs(u.y - w.y) = 1 GROUP BY ALL) USING (name, region) WHERE size BETWEEN 3 AND 300"))
+def pixel_threshold_particles(spark: SparkSession, sf: str) -> DataFrame:
+    return R.particles(_mask(spark, sf), 3, 300).select("name", "region", "size", "xmin", "xmax", "ymin", "ymax", "perimeter")
+
+
+@query(O.pixels("SELECT c.name, c.y, c.x, count(*) FILTER (n.v >= 100) = count(*) AS eroded, count(*) FILTER (n.v >= 100) > 0 AS dilated FROM px c JOIN px n ON n.name = c.name AND n.ch = c.ch AND abs(n.x - c.x) <= 1 AND abs(n.y - c.y) <= 1 WHERE c.ch = 1 GROUP BY ALL"))
+def pixel_morphology(spark: SparkSession, sf: str) -> DataFrame:
+    mask = _mask(spark, sf)
+    both = R.erode(mask).select("name", "y", "x", F.col("on").alias("eroded")).join(R.dilate(mask).select("name", "y", "x", F.col("on").alias("dilated")), ["name", "y", "x"])
+    return both.select("name", "y", "x", "eroded", "dilated")
+
+
+@query(O.pixels("SELECT a.name, a.y, a.x, round(sum(b.v * exp(-((a.y - b.y) * (a.y - b.y) + (a.x - b.x) * (a.x - b.x)) / 2.0)) / sum(exp(-((a.y - b.y) * (a.y - b.y) + (a.x - b.x) * (a.x - b.x)) / 2.0)), 6) AS v FROM px a JOIN px b ON a.name = b.name AND a.ch = b.ch AND abs(a.x - b.x) <= 3 AND abs(a.y - b.y) <= 3 WHERE a.ch = 1 GROUP BY a.name, a.y, a.x"))
+def pixel_blur(spark: SparkSession, sf: str) -> DataFrame:
+    return _rounded(R.gaussian_blur(R.select_channel(X.pixels(spark, sf), 1), 1.0).select("name", "y", "x", "v"), "v")
+
+
+@query(O.pixels("SELECT name, y, x, (SELECT max(v) FROM px q WHERE q.name = px.name AND q.ch = 1) - v AS v FROM px WHERE ch = 1"))
+def pixel_invert(spark: SparkSession, sf: str) -> DataFrame:
+    return R.invert(R.select_channel(X.pixels(spark, sf), 1)).select("name", "y", "x", "v")
+
+
+@query(O.filled())
+def pixel_fill_holes(spark: SparkSession, sf: str) -> DataFrame:
+    return R.fill_holes(R.threshold_mask(R.select_channel(X.pixels(spark, sf), 1), -100)).select("name", "y", "x", "on")
+
+
+@query(O.thresholds())
+def pixel_auto_threshold(spark: SparkSession, sf: str) -> DataFrame:
+    return _rounded(R.auto_threshold(X.pixels(spark, sf)).select("name", "ch", "threshold"), "threshold")
+
+
+@query(O.particles("SELECT name, region, 4 * count(*) - coalesce(any_value(n), 0) AS sides FROM b LEFT JOIN (SELECT u.name, u.region, count(*) AS n FROM b u JOIN b w ON u.name = w.name AND u.region = w.region AND abs(u.x - w.x) + abs(u.y - w.y) = 1 GROUP BY ALL) USING (name, region) GROUP BY ALL HAVING count(*) <= 3"))
+def pixel_outlines(spark: SparkSession, sf: str) -> DataFrame:
+    """The length of the outlines of regions of at most three pixels, which have no holes: the number of their sides."""
+    labelled = R.label_regions(_mask(spark, sf))
+    small = labelled.groupBy("name", "region").agg(F.count("*").alias("n")).where("n <= 3")
+    traced = R.outlines(labelled.join(small.drop("n"), ["name", "region"], "left_semi"))
+    return traced.groupBy("name", "region").agg(F.count("*").alias("sides"))

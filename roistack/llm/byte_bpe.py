@@ -35,18 +35,15 @@ CONTRACT = """
 WITH RECURSIVE state(word, ids, step) AS (
     SELECT word, list(id ORDER BY pos), 0 FROM bytes_of_words GROUP BY word
     UNION ALL
-    SELECT word, ids[: pos - 1] || [merged] || ids[pos + 2 :], step + 1
-    FROM (
-        SELECT word, any_value(ids) AS ids, any_value(step) AS step,
-               min(merged) AS merged, min(merged::BIGINT * 2147483648 + pos) % 2147483648 AS pos
-        FROM (
-            SELECT word, ids, step, pos, ids[pos] * 2147483648::BIGINT + ids[pos + 1] AS pair
-            FROM (SELECT word, ids, step, unnest(range(1, len(ids))) AS pos FROM state)
-        ) JOIN merges USING (pair)
+    SELECT s.word, s.ids[: best % 2147483648 - 1] || [(best // 2147483648)::INT] || s.ids[best % 2147483648 + 2 :], s.step + 1
+    FROM state s JOIN (
+        SELECT word, min(merged::BIGINT * 2147483648 + pos) AS best
+        FROM (SELECT word, unnest(range(1, len(ids))) AS pos, unnest(ids[: -2]) AS first_id, unnest(ids[2 :]) AS second_id FROM state) p
+        JOIN merges m ON m.pair = p.first_id * 2147483648::BIGINT + p.second_id
         GROUP BY word
-    )
+    ) b ON b.word = s.word
 )
-SELECT word, arg_max(ids, step) AS ids FROM state GROUP BY word ORDER BY word
+SELECT word, ids FROM state QUALIFY row_number() OVER (PARTITION BY word ORDER BY step DESC) = 1 ORDER BY word
 """
 
 DECODE = """
@@ -57,6 +54,8 @@ FROM token_rows JOIN vocabulary USING (id) GROUP BY doc ORDER BY doc
 #: Characters that white space beyond ASCII ends in, by the byte before: no cut follows them.
 _SPACE_LEADS = np.zeros(256, bool)
 _SPACE_LEADS[[0xE1, 0xE2, 0xE3]] = True
+_SPACE = byte_table((0x20, 0x20), (0x09, 0x0D))
+_SOLID = byte_table((0x21, 0x7E), (0x80, 0xFF))
 _LETTER = byte_table((0x41, 0x5A), (0x61, 0x7A))
 _MARK = byte_table((0x21, 0x2F), (0x3A, 0x40), (0x5B, 0x60), (0x7B, 0x7E))
 
@@ -89,13 +88,13 @@ class BytePairEncoder(PieceEncoder):
         n = len(data)
         if not n:
             return data, np.zeros(0, np.int64), np.zeros(0, np.int64)
-        solid = (data > 0x20) & (data != 0x7F)
-        two = np.concatenate([[np.uint8(0)], data[:-1]])
-        three = np.concatenate([np.zeros(2, np.uint8), data[:-2]])[:n]
-        solid &= ~((two == 0xC2) & ((data == 0x85) | (data == 0xA0)))
-        solid &= ~(_SPACE_LEADS[three] & (data >= 0x80) & ((two == 0x80) | (two == 0x81) | (two == 0x9A)))
-        space = (data == 0x20) | ((data >= 0x09) & (data <= 0x0D))
-        cuts = np.flatnonzero((solid[:-1] & space[1:]) | (_LETTER[data[:-1]] & _MARK[data[1:]])) + 1
+        space = _SPACE[data]
+        cuts = np.flatnonzero((_SOLID[data[:-1]] & space[1:]) | (_LETTER[data[:-1]] & _MARK[data[1:]])) + 1
+        odd = cuts[data[cuts - 1] >= 0x80]
+        last, two, three = data[odd - 1], data[np.maximum(odd - 2, 0)], data[np.maximum(odd - 3, 0)]
+        white = (two == 0xC2) & ((last == 0x85) | (last == 0xA0))
+        white |= _SPACE_LEADS[three] & ((two == 0x80) | (two == 0x81) | (two == 0x9A))
+        cuts = np.setdiff1d(cuts, odd[white], assume_unique=True)
         bounds = np.unique(np.concatenate([cuts, offsets]))
         return data, bounds[:-1], bounds[1:]
 
@@ -147,6 +146,10 @@ class BytePairEncoder(PieceEncoder):
 
     def decode(self, ids: np.ndarray, sizes: np.ndarray) -> list[bytes]:
         """The bytes of consecutive documents of ``sizes`` ids each."""
+        if len(ids) > 1 << 19 and len(sizes) > 1:
+            half = max(1, min(len(sizes) - 1, int(np.searchsorted(np.cumsum(sizes), len(ids) // 2))))
+            at = int(sizes[:half].sum())
+            return self.decode(ids[:at], sizes[:half]) + self.decode(ids[at:], sizes[half:])
         first = np.cumsum(sizes) - sizes
         rows = pa.table({
             "doc": pa.array(np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)),
@@ -172,9 +175,9 @@ def _texts(documents: DataFrame) -> DataFrame:
 
 
 def _encoded(batch: pa.RecordBatch, enc: BytePairEncoder) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
-    """Pieces of about 1 MB of text: the rows' doc_id, all their ids and the number of each row's."""
+    """Pieces of about 4 MB of text: the rows' doc_id, all their ids and the number of each row's."""
     data, offsets = text_bytes(batch.column(1))
-    for i, j in chunks(offsets):
+    for i, j in chunks(offsets, 4 << 20):
         yield batch.column(0).slice(i, j - i), *enc.encode(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
 
 

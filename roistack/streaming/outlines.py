@@ -12,9 +12,8 @@ from ..sources.tables import OUTLINE
 
 
 def stream_outlines(spark: SparkSession, path: str, max_files: int = 100) -> DataFrame:
-    """Vertex rows of the tab separated outline files that arrive in a folder, with ``ord``."""
-    rows = spark.readStream.schema(OUTLINE).option("sep", "\t").option("header", True).option("maxFilesPerTrigger", max_files).csv(path)
-    return rows.withColumn("ord", F.monotonically_increasing_id())
+    """Vertex rows of the tab separated outline files that arrive in a folder."""
+    return spark.readStream.schema(OUTLINE).option("sep", "\t").option("header", True).option("maxFilesPerTrigger", max_files).csv(path)
 
 
 def group_arriving(rows: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str, **parameters):
@@ -26,6 +25,7 @@ def group_arriving(rows: DataFrame, sink: Callable[[DataFrame, int], None], chec
 
     def each(batch: DataFrame, number: int) -> None:
         if not batch.isEmpty():
-            sink(define_feature_group(batch, strict=False, **parameters), number)
+            # rows of a file stay in order, and a ROI lies in one file
+            sink(define_feature_group(batch.withColumn("ord", F.monotonically_increasing_id()), strict=False, **parameters), number)
 
     return rows.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -9,7 +9,8 @@ elements) enumerate the c-subsets of those; heavy sets list single elements
 boundary is where enumerating subsets begins to cost more, by the corpus' mean
 multiplicity of elements, than listing elements and verifying what they bring.
 
-Sets that share a key are candidates.  Rather than all pairs of a key's list,
+Sets that share a key are candidates, if the elements after a shared one leave
+room for the overlap they need.  Rather than all pairs of a key's list,
 its most typical set is verified against the others, components are taken, and
 only lists that still hold several components give the pairs between those.
 Every pair of candidates is so either verified or already in one component: no
@@ -35,7 +36,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -44,7 +45,7 @@ from .graph import connected_components
 from .piecewise import binary_rows, row_bytes
 
 #: Buckets of a set's bitmap.
-BITS = 1024
+BITS = 2048
 #: Rows of ids that may be broadcast to pick texts; beyond that the texts are shuffled.
 BROADCAST_ROWS = 1_000_000
 
@@ -126,7 +127,10 @@ class Scheme:
 
 
 def _keys(texts: DataFrame, n: int, scheme: Scheme, frequent: np.ndarray, ranks: np.ndarray) -> DataFrame:
-    """key, node, size, light and typical: what each distinct set of a piece of texts is listed under."""
+    """key, node, size, light, typical and place: what each distinct set of a piece of texts is listed under.
+
+    ``place`` is that of an element in the set's order, 0 for a subset.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -137,7 +141,7 @@ def _keys(texts: DataFrame, n: int, scheme: Scheme, frequent: np.ndarray, ranks:
                 nodes = _signatures(h, first)
                 at = np.minimum(np.searchsorted(frequent, h), max(len(frequent) - 1, 0))
                 late = np.where(frequent[at] == h, ranks[at], 0) if len(frequent) else np.zeros(len(h), np.int64)
-                out: list[tuple[np.ndarray, int, int, bool, int]] = []
+                out: list[tuple[np.ndarray, int, int, bool, int, bool]] = []
                 for k, node in enumerate(nodes.tolist()):
                     lo, hi = int(first[k]), int(first[k + 1])
                     size = hi - lo
@@ -154,16 +158,16 @@ def _keys(texts: DataFrame, n: int, scheme: Scheme, frequent: np.ndarray, ranks:
                         key = np.full(len(pairs), scheme.c, np.uint64)
                         for column in np.sort(h[pairs], axis=1).T:
                             key = mix(key * np.uint64(0x100000001B3) + column)
-                        parts.append(key)
+                        parts.append((key, False))
                     if scheme.lists_elements(size):
-                        parts.append(h[order[: scheme.prefix(size, 1)]])
-                    out += [(part, node, size, light, typical) for part in parts]
+                        parts.append((h[order[: scheme.prefix(size, 1)]], True))
+                    out += [(part, node, size, light, typical, single) for part, single in parts]
                 if out:
                     many = [len(o[0]) for o in out]
                     column = lambda c, kind: np.repeat(np.array([o[c] for o in out], kind), many)  # noqa: B023, E731
-                    yield pa.RecordBatch.from_pydict({"key": np.concatenate([o[0] for o in out]).view(np.int64), "node": column(1, np.int64), "size": column(2, np.int64), "light": column(3, bool), "typical": column(4, np.int32)})
+                    yield pa.RecordBatch.from_pydict({"key": np.concatenate([o[0] for o in out]).view(np.int64), "node": column(1, np.int64), "size": column(2, np.int64), "light": column(3, bool), "typical": column(4, np.int32), "place": np.concatenate([np.arange(len(o[0])) * o[5] for o in out])})
 
-    return texts.select("text").mapInArrow(run, "key long, node long, size long, light boolean, typical int")
+    return texts.select("text").mapInArrow(run, "key long, node long, size long, light boolean, typical int, place long")
 
 
 def _wanted_sets(texts: DataFrame, rows: DataFrame, nodes: DataFrame, n: int) -> DataFrame:
@@ -195,7 +199,9 @@ def _plausible(pairs: DataFrame, rows: DataFrame, num: int, den: int) -> DataFra
             fine = pa.array(den * both >= num * (n + m - both))
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(fine), batch.column(1).filter(fine)], names=["a", "b"])
 
-    sets = rows.where("b > 0").groupBy("c").agg(F.first("b").alias("n"), F.first("bits").alias("bits"))
+    pairs = materialize(pairs, "candidates")
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("c")).distinct()
+    sets = rows.where("b > 0").join(wanted, "c", "left_semi").groupBy("c").agg(F.first("b").alias("n"), F.first("bits").alias("bits"))
     one, two = (sets.select(F.col("c").alias(s), F.col("n").alias(f"n_{s}"), F.col("bits").alias(f"bits_{s}")) for s in "ab")
     return materialize(pairs.join(one, "a").join(two, "b").select("a", "b", "n_a", "bits_a", "n_b", "bits_b").mapInArrow(run, "a long, b long"), "plausible")
 
@@ -239,22 +245,26 @@ def jaccard_components(documents: DataFrame, n: int = 3, num: int = 90, den: int
 
     own = Window.partitionBy("key")
     keys = _keys(texts, n, scheme, elements[order], counts[order].astype(np.int64)).repartition("key").dropDuplicates(["key", "node"])
-    leader = F.max(F.struct(~F.col("light"), "typical", "size", "node")).over(own)
+    leader = F.max(F.struct(~F.col("light"), "typical", "size", "node", "place")).over(own)
     lists = keys.withColumns({"in_list": F.count("*").over(own), "leader": leader}).where("in_list > 1")
-    lists = materialize(lists.select("key", "node", "size", "light", F.col("leader.node").alias("leader"), F.col("leader.size").alias("leader_size"), (~F.col("leader.col1")).alias("leader_light")), "lists")
-    near = lambda x, y: F.least(x, y) * den >= F.greatest(x, y) * num
+    lists = materialize(lists.select("key", "node", "size", "place", F.col("leader.node").alias("leader"), F.col("leader.size").alias("leader_size"), F.col("leader.place").alias("leader_place")), "lists")
+
+    def near(n: str, m: str, i: str, j: str) -> Column:
+        """Sizes that may link, if the key is the first that the sets share: what follows it bounds their overlap."""
+        n, m, i, j = map(F.col, (n, m, i, j))
+        return (F.least(n, m) * den >= F.greatest(n, m) * num) & (F.least(n - i, m - j) * (num + den) >= (n + m) * num)
 
     # A key of single elements pairs what isn't light; two light sets meet under keys of subsets, which hold light sets only.
-    star = lists.where((F.col("node") != F.col("leader")) & near(F.col("size"), F.col("leader_size")))
+    star = lists.where((F.col("node") != F.col("leader")) & near("size", "leader_size", "place", "leader_place"))
     star = materialize(star.select(F.greatest("node", "leader").alias("a"), F.least("node", "leader").alias("b")).distinct(), "pairs")
     links = _links(star, texts, rows, n, num, den)
     found = materialize(connected_components(links), "components")
 
-    placed = lists.select("key", "node", "size").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    several = placed.withColumns({"lo": F.min("component").over(own), "hi": F.max("component").over(own)}).where("lo < hi").select("key", "node", "size", "component")
+    placed = lists.select("key", "node", "size", "place").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    several = placed.withColumns({"lo": F.min("component").over(own), "hi": F.max("component").over(own)}).where("lo < hi").select("key", "node", "size", "place", "component")
     several = materialize(several, "several")
-    left, right = (several.select("key", *[F.col(x).alias(f"{x}_{s}") for x in ("node", "size", "component")]) for s in "ab")
-    rest = left.join(right, "key").where((F.col("node_a") > F.col("node_b")) & (F.col("component_a") != F.col("component_b")) & near(F.col("size_a"), F.col("size_b")))
+    left, right = (several.select("key", *[F.col(x).alias(f"{x}_{s}") for x in ("node", "size", "place", "component")]) for s in "ab")
+    rest = left.join(right, "key").where((F.col("node_a") > F.col("node_b")) & (F.col("component_a") != F.col("component_b")) & near("size_a", "size_b", "place_a", "place_b"))
     rest = rest.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct().join(star, ["a", "b"], "left_anti")
     more = _links(rest, texts, rows, n, num, den)
     found = connected_components(links.union(more))

@@ -24,7 +24,7 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup_lines(read_table(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines_dropped")
+    return dedup_lines(read_table(spark, sf_dir, "documents"), edits=True).select("doc_id", "text", "n_lines_dropped")
 
 
 def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -372,3 +372,42 @@ def test_line_dedup(spark, odd):
     assert len(rows) == odd.count() and dedup_lines(empty(odd)).count() == 0
     # the row without an id comes first in order; rows equal in id and text get equal results
     assert Counter(r.text for r in rows if r.doc_id in (6, 7, None)) == {"one two three four five six": 1, "": 3}
+
+
+def test_line_dedup_finds_edited_lines(spark):
+    """Recall against brute force on edit similarity alone, of real lines with altered words, letters and additions."""
+    import random
+
+    import duckdb
+
+    from roistack.llm.line_dedup import dedup_lines
+
+    rng = random.Random(5)
+    lines = [x for (x,) in duckdb.sql(f"SELECT DISTINCT line FROM (SELECT trim(unnest(string_split(text, chr(10)))) AS line FROM '{SF}/documents.parquet') WHERE length(line) BETWEEN 5 AND 600 ORDER BY md5(line) LIMIT 150").fetchall()]
+
+    def word(line):
+        words = line.split()
+        words[rng.randrange(len(words))] = "altered"
+        return " ".join(words)
+
+    def tenth(line):
+        words = line.split()
+        for k in rng.sample(range(len(words)), -(-len(words) // 10)):
+            at = rng.randrange(len(words[k]))
+            words[k] = words[k][:at] + "q" + words[k][at + 1 :]
+        return " ".join(words)
+
+    def fifth(line):
+        words = line.split()
+        for k in rng.sample(range(len(words)), len(words) // 6):
+            words[k] = words[k][::-1]
+        return " ".join(words)
+
+    copies = [(x, f(x)) for f in (word, tenth, fifth) for x in lines]
+    distance = lambda a, b: duckdb.execute("SELECT levenshtein(?, ?)", [a, b]).fetchone()[0]
+    norm = lambda x: re.sub(r"[ \t\r\f\v]+", " ", x).strip().lower()
+    known = set(map(norm, lines))
+    near = sorted({norm(b): b for a, b in copies if norm(b) not in known and 1 - distance(norm(a), norm(b)) / max(len(norm(a)), len(norm(b))) >= 0.8}.values())
+    df = frame(spark, ["\n".join(lines), *near])
+    lost = {r.doc_id for r in dedup_lines(df, edits=True).where("doc_id > 0 AND n_lines_dropped = 0").select("doc_id").collect()}
+    assert len(near) > 200 and len(lost) <= 0.02 * len(near), (len(lost), len(near))

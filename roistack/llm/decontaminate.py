@@ -2,15 +2,15 @@
 
 Words are runs of ASCII letters, digits and characters beyond ASCII, in lower
 case; shingles are five words (a shorter item: all its words).  An item of S
-shingles is looked for in windows of about its size, at most 0.8 S, that begin
-at every ``STRIDE``-th shingle of a text; the item itself has a fingerprint for
-each shift below the stride, so one window lies shingle for shingle within any
-copy of the item.  Windows and items meet if their 64-bit fingerprints differ
+shingles is looked for in windows of ``WINDOW`` shingles (a short item: at most 0.8 S) that begin
+at every ``STRIDE``-th shingle of a text; the item itself is tiled by such windows from its opening
+to its end, each with a fingerprint for each shift below the stride, so one window lies shingle for
+shingle within any copy of a tile, and a copy with few edits has a tile with hardly any.  Windows and items meet if their 64-bit fingerprints differ
 by at most ``radius`` bits: cut into blocks, two such fingerprints agree within
 ``radius // blocks`` bits in one block, and each block has a table of all values
 that near to an item's.  What meets is verified exactly: the weighted Jaccard
-similarity of the shingles' multisets, weights by rarity among the items, of
-the item and the window of its size, for starts near the place found.
+similarity of the shingles' multisets, weights by rarity among all items, of
+the item and the window of its size, for starts near the place found (words may have come or gone before the tile).
 
 The benchmark is read in slices of at most ``slice_items`` items, and only a
 slice's fingerprints go to the tasks; documents are read once for each slice,
@@ -36,6 +36,8 @@ from pyspark.sql import functions as F
 from .common import ALNUM, chunks, fold_case, shingle_hashes, text_bytes, word_hashes, words
 
 STRIDE = 4
+#: Shingles of a window, where the item isn't shorter.
+WINDOW = 24
 BLOCKS = ((0, 22), (22, 21), (43, 21))
 SCHEMA = "doc_id long, item_id long, similarity double, start long, n_words long"
 
@@ -45,10 +47,14 @@ def _window(shingles: int, threshold: float) -> tuple[int, int]:
     most = min(shingles - STRIDE + 1, int(threshold * shingles))
     if most < 2 * STRIDE:
         return max(1, int(threshold * shingles)), 1
-    size = 2 * STRIDE
-    while size + max(STRIDE, size // 2 // STRIDE * STRIDE) <= most:
-        size += max(STRIDE, size // 2 // STRIDE * STRIDE)
-    return size, STRIDE
+    return min(WINDOW, most // STRIDE * STRIDE), STRIDE
+
+
+def _tiles(shingles: int, size: int, stride: int) -> list[int]:
+    """Where an item's windows begin, evenly from its opening to its end."""
+    last = shingles - size - stride + 1
+    m = -(-last // size)
+    return sorted({last * k // m for k in range(m + 1)}) if last > 0 else [0]
 
 
 def fingerprints(h: np.ndarray, first: np.ndarray, sizes: list[int], stride: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -73,9 +79,9 @@ class _Tables:
     def __init__(self, radius: int):
         self.radius, self.prints, self.owners = radius, [], []
 
-    def add(self, prints: np.ndarray, owner: tuple[int, int]) -> None:
+    def add(self, prints: np.ndarray, item: int, shifts: list[int]) -> None:
         self.prints += prints.tolist()
-        self.owners += [(owner[0], shift) for shift in range(len(prints))]
+        self.owners += [(item, shift) for shift in shifts]
 
     def build(self) -> None:
         self.prints = np.array(self.prints, np.uint64)
@@ -108,7 +114,8 @@ class _Tables:
 class Items:
     """A slice of the benchmark, ready to be looked for."""
 
-    def __init__(self, texts: list[str | None], threshold: float, radius: int, n: int = 5):
+    def __init__(self, texts: list[str | None], threshold: float, radius: int, n: int = 5, df: dict[int, int] | None = None, total: int | None = None):
+        """``df``: items that hold a shingle, where they are several, and ``total``: all items; of the whole benchmark, where ``texts`` is a slice."""
         self.threshold, self.n = threshold, n
         self.shingles: list[np.ndarray] = []
         self.groups: dict[tuple[int, int, int], _Tables] = {}
@@ -121,13 +128,14 @@ class Items:
                 continue
             size, stride = _window(len(h), threshold)
             tables = self.groups.setdefault((length, size, stride), _Tables(radius))
-            shifts = [h[j : j + size] for j in range(stride if stride > 1 else 1)]
-            tables.add(np.concatenate([next(fingerprints(s, np.array([0, len(s)]), [size], stride))[1] for s in shifts]), (k, 0))
+            shifts = [tile + j for tile in _tiles(len(h), size, stride) for j in range(stride)]
+            tables.add(np.concatenate([next(fingerprints(h[j : j + size], np.array([0, size]), [size], stride))[1] for j in shifts]), k, shifts)
         for tables in self.groups.values():
             tables.build()
-        df = Counter(x for s in self.shingles for x in set(s.tolist()))
-        self.weights = {x: float(np.log1p(len(texts) / c)) for x, c in df.items()}
-        self.other = float(np.log1p(len(texts)))
+        own = Counter(x for s in self.shingles for x in set(s.tolist()))
+        total = len(texts) if total is None else total
+        self.weights = {x: float(np.log1p(total / (c if df is None else df.get(x, 1)))) for x, c in own.items()}
+        self.other = float(np.log1p(total))
         self.bags = [Counter(s.tolist()) for s in self.shingles]
 
     @staticmethod
@@ -157,14 +165,17 @@ class Items:
                 tables = self.groups[(length, size, stride)]
                 at, who = tables.near(prints)
                 row = np.searchsorted(first, begin[at], "right") - 1
-                seen = {(int(r), tables.owners[w][0], int(b) - tables.owners[w][1]) for r, w, b in zip(row, who, begin[at], strict=True)}
-                for r, item, start in sorted(seen):
-                    for shifted in range(start - 2, start + 3):
-                        lo, hi = max(shifted, int(first[r])), min(shifted + len(self.shingles[item]), int(first[r + 1]))
-                        s = self.similarity(item, h[lo:hi]) if hi > lo else 0.0
-                        here = (s, -(lo - int(first[r])))
-                        if s >= self.threshold and here > best.get((r, item), (0.0, 0)):
-                            best[(r, item)] = here
+                seen = set()
+                for r, w, b in zip(row, who, begin[at], strict=True):
+                    item, shift = tables.owners[w]
+                    slack = 2 + int((1 / self.threshold - 1) * shift)
+                    seen |= {(int(r), item, int(b) - shift + d) for d in range(-slack, slack + 1)}
+                for r, item, shifted in sorted(seen):
+                    lo, hi = max(shifted, int(first[r])), min(shifted + len(self.shingles[item]), int(first[r + 1]))
+                    s = self.similarity(item, h[lo:hi]) if hi > lo else 0.0
+                    here = (s, -(lo - int(first[r])))
+                    if s >= self.threshold and here > best.get((r, item), (0.0, 0)):
+                        best[(r, item)] = here
         return [(r, item, s, -start) for (r, item), (s, start) in sorted(best.items())]
 
 
@@ -181,14 +192,24 @@ def find_leaks(documents: DataFrame, benchmark: DataFrame, threshold: float = 0.
     """
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
-    slices = max(1, -(-items.count() // slice_items))
+    total = items.count()
+    slices = max(1, -(-total // slice_items))
+
+    def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            h, first = _shingles(*text_bytes(batch.column(0)), 5)
+            own = [np.unique(h[i:j]) for i, j in zip(first[:-1], first[1:], strict=True)]
+            yield pa.RecordBatch.from_pydict({"hash": np.concatenate([np.zeros(0, np.uint64), *own]).view(np.int64)})
+
+    several = items.select("text").mapInArrow(distinct, "hash long").groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").toArrow()
+    df = dict(zip(several.column("hash").to_numpy().view(np.uint64).tolist(), several.column("n").to_pylist(), strict=True))
     found = None
     for k in range(slices):
         own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(slices)) == k).orderBy("item_id", "text").toArrow()
         ids, source = own.column("item_id").to_pylist(), own.column("text").to_pylist()
 
         def run(batches: Iterator[pa.RecordBatch], ids=ids, source=source) -> Iterator[pa.RecordBatch]:
-            items = Items(source, threshold, radius)
+            items = Items(source, threshold, radius, df=df, total=total)
             for batch in batches:
                 data, offsets = text_bytes(batch.column(1))
                 docs = batch.column(0)

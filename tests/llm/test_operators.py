@@ -411,3 +411,42 @@ def test_line_dedup_finds_edited_lines(spark):
     df = frame(spark, ["\n".join(lines), *near])
     lost = {r.doc_id for r in dedup_lines(df, edits=True).where("doc_id > 0 AND n_lines_dropped = 0").select("doc_id").collect()}
     assert len(near) > 200 and len(lost) <= 0.02 * len(near), (len(lost), len(near))
+
+
+def test_decontaminate_finds_edited_copies():
+    """Recall against brute force at similarity 0.8, of items with words altered, inserted and taken out at all places."""
+    import random
+
+    import pyarrow as pa
+
+    from roistack.llm.common import text_bytes
+    from roistack.llm.decontaminate import Items, _shingles
+
+    rng = random.Random(2)
+    make = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    sources = [make(n) for n in (54, 60, 80, 104, 150, 204) for _ in range(6)]
+    items = Items([" ".join(w) for w in sources], 0.8, 11)
+    wanted = found = 0
+    for k, source in enumerate(sources):
+        for edit in range(12):
+            words = list(source)
+            for _ in range(rng.randrange(1, 2 + len(words) // 50)):
+                # a third of the copies have all edits in the opening
+                at = rng.randrange(len(words) // (3 if edit % 3 == 0 else 1))
+                words[at : at + (edit % 4 != 1)] = make(edit % 4 != 2)
+            data, offsets = text_bytes(pa.array([" ".join(make(rng.randrange(40)) + words + make(30))]))
+            h, _ = _shingles(data, offsets, 5)
+            if max(items.similarity(k, h[i : i + len(source) - 4]) for i in range(len(h))) >= 0.8:
+                wanted += 1
+                found += (0, k) in {m[:2] for m in items.matches(data, offsets)}
+    assert wanted > 200 and found >= 0.97 * wanted, (found, wanted)
+
+
+def test_decontaminate_weights_cover_all_slices(spark):
+    from roistack.llm.decontaminate import find_leaks
+
+    shared = " ".join(f"s{k}" for k in range(30))
+    items = spark.createDataFrame([(i, shared + " " + " ".join(f"i{i}w{k}" for k in range(30))) for i in range(8)], "item_id long, text string")
+    docs = frame(spark, [shared + " " + " ".join(f"i3w{k}" for k in range(27)) + " x y z"])
+    whole, sliced = ([(r.item_id, round(r.similarity, 9)) for r in find_leaks(docs, items, slice_items=n).collect()] for n in (2000, 1))
+    assert whole and whole == sliced

@@ -5,7 +5,8 @@ case; shingles are five words (a shorter item: all its words).  An item of S
 shingles is looked for in windows of ``WINDOW`` shingles (a short item: at most 0.8 S) that begin
 at every ``STRIDE``-th shingle of a text; the item itself is tiled by such windows from its opening
 to its end, each with a fingerprint for each shift below the stride, so one window lies shingle for
-shingle within any copy of a tile, and a copy with few edits has a tile with hardly any.  Windows and items meet if their 64-bit fingerprints differ
+shingle within any copy of a tile, and a copy with few edits has a tile with hardly any.  A larger
+window at the opening, of up to 0.8 S, finds copies whose edits are spread over all tiles.  Windows and items meet if their 64-bit fingerprints differ
 by at most ``radius`` bits: cut into blocks, two such fingerprints agree within
 ``radius // blocks`` bits in one block, and each block has a table of all values
 that near to an item's.  What meets is verified exactly: the weighted Jaccard
@@ -47,7 +48,10 @@ def _window(shingles: int, threshold: float) -> tuple[int, int]:
     most = min(shingles - STRIDE + 1, int(threshold * shingles))
     if most < 2 * STRIDE:
         return max(1, int(threshold * shingles)), 1
-    return min(WINDOW, most // STRIDE * STRIDE), STRIDE
+    size = 2 * STRIDE
+    while size + max(STRIDE, size // 2 // STRIDE * STRIDE) <= most:
+        size += max(STRIDE, size // 2 // STRIDE * STRIDE)
+    return size, STRIDE
 
 
 def _tiles(shingles: int, size: int, stride: int) -> list[int]:
@@ -79,7 +83,7 @@ class _Tables:
     def __init__(self, radius: int):
         self.radius, self.prints, self.owners = radius, [], []
 
-    def add(self, prints: np.ndarray, item: int, shifts: list[int]) -> None:
+    def add(self, prints: np.ndarray, item: int, shifts: range) -> None:
         self.prints += prints.tolist()
         self.owners += [(item, shift) for shift in shifts]
 
@@ -127,9 +131,11 @@ class Items:
             if not len(h):
                 continue
             size, stride = _window(len(h), threshold)
-            tables = self.groups.setdefault((length, size, stride), _Tables(radius))
-            shifts = [tile + j for tile in _tiles(len(h), size, stride) for j in range(stride)]
-            tables.add(np.concatenate([next(fingerprints(h[j : j + size], np.array([0, size]), [size], stride))[1] for j in shifts]), k, shifts)
+            places = {(size, 0)} | {(small, tile) for small in [min(size, WINDOW)] for tile in _tiles(len(h), small, stride)}
+            for size, tile in sorted(places):
+                tables = self.groups.setdefault((length, size, stride), _Tables(radius))
+                shifts = range(tile, tile + stride)
+                tables.add(np.concatenate([next(fingerprints(h[j : j + size], np.array([0, size]), [size], stride))[1] for j in shifts]), k, shifts)
         for tables in self.groups.values():
             tables.build()
         own = Counter(x for s in self.shingles for x in set(s.tolist()))

@@ -47,6 +47,7 @@ class WordEncoder(PieceEncoder):
     """Words between ASCII white space, cut again where an ASCII letter meets a mark, in lower case.
 
     The tokenizer splits at all these places before its merges, and lower-cases, so the ids are those of the whole text.
+    It finds special tokens before it lower-cases; such a place is a piece of its own, written in capitals, which no other piece holds.
     """
 
     def __init__(self, path: str, keep: int = 300_000):
@@ -55,16 +56,40 @@ class WordEncoder(PieceEncoder):
 
         super().__init__(keep)
         self.tokenizer = Tokenizer.from_file(path)
+        # from here on: what is left of a text once its special tokens are cut out, even if lower case makes it look like one
         self.tokenizer.encode_special_tokens = True
+        special = sorted((t.content, i) for i, t in self.tokenizer.get_added_tokens_decoder().items())
+        self.special = [(c.encode(), chr(65 + k), i) for k, (c, i) in enumerate(special)]
+
+    def _mark_special(self, raw: np.ndarray, folded: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Write special tokens of ``raw`` as capitals into ``folded``; where they begin and end."""
+        bounds = []
+        for content, letter, _ in self.special:
+            at = np.flatnonzero(raw[: max(len(raw) - len(content) + 1, 0)] == content[0])
+            for k in range(1, len(content)):
+                at = at[raw[at + k] == content[k]]
+            at = at[np.searchsorted(offsets, at, "right") == np.searchsorted(offsets, at + len(content) - 1, "right")]
+            for k in range(len(content)):
+                folded[at + k] = ord(letter)
+            bounds += [at, at + len(content)]
+        return np.concatenate(bounds) if bounds else np.zeros(0, np.int64)
 
     def cut(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        data = fold_case(data)
+        raw, data = data, fold_case(data)
+        special = self._mark_special(raw, data, offsets)
         starts, ends, _ = words(data, offsets, NON_SPACE)
         inner = np.flatnonzero(_LETTER[data[:-1]] & _MARK[data[1:]]) + 1
+        special = special[(special > 0) & (special < len(data))]
+        special = special[NON_SPACE[data[special - 1]] & NON_SPACE[data[special]]]
+        inner = np.union1d(inner, special)
         inner = inner[~np.isin(inner, offsets)]
         return data, np.sort(np.concatenate([starts, inner])), np.sort(np.concatenate([ends, inner]))
 
     def encode_pieces(self, pieces: list[str]) -> list[list[int]]:
+        marked = {letter * len(content): [i] for content, letter, i in self.special}
+        return [marked[w] if w in marked else ids for w, ids in zip(pieces, self._encode_plain(["" if w in marked else w for w in pieces]), strict=True)]
+
+    def _encode_plain(self, pieces: list[str]) -> list[list[int]]:
         # words of a to z alone are what normalising and splitting leave as they are: only the merges are to be done
         model = self.tokenizer.model
         plain = [w.isascii() and w.isalpha() for w in pieces]

@@ -117,8 +117,9 @@ def test_token_output(spark, documents, texts, odd):
         assert (back == ids).all() and (n == sizes).all()
     path = public_tokenizers.path("word_bpe_49k.json")
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
-    rows = {r.doc_id: r for r in round_trip(documents, path).collect()}
+    hard = ["hello <|endoftext|> world", "<|startoftext|>a<|endoftext|><|endoftext|>", "x<|ENDOFTEXT|>y <|endof text|>", "é<|endoftext|>\u0301 <|endoftext|", "<|endoftext|>", "a,<|startoftext|>,b don't", "<|endoftext|>'s"]
+    texts = texts | {10**6 + i: t for i, t in enumerate(hard)}
+    rows = {r.doc_id: r for r in round_trip(documents.select("doc_id", "text").union(frame(spark, hard, 10**6).select("doc_id", "text")), path).collect()}
     start = 0
     for i in sorted(texts):
         ids = tokenizer.encode(texts[i] or "", add_special_tokens=False).ids + [1]

@@ -46,7 +46,7 @@ from .piecewise import binary_rows, row_bytes
 
 #: Buckets of a set's bitmap.
 BITS = 2048
-#: Rows of ids that may be broadcast to pick texts; beyond that the texts are shuffled.
+#: Rows of ids or pairs of ids that may be broadcast; beyond that both sides are shuffled.
 BROADCAST_ROWS = 1_000_000
 
 
@@ -170,22 +170,34 @@ def _keys(texts: DataFrame, n: int, scheme: Scheme, frequent: np.ndarray, ranks:
     return texts.select("text").mapInArrow(run, "key long, node long, size long, light boolean, typical int, place long")
 
 
+def _if_small(table: DataFrame) -> DataFrame:
+    """A written table of ids or pairs, marked for broadcast where its rows are few."""
+    return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
+
+
 def _wanted_sets(texts: DataFrame, rows: DataFrame, nodes: DataFrame, n: int) -> DataFrame:
-    """node and elements (sorted, 64 bits each) of the given nodes, from one text of each."""
+    """node and elements (sorted, 64 bits each) of the given nodes, from texts that have them; a node may come more than once."""
     ids = rows.where("a is not null").groupBy(F.col("c").alias("node")).agg(F.min("a").alias("doc_id")).join(nodes, "node", "left_semi").select("doc_id")
-    ids = materialize(ids.distinct(), "wanted")
-    ids = F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
+    ids = _if_small(materialize(ids.distinct(), "wanted"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in batches:
             data, offsets = text_bytes(batch.column(0))
             for i, j in chunks(offsets):
                 h, first = _sets(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], n)
-                yield pa.RecordBatch.from_pydict({"node": _signatures(h, first), "elements": binary_rows(h.view(np.uint8), np.diff(first) * 8)})
+                own = _signatures(h, first)
+                fresh = np.zeros(len(own), bool)
+                for k, node in enumerate(own.tolist()):
+                    fresh[k] = node not in seen
+                    seen.add(node)
+                sizes = np.diff(first)
+                kept = h[np.repeat(fresh, sizes)]
+                yield pa.RecordBatch.from_pydict({"node": own[fresh], "elements": binary_rows(kept.view(np.uint8), sizes[fresh] * 8)})
 
-    sets = texts.join(ids, "doc_id", "left_semi").select("text").mapInArrow(run, "node long, elements binary")
-    # rows that share a doc_id may add further copies of a set, which only repeat a comparison
-    return sets.join(F.broadcast(nodes) if nodes.count() <= BROADCAST_ROWS else nodes, "node", "left_semi")
+    # a set that only rows without an id have is looked for among those
+    some = texts.join(ids, "doc_id", "left_semi").select("text").unionByName(texts.where("doc_id is null").select("text"))
+    return some.mapInArrow(run, "node long, elements binary").join(nodes, "node", "left_semi")
 
 
 def _plausible(pairs: DataFrame, rows: DataFrame, num: int, den: int) -> DataFrame:
@@ -200,14 +212,18 @@ def _plausible(pairs: DataFrame, rows: DataFrame, num: int, den: int) -> DataFra
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(fine), batch.column(1).filter(fine)], names=["a", "b"])
 
     pairs = materialize(pairs, "candidates")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("c")).distinct()
+    wanted = _if_small(materialize(pairs.select(F.explode(F.array("a", "b")).alias("c")).distinct(), "bitmaps-wanted"))
     sets = rows.where("b > 0").join(wanted, "c", "left_semi").groupBy("c").agg(F.first("b").alias("n"), F.first("bits").alias("bits"))
     one, two = (sets.select(F.col("c").alias(s), F.col("n").alias(f"n_{s}"), F.col("bits").alias(f"bits_{s}")) for s in "ab")
-    return materialize(pairs.join(one, "a").join(two, "b").select("a", "b", "n_a", "bits_a", "n_b", "bits_b").mapInArrow(run, "a long, b long"), "plausible")
+    both = one.join(_if_small(pairs), "a").join(two, "b")
+    return materialize(both.select("a", "b", "n_a", "bits_a", "n_b", "bits_b").mapInArrow(run, "a long, b long"), "plausible")
 
 
 def _links(pairs: DataFrame, texts: DataFrame, rows: DataFrame, n: int, num: int, den: int) -> DataFrame:
-    """The pairs a, b of nodes whose sets' similarity reaches the threshold."""
+    """The pairs a, b of nodes whose sets' similarity reaches the threshold.
+
+    ``a`` is the side whose sets go to where the other side's are, so it should be the one that has few partners.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -222,10 +238,11 @@ def _links(pairs: DataFrame, texts: DataFrame, rows: DataFrame, n: int, num: int
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(fine)), batch.column(1).filter(pa.array(fine))], names=["a", "b"])
 
     pairs = _plausible(pairs, rows, num, den)
-    nodes = materialize(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "nodes")
-    sets = _wanted_sets(texts, rows, nodes, n)
-    both = pairs.join(sets.select(F.col("node").alias("a"), F.col("elements").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("elements").alias("y")), "b")
-    return materialize(both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long"), "links")
+    few = _if_small(pairs)
+    one, two = (_wanted_sets(texts, rows, _if_small(materialize(pairs.select(F.col(s).alias("node")).distinct(), "nodes")), n) for s in "ab")
+    sent = one.select(F.col("node").alias("a"), F.col("elements").alias("x")).join(few, "a")
+    both = sent.join(two.select(F.col("node").alias("b"), F.col("elements").alias("y")), "b")
+    return materialize(both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long"), "links").distinct()
 
 
 def jaccard_components(documents: DataFrame, n: int = 3, num: int = 90, den: int = 100, c: int = 2, frequent: int = 200_000, local: int = 4) -> DataFrame:
@@ -256,16 +273,17 @@ def jaccard_components(documents: DataFrame, n: int = 3, num: int = 90, den: int
 
     # A key of single elements pairs what isn't light; two light sets meet under keys of subsets, which hold light sets only.
     star = lists.where((F.col("node") != F.col("leader")) & near("size", "leader_size", "place", "leader_place"))
-    star = materialize(star.select(F.greatest("node", "leader").alias("a"), F.least("node", "leader").alias("b")).distinct(), "pairs")
+    star = materialize(star.select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct(), "pairs")
     links = _links(star, texts, rows, n, num, den)
     found = materialize(connected_components(links), "components")
 
-    placed = lists.select("key", "node", "size", "place").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    placed = lists.select("key", "node", "size", "place").join(_if_small(found), "node", "left").withColumn("component", F.coalesce("component", "node"))
     several = placed.withColumns({"lo": F.min("component").over(own), "hi": F.max("component").over(own)}).where("lo < hi").select("key", "node", "size", "place", "component")
     several = materialize(several, "several")
     left, right = (several.select("key", *[F.col(x).alias(f"{x}_{s}") for x in ("node", "size", "place", "component")]) for s in "ab")
     rest = left.join(right, "key").where((F.col("node_a") > F.col("node_b")) & (F.col("component_a") != F.col("component_b")) & near("size_a", "size_b", "place_a", "place_b"))
-    rest = rest.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct().join(star, ["a", "b"], "left_anti")
+    met = star.union(star.select("b", "a"))
+    rest = rest.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct().join(met, ["a", "b"], "left_anti")
     more = _links(rest, texts, rows, n, num, den)
     found = connected_components(links.union(more))
 

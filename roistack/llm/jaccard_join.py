@@ -44,8 +44,8 @@ from .common import NON_SPACE, chunks, fold_case, materialize, mix, shingle_hash
 from .graph import connected_components
 from .piecewise import binary_rows, row_bytes
 
-#: Buckets of a set's bitmap.
-BITS = 2048
+#: Least buckets of a set's bitmap; it has twice to four times as many as the set has elements, a power of two.
+BITS = 64
 #: Rows of ids or pairs of ids that may be broadcast; beyond that both sides are shuffled.
 BROADCAST_ROWS = 1_000_000
 
@@ -69,11 +69,25 @@ def _signatures(h: np.ndarray, first: np.ndarray) -> np.ndarray:
     return mix(sums[first[1:]] - sums[first[:-1]] + np.diff(first).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)).view(np.int64)
 
 
-def _bitmaps(h: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Which of ``BITS`` buckets each row's elements fall into, packed; empty buckets bound what two sets share."""
-    bits = np.zeros((len(first) - 1, BITS), np.uint8)
-    bits[np.repeat(np.arange(len(first) - 1), np.diff(first)), (mix(h) % np.uint64(BITS)).astype(np.int64)] = 1
-    return np.packbits(bits, axis=1)
+def _bitmaps(h: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which buckets each row's elements fall into, packed, and the bytes of each row; empty buckets bound what two sets share."""
+    n = np.diff(first)
+    size = np.maximum(BITS, 1 << np.ceil(np.log2(np.maximum(2 * n, 1))).astype(np.int64))
+    begin = np.cumsum(size) - size
+    bits = np.zeros(int(size.sum()), np.uint8)
+    bits[np.repeat(begin, n) + (mix(h) & (np.repeat(size, n) - 1).astype(np.uint64)).astype(np.int64)] = 1
+    return np.packbits(bits), size // 8
+
+
+def _most_shared(x: np.ndarray, n: int, y: np.ndarray, m: int) -> int:
+    """The most elements that sets of ``n`` and ``m`` elements with these bitmaps can share."""
+    while len(x) != len(y):
+        if len(x) > len(y):
+            x = x[: len(x) // 2] | x[len(x) // 2 :]
+        else:
+            y = y[: len(y) // 2] | y[len(y) // 2 :]
+    x, y = x.view(np.uint64), y.view(np.uint64)
+    return min(n - int(np.bitwise_count(x & ~y).sum()), m - int(np.bitwise_count(y & ~x).sum()))
 
 
 def _scan(texts: DataFrame, n: int, local: int) -> DataFrame:
@@ -88,7 +102,7 @@ def _scan(texts: DataFrame, n: int, local: int) -> DataFrame:
             seen: list[np.ndarray] = []
             for i, j in chunks(offsets, 4 << 20):
                 h, first = _sets(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], n)
-                yield rows(0, batch.column(0).slice(i, j - i), np.diff(first), _signatures(h, first), binary_rows(_bitmaps(h, first).ravel(), np.full(j - i, BITS // 8)))
+                yield rows(0, batch.column(0).slice(i, j - i), np.diff(first), _signatures(h, first), binary_rows(*_bitmaps(h, first)))
                 seen.append(h)
                 if j == len(offsets) - 1 or sum(map(len, seen)) > 1 << 22:
                     heads, counts = np.unique(np.concatenate(seen), return_counts=True)
@@ -205,11 +219,13 @@ def _plausible(pairs: DataFrame, rows: DataFrame, num: int, den: int) -> DataFra
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, m = batch.column(2).to_numpy(), batch.column(4).to_numpy()
-            x, y = (row_bytes(batch.column(k))[0].view(np.uint64).reshape(-1, BITS // 64) for k in (3, 5))
-            both = np.minimum(n - np.bitwise_count(x & ~y).sum(axis=1, dtype=np.int64), m - np.bitwise_count(y & ~x).sum(axis=1, dtype=np.int64))
-            fine = pa.array(den * both >= num * (n + m - both))
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(fine), batch.column(1).filter(fine)], names=["a", "b"])
+            n, m = (batch.column(k).to_pylist() for k in (2, 4))
+            (x, fx), (y, fy) = (row_bytes(batch.column(k)) for k in (3, 5))
+            fine = np.zeros(batch.num_rows, bool)
+            for k in range(batch.num_rows):
+                both = _most_shared(x[fx[k] : fx[k + 1]], n[k], y[fy[k] : fy[k + 1]], m[k])
+                fine[k] = den * both >= num * (n[k] + m[k] - both)
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(fine)), batch.column(1).filter(pa.array(fine))], names=["a", "b"])
 
     pairs = materialize(pairs, "candidates")
     wanted = _if_small(materialize(pairs.select(F.explode(F.array("a", "b")).alias("c")).distinct(), "bitmaps-wanted"))

@@ -247,6 +247,17 @@ def test_jaccard_join(spark, odd, n, num, den):
         assert jaccard_components(empty(odd)).count() == 0
 
 
+def test_jaccard_bitmaps_never_rule_out_a_link():
+    from roistack.llm.jaccard_join import _bitmaps, _most_shared
+
+    rng = np.random.default_rng(4)
+    for n in (1, 3, 60, 70, 1000, 5000):
+        for m in (n, n + n // 9 + 1):
+            x, y = (np.unique(rng.integers(0, 2 * max(n, m), k)).astype(np.uint64) for k in (n, m))
+            packed, sizes = _bitmaps(np.concatenate([x, y]), np.array([0, len(x), len(x) + len(y)]))
+            assert _most_shared(packed[: sizes[0]], len(x), packed[sizes[0] :], len(y)) >= len(np.intersect1d(x, y))
+
+
 def test_connected_components(spark):
     from roistack.llm.graph import connected_components
 

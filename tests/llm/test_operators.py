@@ -349,13 +349,13 @@ def edit_distance(a, b):
 
 
 def test_line_dedup(spark, odd):
-    from roistack.llm.line_dedup import bit_counts, block_keys, dedup_lines, line_words, majority
+    from roistack.llm.line_dedup import bit_counts, block_keys, dedup_lines, line_words, majority, word_hashes
 
     base = "the quick brown fox jumps over the lazy dog while seven wizards quietly mix potent liquid jokes near a bank of the river"
     lines = [base, base.replace("fox", "cat"), base.upper(), base.replace(" ", "  "), "short", "Short ", "", "other line", base + " " + "x" * 3, "a | b | c | d", "e | f | g | h"]
     texts = ["\n".join(lines), "first\n" + base + "\n\nlast", "short", None, ""]
     df = frame(spark, texts)
-    prints = {r.line: (r.node, r.f) for r in spark.createDataFrame([(x,) for x in lines], "l string").where("l <> ''").select(line_words(F.lower("l")).alias("w")).distinct().select(F.array_join("w", " ").alias("line"), F.xxhash64("w").alias("node"), majority(bit_counts(F.col("w")), F.size(F.array_distinct("w"))).alias("f")).collect()}
+    prints = {r.line: (r.node, r.f) for r in spark.createDataFrame([(x,) for x in lines], "l string").where("l <> ''").select(line_words(F.lower("l")).alias("w")).distinct().select(F.array_join("w", " ").alias("line"), F.xxhash64("w").alias("node"), majority(bit_counts(F.array_distinct(word_hashes(F.col("w")))), F.size(F.array_distinct("w"))).alias("f")).collect()}
     assert bin(prints[base][1] & (2**64 - 1)).count("1") < 64
     label = {x: x for x in prints}
     for _ in prints:

@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 #: Token names and the patterns that all values of a token column must match.
 TOKEN_PATTERNS = {"filename": r"\.lif$", "roi": r"\d{4}-\d{4}-\d{4}$", "pos": r"^[Pp]osition\d+$"}
+#: Fixed value: what stands between the tokens of a label.
 SEPARATORS = r"(/)|(\s+)|(:)"
 #: The twelve-colour qualitative palette named Paired.
 PAIRED = ["#A6CEE3", "#1F78B4", "#B2DF8A", "#33A02C", "#FB9A99", "#E31A1C", "#FDBF6F", "#FF7F00", "#CAB2D6", "#6A3D9A", "#FFFF99", "#B15928"]
+#: The greys of invalid features and of failed ROIs.
 INVALID_COLOUR, FAILED_COLOUR = "gray40", "gray80"
 
 

@@ -40,6 +40,27 @@ def fail_reasons(polygons: DataFrame, include: str | None = "include", area_rang
     return polygons.withColumn("fail_reason", reason)
 
 
+def stop_where_empty(tested: DataFrame) -> None:
+    """Raise an error that names a position without any ROI left and the filter that took its last ones."""
+    last = F.max(F.when(F.col("fail_reason") == "area", 3).when(F.col("fail_reason") == "name", 2).when(F.col("fail_reason") == "excluded", 1))
+    empty = tested.groupBy("name").agg(F.count_if(F.col("fail_reason").isNull()).alias("n"), last.alias("last")).where("n = 0").orderBy("name").first()
+    if empty:
+        reason = {1: "flag", 2: "name", 3: "area"}[empty["last"]]
+        raise ValueError(f"No ROI of position {empty['name']!r} passes the filters: the last ones fail by {reason}")
+
+
+def filter_features(features: DataFrame, regex: str, fold_case: bool = False) -> DataFrame:
+    """Rows whose feature_id matches; ``fold_case``: looked for in the id's lower case."""
+    feature_id = F.lower("feature_id") if fold_case else F.col("feature_id")
+    return features.where(feature_id.rlike(regex))
+
+
+def slice_by_rank(df: DataFrame, rank: int) -> DataFrame:
+    """Rows on the slice that is the ``rank``-th, from 1, of all slices there are; none beyond the last."""
+    slices = [r["z"] for r in df.select("z").distinct().orderBy("z").limit(rank).collect()]
+    return df.where(F.col("z") == slices[-1]) if len(slices) == rank else df.limit(0)
+
+
 def edge_order(pairs: DataFrame) -> DataFrame:
     """Pairs with edge_idx, their place in a position by roi_2 and then roi_1, and opens: both ROIs are met first here."""
     place = Window.partitionBy("name").orderBy("ord_2", "ord_1")
@@ -95,8 +116,8 @@ def define_feature_group(
     """
     tested = materialize(fail_reasons(as_polygons(rois), pre_roi_filter_colname, roi_area_range, roi_regex), "rois")
     survivors = tested.where("fail_reason IS NULL")
-    if strict and survivors.isEmpty() and not tested.isEmpty():
-        raise ValueError("No ROI passes the filters")
+    if strict:
+        stop_where_empty(tested)
     pairs = materialize(find_z_intersect(survivors, max_z_dist, min_intersect_ratio, cell).select("name", "ord_1", "ord_2"), "pairs")
     nodes, components = component_table(survivors, pairs)
     named = nodes.join(name_components(components, min_z_span, min_avg_area, feature_prefix, invalid_feature_prefix, compat == "literal"), ["name", "component"]).select("name", "ord", "feature_id")

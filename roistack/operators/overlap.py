@@ -1,7 +1,8 @@
 """Polygons that overlap: across slices of one set, or on the same slice of two sets.
 
-Candidates come from an equi-join on position, slice and, where asked for, grid
-cell, with a test of bounding boxes; the exact test runs on pairs of edges that
+Candidates come from an equi-join on position, slice and grid cell, with a test of
+bounding boxes; a cell is as large as nearly all boxes, so a polygon lies in a few
+cells and meets only its neighbours.  The exact test runs on pairs of edges that
 are generated in place and summed again for each pair.
 """
 
@@ -42,13 +43,25 @@ def _side(df: DataFrame, s: str, extra: list[str]) -> DataFrame:
     return df.select(*[F.col(c).alias(f"{c}_{s}") for c in ("name", "roi", "z", "ord", "ring", "area", "ori", "xmin", "ymin", "xmax", "ymax", *extra)])
 
 
-def _cells(df: DataFrame, s: str, size: float | None) -> DataFrame:
-    if not size:
-        return df
+def cell_size(*sides: DataFrame) -> float:
+    """The side of grid cells: what nine tenths of the boxes don't exceed, at least a hundredth of the longest one."""
+    spans = [df.select(F.greatest(F.col("xmax") - F.col("xmin"), F.col("ymax") - F.col("ymin")).alias("s")) for df in sides]
+    each = [df.agg(F.percentile_approx("s", 0.9, 1000), F.max("s")).first() for df in spans]
+    return max([1e-9, *(max(q, most / 100) for q, most in each if q is not None)])
+
+
+def _cells(df: DataFrame, s: str, size: float) -> DataFrame:
     span = lambda a: F.sequence(F.floor(F.col(f"{a}min_{s}") / size), F.floor(F.col(f"{a}max_{s}") / size))
     return df.withColumn(f"cx_{s}", F.explode(span("x"))).withColumn(f"cy_{s}", F.explode(span("y")))
 
 
+def _candidates(a: DataFrame, b: DataFrame, condition: Column, cell: float) -> DataFrame:
+    """Pairs whose boxes meet, each in the one cell that holds the lower left corner of what the boxes share."""
+    box = F.expr("xmax_a >= xmin_b AND xmax_b >= xmin_a AND ymax_a >= ymin_b AND ymax_b >= ymin_a")
+    own = (F.col("cx_a") == F.col("cx_b")) & (F.col("cy_a") == F.col("cy_b")) & F.expr(f"cx_a = floor(greatest(xmin_a, xmin_b) / {cell!r}D) AND cy_a = floor(greatest(ymin_a, ymin_b) / {cell!r}D)")
+    return _cells(a, "a", cell).join(_cells(b, "b", cell), condition & box & own)
+
+
 def _compared(pairs: DataFrame, keep: list[str]) -> DataFrame:
     """Of candidate pairs of sides a and b those that intersect, with the area they share."""
     pair = pairs.withColumns({
@@ -74,11 +87,12 @@ def find_z_intersect(polygons: DataFrame, max_z_dist: float | None = 1, min_inte
     roi_1 comes after roi_2 in order of appearance.  With ``0 < max_z_dist < inf`` only pairs at most so many slices
     apart, and not on one slice, remain; otherwise any pair does, each polygon with itself too.  With a ratio in
     [0, 1] only pairs that share so much of the smaller area remain, and the area columns are there.
+    ``cell``: side of the grid's cells, from the boxes' sizes unless given.
     """
     by_z = max_z_dist is not None and 0 < max_z_dist < math.inf
     by_ratio = min_intersect_ratio is not None and 0 <= min_intersect_ratio <= 1
     a, b = _side(polygons, "a", []), _side(polygons, "b", [])
-    condition = F.col("name_a").eqNullSafe(F.col("name_b")) & F.expr("xmax_a >= xmin_b AND xmax_b >= xmin_a AND ymax_a >= ymin_b AND ymax_b >= ymin_a")
+    condition = F.col("name_a").eqNullSafe(F.col("name_b"))
     if by_z:
         # both directions of the slice distance, so that the join's key is the slice itself
         near = F.array(*[F.col("z_a") + d for k in range(1, int(max_z_dist) + 1) for d in (-k, k)])
@@ -86,22 +100,17 @@ def find_z_intersect(polygons: DataFrame, max_z_dist: float | None = 1, min_inte
         condition &= (F.col("z_key") == F.col("z_b")) & (F.col("ord_a") > F.col("ord_b"))
     else:
         condition &= F.col("ord_a") >= F.col("ord_b")
-    if cell:
-        a, b = _cells(a, "a", cell), _cells(b, "b", cell)
-        condition &= (F.col("cx_a") == F.col("cx_b")) & (F.col("cy_a") == F.col("cy_b"))
-        condition &= F.expr(f"cx_a = floor(greatest(xmin_a, xmin_b) / {cell}) AND cy_a = floor(greatest(ymin_a, ymin_b) / {cell})")
     keep = ["name_a", "roi_a", "roi_b", "z_a", "z_b", "ord_a", "ord_b", "area_a", "area_b"]
-    pairs = _compared(a.join(b, condition), keep).withColumns({"min_area": F.least("area_a", "area_b"), "int_ratio": _ratio(), "z_dist": F.abs(F.col("z_a") - F.col("z_b"))})
+    pairs = _compared(_candidates(a, b, condition, cell or cell_size(polygons)), keep).withColumns({"min_area": F.least("area_a", "area_b"), "int_ratio": _ratio(), "z_dist": F.abs(F.col("z_a") - F.col("z_b"))})
     pairs = pairs.where(F.col("int_ratio") >= min_intersect_ratio) if by_ratio else pairs
     names = {"name_a": "name", "roi_a": "roi_1", "roi_b": "roi_2", "ord_a": "ord_1", "ord_b": "ord_2"} | ({"z_a": "z1", "z_b": "z2", "z_dist": "z_dist"} if by_z else {})
     names |= {"area_a": "area_1", "area_b": "area_2", "int_area": "int_area", "min_area": "min_area", "int_ratio": "int_ratio"} if by_ratio else {}
     return pairs.select(*[F.col(k).alias(v) for k, v in names.items()])
 
 
-def same_slice_pairs(first: DataFrame, second: DataFrame, extra: list[str]) -> DataFrame:
+def same_slice_pairs(first: DataFrame, second: DataFrame, extra: list[str], cell: float | None = None) -> DataFrame:
     """Pairs of measured polygons of two sets that intersect on a slice: sides a and b with ``extra`` columns, int_area and int_ratio."""
     a, b = _side(first, "a", extra), _side(second, "b", extra)
-    box = F.expr("xmax_a >= xmin_b AND xmax_b >= xmin_a AND ymax_a >= ymin_b AND ymax_b >= ymin_a")
-    keep = [f"{c}_{s}" for c in ("name", "roi", "z", "area", *extra) for s in "ab"]
-    pairs = a.join(b, F.col("name_a").eqNullSafe(F.col("name_b")) & (F.col("z_a") == F.col("z_b")) & box)
+    keep = [f"{c}_{s}" for c in ("name", "roi", "z", "ord", "area", *extra) for s in "ab"]
+    pairs = _candidates(a, b, F.col("name_a").eqNullSafe(F.col("name_b")) & (F.col("z_a") == F.col("z_b")), cell or cell_size(first, second))
     return _compared(pairs, keep).withColumn("int_ratio", _ratio())

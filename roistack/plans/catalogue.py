@@ -10,7 +10,7 @@ from ..functions import geometry as G
 from ..functions import labels as L
 from ..operators import raster as R
 from ..operators.components import connected_components
-from ..operators.features import as_polygons, component_table, define_feature_group, fail_reasons
+from ..operators.features import as_polygons, component_table, define_feature_group, fail_reasons, filter_features, slice_by_rank
 from ..operators.match import find_overlap_features, first_match, match_statistics
 from ..operators.overlap import find_z_intersect, same_slice_pairs
 from ..sources import fixtures as X
@@ -199,6 +199,16 @@ def unmatched_rois(spark: SparkSession, sf: str) -> DataFrame:
     return _features(spark, sf).where("feature_id = 'failed_ROI_overlap'").select("name", "roi")
 
 
+@query(O.features("v", X.VERTICES, "SELECT name, roi, feature_id FROM features WHERE regexp_matches(lower(feature_id), '^failed_roi')"))
+def filter_folded(spark: SparkSession, sf: str) -> DataFrame:
+    return filter_features(_features(spark, sf), "^failed_roi", fold_case=True).select("name", "roi", "feature_id")
+
+
+@query(O.polygons("SELECT name, roi, z FROM p WHERE z = (SELECT z FROM (SELECT DISTINCT z FROM p) ORDER BY z LIMIT 1 OFFSET 4)"))
+def slice_of_rank(spark: SparkSession, sf: str) -> DataFrame:
+    return slice_by_rank(_polygons(spark, sf).select("name", "roi", "z"), 5)
+
+
 # --- matching --------------------------------------------------------------------------
 
 
@@ -361,10 +371,11 @@ def pixel_auto_threshold(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(R.auto_threshold(X.pixels(spark, sf)).select("name", "ch", "threshold"), "threshold")
 
 
-@query(O.particles("SELECT name, region, 4 * count(*) - coalesce(any_value(n), 0) AS sides FROM b LEFT JOIN (SELECT u.name, u.region, count(*) AS n FROM b u JOIN b w ON u.name = w.name AND u.region = w.region AND abs(u.x - w.x) + abs(u.y - w.y) = 1 GROUP BY ALL) USING (name, region) GROUP BY ALL HAVING count(*) <= 3"))
+@query()
 def pixel_outlines(spark: SparkSession, sf: str) -> DataFrame:
-    """The length of the outlines of regions of at most three pixels, which have no holes: the number of their sides."""
-    labelled = R.label_regions(_mask(spark, sf))
-    small = labelled.groupBy("name", "region").agg(F.count("*").alias("n")).where("n <= 3")
-    traced = R.outlines(labelled.join(small.drop("n"), ["name", "region"], "left_semi"))
-    return traced.groupBy("name", "region").agg(F.count("*").alias("sides"))
+    """Corners, sides and area of the outer outline of every region; a test walks the same boundaries by brute force."""
+    traced = R.outlines(R.label_regions(_mask(spark, sf)))
+    following = F.lead("x").over(Window.partitionBy("name", "region").orderBy("ord"))
+    first = F.first("x").over(Window.partitionBy("name", "region").orderBy("ord"))
+    sided = traced.withColumn("nx", F.coalesce(following, first))
+    return sided.groupBy("name", "region").agg(F.count("*").alias("sides"), F.sum((F.col("x") - F.col("nx")) * F.col("y")).alias("area"), F.min("x").alias("xmin"), F.max("x").alias("xmax"), F.min("y").alias("ymin"), F.max("y").alias("ymax"))

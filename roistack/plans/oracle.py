@@ -22,11 +22,11 @@ def measurements(select: str, vertices: bool = False) -> str:
 def _polygons(s: str, vertices: str) -> str:
     """CTEs {s}e of edges and {s}p of polygons."""
     return f"""{s}v AS ({_tables(vertices)}),
-{s}e AS (
+{s}e AS MATERIALIZED (
     SELECT *, x AS x1, y AS y1, coalesce(lead(x) OVER w, first_value(x) OVER w) AS x2, coalesce(lead(y) OVER w, first_value(y) OVER w) AS y2,
            row_number() OVER w - 1 AS i FROM {s}v WINDOW w AS (PARTITION BY name, roi ORDER BY ord)
 ),
-{s}p AS (
+{s}p AS MATERIALIZED (
     SELECT name, roi, z, min(ord) AS ord, count(*) AS n, min(x) AS xmin, min(y) AS ymin, max(x) AS xmax, max(y) AS ymax, {"bool_or(include)" if "include" in vertices else "true"} AS include,
            abs(sum(x1 * y2 - x2 * y1)) / 2 AS area, sign(sum(x1 * y2 - x2 * y1)) AS ori, sum(sqrt((x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1))) AS per
     FROM {s}e GROUP BY name, roi, z
@@ -37,15 +37,21 @@ def polygons(select: str) -> str:
     return f"WITH {_polygons('', VERTICES)}\n{select}"
 
 
-BOX = "a.xmax >= b.xmin AND b.xmax >= a.xmin AND a.ymax >= b.ymin AND b.ymax >= a.ymin"
+#: Boxes that meet, both in the one cell of 16 that holds the lower left corner of what they share.
+BOX = "a.cx = b.cx AND a.cy = b.cy AND a.cx = floor(greatest(a.xmin, b.xmin) / 16) AND a.cy = floor(greatest(a.ymin, b.ymin) / 16) AND a.xmax >= b.xmin AND b.xmax >= a.xmin AND a.ymax >= b.ymin AND b.ymax >= a.ymin"
+
+
+def _celled(table: str) -> str:
+    span = lambda a: f"unnest(range(CAST(floor({a}min / 16) AS BIGINT), CAST(floor({a}max / 16) AS BIGINT) + 1)) AS c{a}"
+    return f"(SELECT *, {span('y')} FROM (SELECT *, {span('x')} FROM {table}))"
 
 
 def _compared(name: str, candidates: str, e_a: str, e_b: str) -> str:
-    """CTE of the candidates (roi_a, roi_b, area_a, area_b, oris, y0) that intersect."""
-    return f"""{name}_c AS ({candidates}),
+    """CTE of the candidates, of names that are unique over all positions (roi_a, roi_b, area_a, area_b, oris, y0) that intersect."""
+    return f"""{name}_c AS MATERIALIZED ({candidates}),
 {name}_f AS (
-    SELECT c.*, ea.i AS ia, eb.i AS ib, ea.x1 AS ax1, ea.y1 AS ay1, ea.x2 AS ax2, ea.y2 AS ay2, eb.x1 AS bx1, eb.y1 AS by1, eb.x2 AS bx2, eb.y2 AS by2
-    FROM {name}_c c JOIN {e_a} ea ON ea.name = c.name AND ea.roi = c.roi_a JOIN {e_b} eb ON eb.name = c.name AND eb.roi = c.roi_b
+    SELECT c.name, c.roi_a, c.roi_b, c.oris, c.y0, ea.i AS ia, eb.i AS ib, ea.x1 AS ax1, ea.y1 AS ay1, ea.x2 AS ax2, ea.y2 AS ay2, eb.x1 AS bx1, eb.y1 AS by1, eb.x2 AS bx2, eb.y2 AS by2
+    FROM {name}_c c JOIN {e_a} ea ON ea.roi = c.roi_a JOIN {e_b} eb ON eb.roi = c.roi_b
 ),
 {name}_s AS (
     SELECT name, roi_a, roi_b, bool_or({EDGES_MEET}) AS meet, sum((ia = 0 AND {crosses("ax1", "ay1", "b")})::INT) % 2 AS a_in_b, sum((ib = 0 AND {crosses("bx1", "by1", "a")})::INT) % 2 AS b_in_a,
@@ -61,10 +67,10 @@ def _compared(name: str, candidates: str, e_a: str, e_b: str) -> str:
 def _pairs(s: str, max_z: int, ratio: float | None, where: str = "true") -> str:
     near = f"abs(a.z - b.z) BETWEEN 1 AND {max_z} AND a.ord > b.ord" if max_z else "a.ord >= b.ord"
     candidates = f"""SELECT a.name, a.roi AS roi_a, b.roi AS roi_b, a.z AS z1, b.z AS z2, abs(a.z - b.z) AS z_dist, a.ord AS ord_1, b.ord AS ord_2, a.area AS area_a, b.area AS area_b, a.ori * b.ori AS oris, least(a.ymin, b.ymin) AS y0
-    FROM {s}ok a JOIN {s}ok b ON a.name = b.name AND {near} AND {BOX}"""
+    FROM {_celled(f"{s}ok")} a JOIN {_celled(f"{s}ok")} b ON a.name = b.name AND {near} AND {BOX}"""
     return f"""{s}ok AS (SELECT * FROM {s}p WHERE {where}),
 {_compared(f"{s}x", candidates, f"{s}e", f"{s}e")},
-{s}pairs AS (SELECT *, roi_a AS roi_1, roi_b AS roi_2, area_a AS area_1, area_b AS area_2 FROM {s}x WHERE {"true" if ratio is None else f"int_ratio >= {ratio}"})"""
+{s}pairs AS MATERIALIZED (SELECT *, roi_a AS roi_1, roi_b AS roi_2, area_a AS area_1, area_b AS area_2 FROM {s}x WHERE {"true" if ratio is None else f"int_ratio >= {ratio}"})"""
 
 
 def _reach(s: str) -> str:
@@ -105,7 +111,7 @@ def _features(s: str, vertices: str, max_z_dist: int = 1, min_z_span: int = 5, m
     JOIN (SELECT l.name, r.component, min(edge_idx) AS first_edge, arg_min(label, edge_idx) AS label FROM {s}l l JOIN {s}r r ON r.name = l.name AND r.node = l.ord_1 GROUP BY ALL) USING (name, component)
 ),
 {numbered},
-{s}features AS (
+{s}features AS MATERIALIZED (
     SELECT p.name, p.roi, p.z, p.ord, p.area, p.ori, p.xmin, p.ymin, p.xmax, p.ymax,
            coalesce(d.feature_id, CASE WHEN {"NOT p.include" if include else "false"} THEN 'failed_ROI_excluded' ELSE 'failed_ROI_overlap' END) AS feature_id
     FROM {s}p p LEFT JOIN {s}r r ON r.name = p.name AND r.node = p.ord LEFT JOIN {s}d d ON d.name = r.name AND d.component = r.component
@@ -119,7 +125,7 @@ def features(s: str, vertices: str, select: str, **parameters) -> str:
 def matches(select: str) -> str:
     """CTEs m of all pairs of nucleolus and nucleus ROIs, a_features and b_features, and s of statistics by feature pair."""
     candidates = f"""SELECT a.name, a.roi AS roi_a, b.roi AS roi_b, a.feature_id AS f_id_1, b.feature_id AS f_id_2, a.area AS area_a, b.area AS area_b, a.ori * b.ori AS oris, least(a.ymin, b.ymin) AS y0
-    FROM a_features a JOIN b_features b ON a.name = b.name AND a.z = b.z AND {BOX}"""
+    FROM {_celled("a_features")} a JOIN {_celled("b_features")} b ON a.name = b.name AND a.z = b.z AND {BOX}"""
     return f"""WITH RECURSIVE {_features("a_", NUCLEOLI, max_z_dist=1, min_z_span=2, include=False)},
 {_features("b_", VERTICES, max_z_dist=3, min_z_span=5, min_avg_area=100.0, include=False)},
 {_compared("m", candidates, "a_e", "b_e")},

@@ -1,4 +1,4 @@
-"""Grouping and matching against a sequential transcription, and the documented quirks."""
+"""Grouping and matching against a plain loop, and the documented quirks."""
 
 import math
 import random

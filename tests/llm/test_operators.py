@@ -386,6 +386,32 @@ def test_line_dedup(spark, odd):
     assert Counter(r.text for r in rows if r.doc_id in (6, 7, None)) == {"one two three four five six": 1, "": 3}
 
 
+def test_line_dedup_crowds(spark):
+    """Lines that share a passage stay unless they are near copies; blocks of fingerprints keep what lies within their radius."""
+    import random
+
+    from roistack.llm.line_dedup import _crowd_keys, dedup_lines
+
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randrange(4, 9)))
+    passage = [word() for _ in range(25)]
+    lines = [[word() for _ in range(9)] + passage + [word() for _ in range(9)] for _ in range(60)]
+    copies = [[*line[:2], "altered", *line[3:]] for line in lines[:10]]
+    out = dedup_lines(frame(spark, [" ".join(x) for x in lines + copies]), edits=True).select("doc_id", "n_lines_dropped").collect()
+    assert {r.doc_id for r in out if r.n_lines_dropped} == set(range(60, 70))
+
+    pairs = []
+    for n in (5, 30, 2000, 10**6):
+        radius = 64 // math.ceil(1.5 * math.log2(n)) - 1
+        for _ in range(20):
+            f = rng.getrandbits(64)
+            g = f ^ sum(1 << k for k in rng.sample(range(64), radius))
+            pairs.append((n, *[x - (1 << 64) if x >> 63 else x for x in (f, g)]))
+    both = spark.createDataFrame(pairs, "n long, f long, g long")
+    met = both.select(F.arrays_overlap(*[_crowd_keys(F.lit(7).cast("long"), F.col(c), F.col("n")) for c in "fg"]).alias("met"))
+    assert all(r.met for r in met.collect())
+
+
 def test_line_dedup_finds_edited_lines(spark):
     """Recall against brute force on edit similarity alone, of real lines with altered words, letters and additions."""
     import random

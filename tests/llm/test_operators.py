@@ -173,14 +173,76 @@ def test_lm_score(spark, documents, texts, odd):
     assert score_documents(odd, held_out).count() == odd.count() and score_documents(empty(odd), held_out).count() == 0
 
 
-def test_lm_probabilities_sum_to_one():
-    import pyarrow as pa
+def test_lm_tree_by_brute_force(spark, documents, texts):
+    """The whole tree, grown and used by plain loops: every context that passes the test, none left out."""
+    from roistack.llm.lm_score import score_documents
 
+    held_out, frequent, depth, min_count, divergence, start = F.col("doc_id") % 5 == 0, 40, 3, 15, 0.5, "<start>"
+    tokens = {i: WORD.findall(low(t)) for i, t in texts.items()}
+    train = [i for i in texts if i % 5]
+    counts = Counter(w for i in train for w in tokens[i])
+    total, kinds = sum(counts.values()) + len(train), len(counts) + 1
+    once, twice = (sum(n == k for n in counts.values()) for k in (1, 2))
+    discount = once / (once + 2 * twice)
+    known = frequent + math.isqrt(total // 4)
+    least = sorted(counts.values(), reverse=True)[known - 1]
+    top = {w for w, n in counts.items() if n > least}
+    if len([n for n in counts.values() if n >= least]) == known:
+        top = {w for w, n in counts.items() if n >= least}
+    else:
+        known = len(top)  # ties at the edge are cut by hash: take fewer
+        frequent = known - math.isqrt(total // 4)
+    name = lambda w: w if w in top else None
+    root = {w: (counts[w] - discount) / total for w in top} | {"\n": (len(train) - discount) / total}
+    root[None] = 1 - sum(root.values())
+
+    def places(words):
+        flow = [start] + [name(w) for w in words] + ["\n"]
+        for at in range(1, len(flow)):
+            chain = []
+            for k in range(1, depth + 1):
+                if at - k < 0 or k > 1 and (None in flow[at - k : at]):
+                    break
+                chain.append(tuple(flow[at - k : at]))
+            yield flow[at], chain
+
+    after = defaultdict(Counter)
+    for i in train:
+        for symbol, chain in places(tokens[i]):
+            for context in chain:
+                after[context][symbol] += 1
+    after = {c: n for c, n in after.items() if sum(n.values()) >= min_count}
+    share = lambda c, s: after[c][s] / sum(after[c].values()) if c else root[s]
+    tree = set()
+    for c, n in after.items():
+        gain = sum(m * math.log(share(c, s) / share(c[1:], s)) for s, m in n.items())
+        if gain > divergence * (len(n) + 1):
+            tree.update(c[k:] for k in range(len(c)))
+    assert any(len(c) == depth for c in tree)
+
+    def probability(symbol, chain):
+        p = root[symbol]
+        for c in chain:
+            if c not in tree:
+                break
+            p = (after[c][symbol] + len(after[c]) * p) / (sum(after[c].values()) + len(after[c]))
+        return p
+
+    rest = {w: math.log10((counts[w] - discount) / total / root[None]) for w in counts if w not in top}
+    unknown = math.log10(discount * kinds / total / root[None])
+    for r in score_documents(documents, held_out, depth, frequent, min_count, divergence, block_docs=50).collect():
+        flow = list(zip(tokens[r.doc_id] + ["\n"], places(tokens[r.doc_id]), strict=True))
+        own = sum(math.log10(probability(s, chain)) + (rest.get(w, unknown) if s is None else 0) for w, (s, chain) in flow)
+        assert r.score == pytest.approx(own)
+
+
+def test_lm_probabilities_sum_to_one():
     from roistack.llm.lm_score import BITS, END, SuffixTree, Symbols
 
-    keys = [(4 << BITS) | 5, (4 << BITS) | END, (5 << BITS | 4) << BITS | 4]
+    longer = 5 << BITS | 4
+    contexts, follows = np.array([4, 4, 4, longer, longer], np.uint64), np.array([0, 5, END, 0, 4])
     root = np.array([0, 0, 0.5, 0.1, 0.3, 0.1])
-    tree = SuffixTree(pa.table({"key": keys, "n": [7, 3, 2]}), root, 2)
+    tree = SuffixTree(contexts, follows, np.array([10, 7, 3, 2, 2]), np.array([2, 0, 0, 1, 0]), root)
     for context in ([4], [5, 4], [2]):
         total = 0.0
         for symbol in (2, 3, 4, 5):

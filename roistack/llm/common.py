@@ -20,6 +20,9 @@ from pyspark.sql import functions as F
 #: Bytes of text that are looked at together; a longer document is a chunk of its own.
 CHUNK_BYTES = 1 << 20
 
+#: Spark's setting to remove the shuffle files of an execution at its end.
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 _scratch: dict[str, str] = {}
 
 
@@ -57,10 +60,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def materialize(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: cuts lineage, survives lost executors."""
+    """Write ``df`` to the shared folder and read it back: cuts lineage, survives lost executors.
+
+    The shuffles behind the table are of no use once it is written, and are removed then.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.option("compression", compression).parquet(path)
+    before = spark.conf.get(CLEAN_UP, "false")
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        df.write.option("compression", compression).parquet(path)
+    finally:
+        spark.conf.set(CLEAN_UP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

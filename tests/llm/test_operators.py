@@ -173,10 +173,13 @@ def test_lm_score(spark, documents, texts, odd):
     assert score_documents(odd, held_out).count() == odd.count() and score_documents(empty(odd), held_out).count() == 0
 
 
-def test_lm_tree_by_brute_force(spark, documents, texts):
+@pytest.mark.parametrize("head", [0, 200])
+def test_lm_tree_by_brute_force(spark, documents, texts, head, monkeypatch):
     """The whole tree, grown and used by plain loops: every context that passes the test, none left out."""
-    from roistack.llm.lm_score import score_documents
+    from roistack.llm import lm_score
 
+    monkeypatch.setattr(lm_score, "HEAD_ROWS", head)
+    score_documents = lm_score.score_documents
     held_out, frequent, depth, min_count, divergence, start = F.col("doc_id") % 5 == 0, 40, 3, 15, 0.5, "<start>"
     tokens = {i: WORD.findall(low(t)) for i, t in texts.items()}
     train = [i for i in texts if i % 5]

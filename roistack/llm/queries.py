@@ -11,11 +11,14 @@ from .ann_search import nearest
 from .common import read_table
 from .decontaminate import find_leaks
 from .jaccard_join import jaccard_components
+from .lexical_search import rank_documents
 from .license_scan import scan_licenses
 from .line_dedup import dedup_lines
 from .lm_score import score_documents
 from .quality import fit_quality, score_quality
 from .secret_scan import scan_secrets
+from .simhash_dedup import simhash_components
+from .spelling_variants import spelling_forms
 from .token_output import round_trip
 
 
@@ -63,7 +66,25 @@ def op10_ann_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(read_table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_line_dedup, op3_lm_score, op4_license_scan, op5_quality, op6_token_output, op7_secret_scan, op8_byte_bpe, op9_jaccard_join, op10_ann_search)}
+def op11_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_components(read_table(spark, sf_dir, "documents"))
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rank_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_forms(read_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_decontaminate, op2_line_dedup, op3_lm_score, op4_license_scan, op5_quality, op6_token_output, op7_secret_scan, op8_byte_bpe, op9_jaccard_join, op10_ann_search,
+        op11_simhash_dedup, op12_lexical_search, op13_spelling_variants,
+    )
+}
 ORACLE_SQL: dict[str, str] = {
     "op9_jaccard_join": r"""
 WITH RECURSIVE texts AS (
@@ -92,5 +113,68 @@ reached AS (
 named AS (SELECT a, min(b) AS component_id FROM reached GROUP BY a)
 SELECT d.doc_id, coalesce(s.n, 0)::BIGINT AS n_shingles, m.component_id
 FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id JOIN named m ON m.a = d.doc_id
+""",
+    "op12_lexical_search": r"""
+WITH words AS (
+    SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM documents
+),
+asked AS (
+    SELECT item_id, term, count(*) AS times FROM (
+        SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+        FROM benchmark
+    ) GROUP BY ALL
+),
+sizes AS (SELECT doc_id, count(*) AS n FROM words GROUP BY doc_id),
+totals AS (SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM sizes),
+postings AS (SELECT doc_id, term, count(*) AS tf FROM words WHERE term IN (SELECT term FROM asked) GROUP BY ALL),
+weights AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w FROM (SELECT term, count(*) AS df FROM postings GROUP BY term), totals),
+scores AS (
+    SELECT item_id, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // terms))))::BIGINT AS score
+    FROM asked JOIN weights USING (term) JOIN postings USING (term) JOIN sizes USING (doc_id), totals GROUP BY ALL
+)
+SELECT item_id, rank, doc_id, score FROM (
+    SELECT *, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INT AS rank FROM scores WHERE score > 0
+) WHERE rank <= 10
+""",
+    "op13_spelling_variants": r"""
+WITH RECURSIVE bits AS (
+    SELECT i, 0 AS k, i::BIGINT AS c FROM range(256) r(i)
+    UNION ALL
+    SELECT i, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM bits WHERE k < 8
+),
+crc AS (SELECT list(c ORDER BY i) AS t FROM bits WHERE k = 8),
+runs AS (
+    SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS n
+    FROM (SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{C0}-\x{FF}]+')) AS run FROM documents) WHERE length(run) >= 7 GROUP BY ALL
+),
+hashed AS (
+    SELECT run, n, xor(list_reduce(
+        list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(concat(doc_id, ':', run), ''), lambda c: CASE WHEN ord(c) < 128 THEN [ord(c)::BIGINT] ELSE [195::BIGINT, ord(c)::BIGINT - 64] END))),
+        lambda h, b: xor(h >> 8, t[(xor(h, b) & 255) + 1])), 4294967295) AS h
+    FROM runs, crc
+),
+words AS (
+    SELECT word, sum(n)::BIGINT AS n FROM (
+        SELECT CASE WHEN h % 31 = 0 THEN concat(left(run, (h % length(run))::INT), substr(run, (h % length(run))::INT + 2)) ELSE run END AS word, n FROM hashed
+    ) WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2
+),
+cut AS (SELECT word, n, i, concat(left(word, i), substr(word, i + 2)) AS rest FROM (SELECT word, n, unnest(range(0, length(word)))::INT AS i FROM words)),
+near AS (
+    SELECT a.word, b.word AS other, b.n FROM cut a JOIN cut b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+    UNION
+    SELECT c.word, w.word, w.n FROM cut c JOIN words w ON w.word = c.rest
+    UNION
+    SELECT w.word, c.word, c.n FROM cut c JOIN words w ON w.word = c.rest
+),
+best AS (SELECT word, count(*) AS n_near, arg_min(other, (-n, other)) AS other, max(n) AS most FROM near GROUP BY word),
+forms AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN most >= 10 * w.n THEN other END AS form, CASE WHEN most >= 10 * w.n THEN most END AS form_n FROM words w LEFT JOIN best b ON b.word = w.word),
+paths AS (
+    SELECT word, word AS root, 0 AS step FROM forms
+    UNION ALL
+    SELECT p.word, f.form, step + 1 FROM paths p JOIN forms f ON f.word = p.root WHERE f.form IS NOT NULL
+),
+roots AS (SELECT word, arg_max(root, step) AS root FROM paths GROUP BY word)
+SELECT f.word, form, root, n, n_near, form_n FROM forms f JOIN roots r ON r.word = f.word
 """,
 }

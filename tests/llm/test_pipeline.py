@@ -38,5 +38,5 @@ def test_stages(spark, tmp_path):
 def test_queries_are_registered():
     entry = pytest.importorskip("__spark_entry__")
     names = entry.queries()
-    assert {f"op{n}" for n in range(1, 11)} <= {k.split("_")[0] for k in names} and "pipeline" in names
+    assert {f"op{n}" for n in range(1, 14)} <= {k.split("_")[0] for k in names} and "pipeline" in names
     assert "op9_jaccard_join" in entry.oracle_sql()

@@ -1,49 +1,18 @@
 """Planar polygon functions as column expressions.
 
 A ring is an array of (x, y) points in outline order, not closed.  Areas come
-from the shoelace sum.  Two polygons are compared edge by edge: they intersect
-(boundaries count) if edges meet or one holds a vertex of the other, and the
-area they share is a signed sum, over pairs of edges, of the area below both.
-The expressions per pair of edges are SQL text that any engine can run.
+from the shoelace sum.  A polygon's holes are rings beside its own.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+import math
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 RING = "array<struct<x:double,y:double>>"
 
-#: Edge (ax1, ay1)-(ax2, ay2) and edge (bx1, by1)-(bx2, by2) have a point in common.
-EDGES_MEET = """(
- greatest(ax1, ax2) >= least(bx1, bx2) AND greatest(bx1, bx2) >= least(ax1, ax2)
- AND greatest(ay1, ay2) >= least(by1, by2) AND greatest(by1, by2) >= least(ay1, ay2)
- AND sign((bx2 - bx1) * (ay1 - by1) - (by2 - by1) * (ax1 - bx1)) * sign((bx2 - bx1) * (ay2 - by1) - (by2 - by1) * (ax2 - bx1)) <= 0
- AND sign((ax2 - ax1) * (by1 - ay1) - (ay2 - ay1) * (bx1 - ax1)) * sign((ax2 - ax1) * (by2 - ay1) - (ay2 - ay1) * (bx2 - ax1)) <= 0
-)"""
-
-
-def crosses(px: str, py: str, e: str) -> str:
-    """A ray from the point to the right crosses the edge."""
-    return f"(({e}y1 > {py}) <> ({e}y2 > {py}) AND {px} < ({e}x2 - {e}x1) * ({py} - {e}y1) / CASE WHEN {e}y2 = {e}y1 THEN 1.0 ELSE {e}y2 - {e}y1 END + {e}x1)"
-
-
-_AT = "({e}y1 + ({e}y2 - {e}y1) * ({x} - {e}x1) / CASE WHEN {e}x2 = {e}x1 THEN 1.0 ELSE {e}x2 - {e}x1 END - y0)"
-_LO, _HI = "greatest(least(ax1, ax2), least(bx1, bx2))", "least(greatest(ax1, ax2), greatest(bx1, bx2))"
-
-
-def shared_area_term() -> str:
-    """The signed area below both edges, above y0, where their x ranges overlap."""
-    a_lo, a_hi, b_lo, b_hi = (_AT.format(e=e, x=x) for e in "ab" for x in (_LO, _HI))
-    width = f"({_HI} - {_LO})"
-    low, high = f"least({a_lo}, {b_lo})", f"least({a_hi}, {b_hi})"
-    t = f"(({a_lo} - {b_lo}) / (({a_lo} - {b_lo}) - ({a_hi} - {b_hi})))"
-    cross = f"({a_lo} + {t} * ({a_hi} - {a_lo}))"
-    split = f"({t} * ({low} + {cross}) + (1 - {t}) * ({cross} + {high}))"
-    below = f"CASE WHEN ({a_lo} - {b_lo}) * ({a_hi} - {b_hi}) < 0 THEN {split} ELSE {low} + {high} END"
-    return f"CASE WHEN {width} > 0 THEN sign(ax2 - ax1) * sign(bx2 - bx1) * {width} / 2 * ({below}) ELSE 0.0 END"
-
-
 def _next(ring: Column, i: Column) -> Column:
     return F.get(ring, (i + 1) % F.size(ring))
 
@@ -102,6 +71,117 @@ def ellipse(ring: Column) -> Column:
     )
 
 
+def all_rings(polygons: DataFrame) -> Column:
+    """A polygon's ring and those of its holes, if the table has any."""
+    own = F.array("ring")
+    return F.concat(own, F.coalesce("holes", F.array().cast(f"array<{RING}>"))) if "holes" in polygons.columns else own
+
+
+def area_of(polygons: DataFrame) -> Column:
+    """The area of a polygon without its holes."""
+    whole = area(F.col("ring"))
+    return whole - _sum(F.transform(F.coalesce("holes", F.array().cast(f"array<{RING}>")), area)) if "holes" in polygons.columns else whole
+
+
+def _let(value: Column, f) -> Column:
+    """``f`` of a value that is worked out once, however often ``f`` names it."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
+def _turn(o: Column, p: Column, q: Column) -> Column:
+    """Positive where o, p and q turn to the left."""
+    return (p["x"] - o["x"]) * (q["y"] - o["y"]) - (p["y"] - o["y"]) * (q["x"] - o["x"])
+
+
+def convex_hull(ring: Column) -> Column:
+    """The corners of a ring's convex hull, counter-clockwise from the leftmost; points on its sides are none.
+
+    Chains grow over the points from left to right, and back: a point drops the corners that no longer turn to the
+    left.  As a chain is convex, those that stay are its first ones, so they are counted rather than popped.
+    """
+
+    def chain(points: Column) -> Column:
+        def grown(corners: Column, p: Column) -> Column:
+            stay = F.filter(F.sequence(F.lit(2), F.size(corners)), lambda k: _turn(F.get(corners, k - 2), F.get(corners, k - 1), p) > 0)
+            return F.when(F.size(corners) < 2, F.concat(corners, F.array(p))).otherwise(F.concat(F.slice(corners, 1, 1 + F.size(stay)), F.array(p)))
+
+        return F.aggregate(points, F.array().cast(RING), grown)
+
+    ends = lambda c: _let(c, lambda v: F.slice(v, 1, F.size(v) - 1))
+    whole = lambda points: F.when(F.size(points) < 3, points).otherwise(F.concat(ends(chain(points)), ends(chain(F.reverse(points)))))
+    return _let(F.array_sort(F.array_distinct(ring)), whole)
+
+
+def feret(hull: Column) -> Column:
+    """Calipers about a convex hull: the largest width, its angle in degrees from 0 to below 180 and where it begins, and the smallest width.
+
+    The largest width lies between two corners (of equal ones the first by corner), the smallest across a side.
+    """
+    at = F.sequence(F.lit(0), F.size(hull) - 1)
+    side = lambda i: F.struct(F.get(hull, i).alias("p"), _next(hull, i).alias("q"))
+    apart = lambda p, q: (q["x"] - p["x"]) * (q["x"] - p["x"]) + (q["y"] - p["y"]) * (q["y"] - p["y"])
+    farthest = F.array_max(F.flatten(F.transform(at, lambda i: F.transform(F.sequence(i, F.size(hull) - 1), lambda j: F.struct(apart(F.get(hull, i), F.get(hull, j)).alias("d"), (-i).alias("i"), (-j).alias("j"))))))
+    across = F.transform(at, lambda i: _let(side(i), lambda s: F.array_max(F.transform(hull, lambda p: F.abs(_turn(s["p"], s["q"], p)))) / F.sqrt(apart(s["p"], s["q"]))))
+
+    def caliper(most: Column) -> Column:
+        one, two = F.get(hull, -most["i"]), F.get(hull, -most["j"])
+        angle = F.pmod(F.degrees(F.atan2(two["y"] - one["y"], two["x"] - one["x"])), F.lit(180.0))
+        return F.struct(F.sqrt(most["d"]).alias("feret"), angle.alias("angle"), one["x"].alias("x"), one["y"].alias("y"), F.when(F.size(hull) > 2, F.array_min(across)).otherwise(F.lit(0.0)).alias("min_feret"))
+
+    return F.when(F.size(hull) >= 2, _let(farthest, caliper))
+
+
+def moment_ellipse(ring: Column) -> Column:
+    """The ellipse of a ring's area, centre and second moments: centre, major and minor axis, angle in degrees from 0 to below 180; null without area.
+
+    Moments are taken about the first point, which keeps rings far from the origin exact.
+    """
+    names = ("a", "sx", "sy", "sxx", "syy", "sxy")
+
+    def added(total: Column, e: Column) -> Column:
+        def terms(v: Column) -> Column:
+            x1, y1, x2, y2, c = v["x1"], v["y1"], v["x2"], v["y2"], v["c"]
+            sums = (c, (x1 + x2) * c, (y1 + y2) * c, (x1 * x1 + x1 * x2 + x2 * x2) * c, (y1 * y1 + y1 * y2 + y2 * y2) * c, (x1 * y2 + 2 * x1 * y1 + 2 * x2 * y2 + x2 * y1) * c)
+            return F.struct(*[(total[n] + t).alias(n) for n, t in zip(names, sums, strict=True)])
+
+        return _let(e, terms)
+
+    def fitted(s: Column) -> Column:
+        size = s["a"] / 2
+        mx, my = F.try_divide(s["sx"], 6 * size), F.try_divide(s["sy"], 6 * size)
+        central = F.struct(mx.alias("x"), my.alias("y"), F.abs(size).alias("size"), (F.try_divide(s["sxx"], 12 * size) - mx * mx).alias("xx"), (F.try_divide(s["syy"], 12 * size) - my * my).alias("yy"), (F.try_divide(s["sxy"], 24 * size) - mx * my).alias("xy"))
+        return F.when(size != 0, _let(central, axes))
+
+    def axes(m: Column) -> Column:
+        half, root = (m["xx"] + m["yy"]) / 2, F.sqrt((m["xx"] - m["yy"]) * (m["xx"] - m["yy"]) / 4 + m["xy"] * m["xy"])
+        long, short = F.sqrt(half + root), F.sqrt(F.greatest(half - root, F.lit(0.0)))
+        # axes of the moments' ratio whose ellipse has the ring's area
+        scale = F.sqrt(F.try_divide(m["size"], F.pi() * long * short))
+        angle = F.when(root > 1e-12 * half, F.pmod(F.degrees(F.atan2(2 * m["xy"], m["xx"] - m["yy"]) / 2), F.lit(180.0))).otherwise(0.0)
+        o = F.get(ring, F.lit(0))
+        return F.struct((o["x"] + m["x"]).alias("x"), (o["y"] + m["y"]).alias("y"), (2 * long * scale).alias("major"), (2 * short * scale).alias("minor"), angle.alias("angle"))
+
+    def moved(i: Column) -> Column:
+        o, p, q = F.get(ring, F.lit(0)), F.get(ring, i), _next(ring, i)
+        x1, y1, x2, y2 = p["x"] - o["x"], p["y"] - o["y"], q["x"] - o["x"], q["y"] - o["y"]
+        return F.struct(x1.alias("x1"), y1.alias("y1"), x2.alias("x2"), y2.alias("y2"), (x1 * y2 - x2 * y1).alias("c"))
+
+    steps = F.transform(F.sequence(F.lit(0), F.size(ring) - 1), moved)
+    return F.when(F.size(ring) > 0, F.aggregate(steps, F.struct(*[F.lit(0.0).alias(n) for n in names]), added, fitted))
+
+
+def ellipse_ring(ellipse: Column, n: int) -> Column:
+    """``n`` points of an ellipse (x, y, major, minor, angle), counter-clockwise from the end of its major axis."""
+    turn = F.radians(ellipse["angle"])
+
+    def point(k: Column) -> Column:
+        t = k * (2 * math.pi / n)
+        along, aside = ellipse["major"] / 2 * F.cos(t), ellipse["minor"] / 2 * F.sin(t)
+        return F.struct((ellipse["x"] + along * F.cos(turn) - aside * F.sin(turn)).alias("x"), (ellipse["y"] + along * F.sin(turn) + aside * F.cos(turn)).alias("y"))
+
+    return F.transform(F.sequence(F.lit(0), F.lit(n - 1)), point)
+
+
 def bounds(ring: Column) -> dict[str, Column]:
     """xmin, ymin, xmax and ymax."""
     xs, ys = F.transform(ring, lambda p: p["x"]), F.transform(ring, lambda p: p["y"])

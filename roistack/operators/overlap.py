@@ -2,8 +2,8 @@
 
 Candidates come from an equi-join on position, slice and grid cell, with a test of
 bounding boxes; a cell is as large as nearly all boxes, so a polygon lies in a few
-cells and meets only its neighbours.  The exact test runs on pairs of edges that
-are generated in place and summed again for each pair.
+cells and meets only its neighbours.  The exact test compares the edges of whole
+batches of candidate pairs where the join leaves them; nothing is shuffled for it.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geometry as G
+from ..functions.edge_pairs import intersecting
 
 #: Decimal places to which ratios are rounded before they meet a threshold.
 RATIO_PLACES = 9
@@ -22,25 +23,31 @@ RATIO_PLACES = 9
 def polygonize(vertices: DataFrame) -> DataFrame:
     """name, roi, z, ord, ring and further columns that are constant for a ROI, from vertex rows with x, y, z and ord.
 
-    A ROI is a name in one position; one that is on several slices gives a row for each, with the ring of all its vertices.
+    A ROI is a name in one position; one that is on several slices gives a row for each, with the ring of all its
+    vertices.  Where vertices have a ``part``, those of part 0 are the outline and each other part bounds one of ``holes``.
     """
     vertices = vertices if "name" in vertices.columns else vertices.withColumn("name", F.lit(""))
-    more = [c for c in vertices.columns if c not in ("name", "roi", "z", "ord", "x", "y", "idx", "include")]
+    more = [c for c in vertices.columns if c not in ("name", "roi", "z", "ord", "x", "y", "idx", "include", "part")]
     flags = [F.bool_or("include").alias("include")] if "include" in vertices.columns else []
-    point = F.struct("ord", F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"))
+    parts = [F.coalesce("part", F.lit(0)).cast("int").alias("part")] if "part" in vertices.columns else []
+    point = F.struct("ord", *parts, F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"))
     rings = vertices.groupBy("name", "roi").agg(F.array_sort(F.collect_list(point)).alias("_p"), F.array_sort(F.collect_set("z")).alias("_z"), F.min("ord").alias("ord"), *[F.first(c).alias(c) for c in more], *flags)
-    ring = F.transform("_p", lambda p: F.struct(p["x"].alias("x"), p["y"].alias("y"))).cast(G.RING)
-    return rings.withColumn("ring", ring).withColumn("z", F.explode("_z")).drop("_p", "_z")
+    ring = lambda points: F.transform(points, lambda p: F.struct(p["x"].alias("x"), p["y"].alias("y"))).cast(G.RING)
+    if parts:
+        numbers = F.array_distinct(F.transform(F.filter("_p", lambda p: p["part"] > 0), lambda p: p["part"]))
+        rings = rings.withColumn("holes", F.transform(numbers, lambda k: ring(F.filter("_p", lambda p: p["part"] == k))))
+        rings = rings.withColumn("_p", F.filter("_p", lambda p: p["part"] == 0))
+    return rings.withColumn("ring", ring("_p")).withColumn("z", F.explode("_z")).drop("_p", "_z")
 
 
 def measured(polygons: DataFrame) -> DataFrame:
-    """Polygons with area, orientation and bounding box."""
+    """Polygons with area (without that of holes), orientation and bounding box."""
     ring = F.col("ring")
-    return polygons.withColumns({"area": G.area(ring), "ori": F.signum(G.signed_area(ring)), **G.bounds(ring)})
+    return polygons.withColumns({"area": G.area_of(polygons), "ori": F.signum(G.signed_area(ring)), **G.bounds(ring)})
 
 
 def _side(df: DataFrame, s: str, extra: list[str]) -> DataFrame:
-    return df.select(*[F.col(c).alias(f"{c}_{s}") for c in ("name", "roi", "z", "ord", "ring", "area", "ori", "xmin", "ymin", "xmax", "ymax", *extra)])
+    return df.select(*[F.col(c).alias(f"{c}_{s}") for c in ("name", "roi", "z", "ord", "area", "xmin", "ymin", "xmax", "ymax", *extra)], G.all_rings(df).alias(f"rings_{s}"))
 
 
 def cell_size(*sides: DataFrame) -> float:
@@ -64,17 +71,8 @@ def _candidates(a: DataFrame, b: DataFrame, condition: Column, cell: float) -> D
 
 def _compared(pairs: DataFrame, keep: list[str]) -> DataFrame:
     """Of candidate pairs of sides a and b those that intersect, with the area they share."""
-    pair = pairs.withColumns({
-        "y0": F.least("ymin_a", "ymin_b"), "ea": F.explode(G.edges(F.col("ring_a"))),
-    }).withColumn("eb", F.explode(G.edges(F.col("ring_b"))))
-    flat = pair.select(*keep, "ori_a", "ori_b", "y0", F.col("ea.i").alias("ia"), F.col("eb.i").alias("ib"), *[F.col(f"e{s}.{p}").alias(f"{s}{p}") for s in "ab" for p in ("x1", "y1", "x2", "y2")])
-    a_in_b = F.expr(f"ia = 0 AND {G.crosses('ax1', 'ay1', 'b')}").cast("int")
-    b_in_a = F.expr(f"ib = 0 AND {G.crosses('bx1', 'by1', 'a')}").cast("int")
-    sums = flat.groupBy(*keep).agg(
-        F.bool_or(F.expr(G.EDGES_MEET)).alias("meet"), (F.sum(a_in_b) % 2).alias("a_in_b"), (F.sum(b_in_a) % 2).alias("b_in_a"),
-        F.abs(F.first(F.col("ori_a") * F.col("ori_b")) * F.sum(F.expr(G.shared_area_term()))).alias("int_area"),
-    )
-    return sums.where("meet OR a_in_b = 1 OR b_in_a = 1").drop("meet", "a_in_b", "b_in_a")
+    pairs = pairs.select(*keep, "rings_a", "rings_b")
+    return pairs.mapInArrow(intersecting(keep), pairs.select(*keep).schema.add("int_area", "double"))
 
 
 def _ratio() -> Column:

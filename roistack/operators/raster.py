@@ -8,7 +8,10 @@ leave to their own algorithms is defined here and named in the docstrings.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -68,6 +71,53 @@ def auto_threshold(pixels: DataFrame, by: tuple[str, ...] = ("name", "ch"), igno
     return sums.withColumn("middle", middle).where("middle < next").groupBy(*by).agg(F.min_by("middle", "v").alias("threshold"))
 
 
+def histogram_levels(pixels: DataFrame, by: tuple[str, ...], bins: int, ignore_extremes: bool = False) -> DataFrame:
+    """level, n and top (the largest value) of each filled level of a stack's histogram.
+
+    Whole values that span fewer than ``bins`` are levels themselves, counted from the smallest one; others fall into
+    ``bins`` levels of equal width.  ``ignore_extremes`` leaves the smallest and the largest value out.
+    """
+    ends = pixels.groupBy(*by).agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.bool_and(F.col("v") == F.floor("v")).alias("whole"))
+    step = F.when(F.col("whole") & (F.col("hi") - F.col("lo") < bins), 1.0).otherwise((F.col("hi") - F.col("lo")) / bins)
+    # one row for each value first, so that a stack's pixels are summed where they are
+    counts = pixels.where("v IS NOT NULL").groupBy(*by, "v").agg(F.count("*").alias("n")).join(ends.withColumn("step", step), list(by))
+    counts = counts.where("v > lo AND v < hi") if ignore_extremes else counts
+    level = F.when(F.col("hi") > F.col("lo"), F.least(F.floor((F.col("v") - F.col("lo")) / F.col("step")), F.lit(bins - 1))).otherwise(0)
+    return counts.groupBy(*by, level.cast("int").alias("level")).agg(F.sum("n").alias("n"), F.max("v").alias("top"))
+
+
+def fuzzy_threshold(pixels: DataFrame, by: tuple[str, ...] = ("name", "ch"), bins: int = 256, ignore_extremes: bool = False, whole_means: bool = True) -> DataFrame:
+    """Threshold per stack (or, ``by`` with z, per slice) of least fuzziness, the rule of Huang and Wang (1995): pixels above it are on.
+
+    A split of the histogram gives each level a membership of its side, 1 / (1 + distance to the side's mean / span),
+    and an entropy -u ln u - (1 - u) ln (1 - u).  The split of smallest mean entropy wins, of equal ones the
+    lowest.  ``whole_means``: means are rounded to whole levels, as the variant for 16-bit images does.  A stack with a
+    single level has no threshold.  A histogram has at most ``bins`` levels, so a stack's splits are tried in a row.
+    """
+    own = Window.partitionBy(*by)
+    up = own.orderBy("level").rowsBetween(Window.unboundedPreceding, 0)
+    weight = F.col("n") * F.col("level")
+    splits = histogram_levels(pixels, by, bins, ignore_extremes).withColumns({
+        "n_below": F.sum("n").over(up), "s_below": F.sum(weight).over(up), "n_all": F.sum("n").over(own), "s_all": F.sum(weight).over(own),
+        "span": (F.max("level").over(own) - F.min("level").over(own)).cast("double"), "levels": F.collect_list(F.struct("level", "n")).over(own),
+    }).where("n_below < n_all")
+    mean = lambda s, n: F.floor(s / n + 0.5) if whole_means else s / n
+    splits = splits.withColumns({"below": mean(F.col("s_below"), F.col("n_below")), "above": mean(F.col("s_all") - F.col("s_below"), F.col("n_all") - F.col("n_below"))})
+
+    def fuzziness(g: Column) -> Column:
+        u = 1 / (1 + F.abs(g["level"] - F.when(g["level"] <= F.col("level"), F.col("below")).otherwise(F.col("above"))) / F.col("span"))
+        return F.when(u < 1, g["n"] * (-u * F.ln(u) - (1 - u) * F.ln(1 - u))).otherwise(0.0)
+
+    # rounded, so that the order of adding up can't decide between splits
+    entropy = F.round(F.aggregate(F.transform("levels", fuzziness), F.lit(0.0), lambda total, e: total + e) / F.col("n_all"), 9)
+    return splits.withColumn("entropy", entropy).groupBy(*by).agg(F.min_by("top", F.struct("entropy", "level")).alias("threshold"))
+
+
+def above_threshold(pixels: DataFrame, thresholds: DataFrame, by: tuple[str, ...] = ("name", "ch")) -> DataFrame:
+    """``on`` where a value is above its stack's threshold; off in a stack without one."""
+    return pixels.join(thresholds.select(*by, "threshold"), list(by), "left").withColumn("on", F.coalesce(F.col("v") > F.col("threshold"), F.lit(False))).drop("threshold")
+
+
 def _neighbourhood(mask: DataFrame, every: bool) -> DataFrame:
     """3 x 3 minimum (``every``) or maximum of ``on``; beyond the border there is nothing."""
     steps = F.array(*[F.struct(F.lit(dy).alias("dy"), F.lit(dx).alias("dx")) for dy in (-1, 0, 1) for dx in (-1, 0, 1)])
@@ -89,6 +139,72 @@ def close(mask: DataFrame) -> DataFrame:
     return erode(dilate(mask))
 
 
+#: Metrics of a distance map: of steps along both axes.
+METRICS = {"chessboard": np.maximum, "cityblock": np.add, "euclidean": np.hypot}
+
+
+def distance_map(mask: DataFrame, metric: str = "euclidean", border: bool = False) -> DataFrame:
+    """``mask`` with ``distance``, of each pixel to the nearest one of its slice that is off (0 for those); null where there is none.
+
+    ``border``: what lies beyond the slice's border is off too.  Exact in two passes: windows along columns give the
+    distance within a column; then, by lines, what columns k steps away offer is taken for k = 1, 2, ... until k alone
+    is as far.  A line or a column is the most that a task holds together.
+    """
+    column = Window.partitionBy(*SLICE, "x").orderBy("y")
+    off, edge = F.when(~F.col("on"), F.col("y")), Window.partitionBy(*SLICE)
+    before = F.col("y") - F.last(off, ignorenulls=True).over(column.rowsBetween(Window.unboundedPreceding, 0))
+    after = F.first(off, ignorenulls=True).over(column.rowsBetween(0, Window.unboundedFollowing)) - F.col("y")
+    near = mask.withColumn("_near", F.least(before, after).cast("double"))
+    ends = mask.groupBy(*SLICE).agg(F.min("x").alias("_x0"), F.max("x").alias("_x1"), F.min("y").alias("_y0"), F.max("y").alias("_y1"))
+    near = near.join(ends, SLICE)
+    if border:
+        near = near.withColumn("_near", F.least("_near", F.col("y") - F.col("_y0") + 1, F.col("_y1") + 1 - F.col("y")))
+    lines = near.groupBy(*SLICE, "y").agg(F.array_sort(F.collect_list(F.struct("x", "_near"))).alias("_line"), F.first("_x0").alias("_x0"), F.first("_x1").alias("_x1"))
+    lines = lines.select(*SLICE, "y", F.col("_line.x").alias("xs"), F.transform("_line._near", lambda v: F.coalesce(v, F.lit(math.inf))).alias("near"), "_x0", "_x1")
+    combined = METRICS[metric]
+
+    def farther(xs: np.ndarray, near: np.ndarray, x0: int, x1: int) -> np.ndarray:
+        size = x1 - x0 + 1
+        own = np.full(size, math.inf)
+        own[xs - x0] = near
+        best = own.copy()
+        if border:
+            at = np.arange(size)
+            best = np.minimum(best, np.minimum(at + 1, size - at))
+        k = 1
+        while k < size and k < best.max():
+            best[k:] = np.minimum(best[k:], combined(k, own[:-k]))
+            best[:-k] = np.minimum(best[:-k], combined(k, own[k:]))
+            k += 1
+        return best[xs - x0]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            xs, near = batch.column(4), batch.column(5)
+            x0, x1 = batch.column(6).to_pylist(), batch.column(7).to_pylist()
+            for i in range(batch.num_rows):
+                x = xs[i].values.to_numpy()
+                found = farther(x, near[i].values.to_numpy(), x0[i], x1[i])
+                row = [pa.array([batch.column(k)[i].as_py()] * len(x), batch.column(k).type) for k in range(4)]
+                yield pa.RecordBatch.from_arrays([*row, pa.array(x), pa.array(found, mask=np.isinf(found))], names=[*SLICE, "y", "x", "distance"])
+
+    kinds = dict(mask.dtypes)
+    found = lines.mapInArrow(run, ", ".join(f"{c} {kinds[c]}" for c in (*SLICE, "y", "x")) + ", distance double")
+    return mask.join(found, [*SLICE, "y", "x"])
+
+
+def trim(mask: DataFrame, by: float, pixel_width: float) -> DataFrame:
+    """``mask`` without a margin of ``by`` nanometres, the pixel's width being in micrometres: whole pixels, halves rounded up.
+
+    The same as so many erosions, from one distance map.  Beyond the border there is nothing to erode from.
+    """
+    pixels = math.floor(by / pixel_width / 1000 + 0.5)
+    if pixels <= 0:
+        return mask
+    far = distance_map(mask, "chessboard")
+    return far.withColumn("on", F.col("on") & F.coalesce(F.col("distance") > pixels, F.lit(True))).drop("distance")
+
+
 def _pixel_id() -> Column:
     return F.col("y").cast("long") * WIDTH + F.col("x")
 
@@ -134,35 +250,48 @@ def particles(mask: DataFrame, min_size: float = 0, max_size: float = math.inf,
     return found
 
 
-def outlines(labelled: DataFrame) -> DataFrame:
-    """name, z, roi, x, y and ord: the outer boundary of each labelled region as the corners of its pixels' sides.
-
-    Sides that face outwards, walked counter-clockwise, are linked corner to corner; the walk that starts at the
-    region's lowest corner is its outline.  A region's sides are gathered in one task; a region is one particle.
+def _boundaries(cells: set[tuple[int, int]]) -> list[list[tuple[int, int]]]:
+    """The closed walks along the sides of a region's pixels, region to the left: its outline, then holes by their lowest corner."""
+    sides: dict[tuple[int, int], list[tuple[int, int]]] = {}
+    for x, y in cells:
+        for (dx, dy), (a, b) in {(0, -1): ((x, y), (x + 1, y)), (1, 0): ((x + 1, y), (x + 1, y + 1)), (0, 1): ((x + 1, y + 1), (x, y + 1)), (-1, 0): ((x, y + 1), (x, y))}.items():
+            if (x + dx, y + dy) not in cells:
+                sides.setdefault(a, []).append(b)
+    walks, left = [], {(a, b) for a, ends in sides.items() for b in ends}
+    for a, b in sorted(left, key=lambda s: (s[0][1], s[0][0], s[1])):
+        walk = []
+        while (a, b) in left:
+            left.discard((a, b))
+            walk.append(a)
+            # where two sides go on, the left turn stays on this region's own boundary
+            a, b = b, max(sides[b], key=lambda c, a=a, b=b: (b[0] - a[0]) * (c[1] - b[1]) - (b[1] - a[1]) * (c[0] - b[0]))
+        if walk:
+            walks.append(walk)
+    return walks
+
+
+def outline_rings(labelled: DataFrame) -> DataFrame:
+    """name, z, region, part, ord, x and y: all boundaries of each labelled region as the corners of its pixels' sides.
+
+    Part 0 is the outline, walked counter-clockwise; further parts bound the region's holes and are walked clockwise.
+    Rows as they are make polygons with holes: ``polygonize`` with a column ``roi``.  A region's pixels are gathered in
+    one task; a region is one particle.
     """
     import pandas as pd
 
     def trace(pixels: pd.DataFrame) -> pd.DataFrame:
-        cells = set(zip(pixels["x"], pixels["y"], strict=True))
-        sides = {}
-        for x, y in cells:
-            for (dx, dy), (a, b) in {(0, -1): ((x, y), (x + 1, y)), (1, 0): ((x + 1, y), (x + 1, y + 1)), (0, 1): ((x + 1, y + 1), (x, y + 1)), (-1, 0): ((x, y + 1), (x, y))}.items():
-                if (x + dx, y + dy) not in cells:
-                    sides.setdefault(a, []).append(b)
-        start = min(sides, key=lambda p: (p[1], p[0]))
-        walk, here, before = [start], sides[start].pop(), start
-        while here != start:
-            walk.append(here)
-            ahead = sides[here]
-            # where two sides go on, the sharper left turn stays on this region's own boundary
-            way = (here[0] - before[0], here[1] - before[1])
-            ahead.sort(key=lambda p: way[0] * (p[1] - here[1]) - way[1] * (p[0] - here[0]))
-            before, here = here, ahead.pop()
         row = pixels.iloc[0]
-        return pd.DataFrame({"name": row["name"], "z": row["z"], "region": row["region"], "ord": range(len(walk)), "x": [float(p[0]) for p in walk], "y": [float(p[1]) for p in walk]})
+        rows = [(row["name"], row["z"], row["region"], part, at, float(x), float(y)) for part, walk in enumerate(_boundaries(set(zip(pixels["x"].tolist(), pixels["y"].tolist(), strict=True)))) for at, (x, y) in enumerate(walk)]
+        found = pd.DataFrame(rows, columns=["name", "z", "region", "part", "ord", "x", "y"])
+        return found.assign(ord=range(len(found)))
 
     own = labelled.select("name", "ch", "z", "region", "y", "x")
-    return own.groupBy("name", "ch", "z", "region").applyInPandas(trace, "name string, z int, region long, ord long, x double, y double")
+    return own.groupBy("name", "ch", "z", "region").applyInPandas(trace, "name string, z int, region long, part int, ord long, x double, y double")
+
+
+def outlines(labelled: DataFrame) -> DataFrame:
+    """name, z, region, ord, x and y: the outline of each labelled region, without its holes."""
+    return outline_rings(labelled).where("part = 0").drop("part")
 
 
 def measure(pixels: DataFrame, labelled: DataFrame) -> DataFrame:

@@ -12,9 +12,12 @@ from ..operators import raster as R
 from ..operators.components import connected_components
 from ..operators.features import as_polygons, component_table, define_feature_group, fail_reasons, filter_features, slice_by_rank
 from ..operators.match import find_overlap_features, first_match, match_statistics
-from ..operators.overlap import find_z_intersect, same_slice_pairs
+from ..operators.overlap import find_z_intersect, polygonize, same_slice_pairs
+from ..operators.shapes import add_ellipses, shape_table
 from ..sources import fixtures as X
+from ..sources import stacks
 from . import oracle as O
+from .scratch import materialize, scratch_path
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -66,6 +69,26 @@ def roi_ellipse(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(_polygons(spark, sf).select("name", "roi", G.ellipse(F.col("ring")).alias("e")).select("name", "roi", "e.x", "e.y", "e.major", "e.minor"), "x", "y", "major", "minor")
 
 
+@query(O.moment_ellipses("SELECT name, roi, round(x, 6) AS x, round(y, 6) AS y, round(major, 6) AS major, round(minor, 6) AS minor, round(CASE WHEN turn < 0 THEN degrees(turn) + 180 ELSE degrees(turn) END, 6) AS angle, round(minor / major, 6) AS roundness FROM t"))
+def roi_moment_ellipse(spark: SparkSession, sf: str) -> DataFrame:
+    fitted = _polygons(spark, sf).withColumn("e", G.moment_ellipse(F.col("ring"))).select("name", "roi", "e.*")
+    return _rounded(fitted.withColumn("roundness", F.col("minor") / F.col("major")), "x", "y", "major", "minor", "angle", "roundness")
+
+
+ELLIPSE_POINTS = "SELECT name, concat(roi, '_ellipse') AS roi, x + major / 2 * cos(k * pi() / 16) * cos(turn) - minor / 2 * sin(k * pi() / 16) * sin(turn) AS px, y + major / 2 * cos(k * pi() / 16) * sin(turn) + minor / 2 * sin(k * pi() / 16) * cos(turn) AS py, k FROM t, range(32) r(k)"
+
+
+@query(O.moment_ellipses(f"SELECT name, roi, n_points, round(xmin, 5) AS xmin, round(ymax, 5) AS ymax, round(area, 5) AS area FROM (SELECT name, roi, count(*) AS n_points, min(px) AS xmin, max(py) AS ymax, abs(sum(px * ny - nx * py)) / 2 AS area FROM (SELECT *, coalesce(lead(px) OVER w, first(px) OVER w) AS nx, coalesce(lead(py) OVER w, first(py) OVER w) AS ny FROM ({ELLIPSE_POINTS}) WINDOW w AS (PARTITION BY name, roi ORDER BY k)) GROUP BY ALL UNION ALL SELECT name, roi, n, xmin, ymax, area FROM p)"))
+def rois_with_ellipses(spark: SparkSession, sf: str) -> DataFrame:
+    both = as_polygons(add_ellipses(_polygons(spark, sf), 32))
+    return both.select("name", "roi", F.size("ring").cast("long").alias("n_points"), F.round("xmin", 5).alias("xmin"), F.round("ymax", 5).alias("ymax"), F.round("area", 5).alias("area"))
+
+
+@query(O.calipers("SELECT name, roi, round(feret, 6) AS feret, round(min_feret, 6) AS min_feret, round(hull_area, 6) AS hull_area, round(area / hull_area, 6) AS solidity FROM f JOIN p USING (name, roi)"))
+def roi_feret(spark: SparkSession, sf: str) -> DataFrame:
+    return _rounded(shape_table(_polygons(spark, sf)).select("name", "roi", "feret", "min_feret", "hull_area", "solidity"), "feret", "min_feret", "hull_area", "solidity")
+
+
 @query(O.with_vertices("SELECT name, roi, round(x * 0.25, 6) AS x_um, round(y * 0.25, 6) AS y_um FROM v"))
 def physical_coordinates(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(X.vertices(spark, sf).select("name", "roi", G.physical(F.col("x"), 0.25).alias("x_um"), G.physical(F.col("y"), 0.25).alias("y_um")), "x_um", "y_um")
@@ -371,6 +394,71 @@ def pixel_auto_threshold(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(R.auto_threshold(X.pixels(spark, sf)).select("name", "ch", "threshold"), "threshold")
 
 
+@query(O.fuzzy_thresholds(256))
+def pixel_fuzzy_threshold(spark: SparkSession, sf: str) -> DataFrame:
+    return R.fuzzy_threshold(X.pixels(spark, sf)).select("name", "ch", "threshold")
+
+
+@query(O.distances(-100))
+def pixel_distance_map(spark: SparkSession, sf: str) -> DataFrame:
+    mask = R.threshold_mask(R.select_channel(X.pixels(spark, sf), 1), -100)
+    return _rounded(R.distance_map(mask).select("name", "y", "x", "on", "distance"), "distance")
+
+
+@query(O.trimmed(-100, 2))
+def pixel_trim(spark: SparkSession, sf: str) -> DataFrame:
+    mask = R.threshold_mask(R.select_channel(X.pixels(spark, sf), 1), -100)
+    return R.trim(mask, 500, 0.25).where("on").select("name", "y", "x")
+
+
+def _region_polygons(mask: DataFrame) -> DataFrame:
+    """Regions of a mask as polygons with holes."""
+    rings = R.outline_rings(R.label_regions(mask))
+    return as_polygons(rings.withColumn("roi", F.col("region").cast("string")))
+
+
+@query(O.ringed())
+def region_rings(spark: SparkSession, sf: str) -> DataFrame:
+    """Area, holes and sides of each region, from its rings."""
+    regions = _region_polygons(R.threshold_mask(R.select_channel(X.pixels(spark, sf), 1), 0))
+    sides = G.perimeter(F.col("ring")) + F.aggregate("holes", F.lit(0.0), lambda total, h: total + G.perimeter(h))
+    return regions.select("name", "region", "area", F.size("holes").cast("long").alias("n_holes"), sides.cast("long").alias("sides"))
+
+
+@query(O.ring_overlaps())
+def ring_overlaps(spark: SparkSession, sf: str) -> DataFrame:
+    """What regions of high values in one channel share with regions of low ones in the other, both with holes."""
+    pixels = X.pixels(spark, sf)
+    high, low = (materialize(_region_polygons(R.threshold_mask(R.select_channel(pixels, ch), level)), "regions") for ch, level in ((1, LEVEL), (2, 0)))
+    found = same_slice_pairs(high, low, ["region"])
+    return found.select(F.col("name_a").alias("name"), F.col("region_a").alias("region_1"), F.col("region_b").alias("region_2"), F.round("int_area", 6).alias("int_area"))
+
+
+def _stacks(spark: SparkSession, sf: str) -> str:
+    """The pixels as stack files in the shared folder."""
+    path = scratch_path(spark, "stacks")
+    stacks.write_stacks(X.pixels(spark, sf), path, pixel_width=0.25, unit="micron")
+    return path
+
+
+@query(O.pixels("SELECT name, ch, z, y, x, v FROM px"))
+def stack_pixels(spark: SparkSession, sf: str) -> DataFrame:
+    """Pixels written as stacks and read back, a plane in a task."""
+    return stacks.read_stacks(spark, _stacks(spark, sf)).select("name", "ch", "z", "y", "x", "v")
+
+
+@query(O.pixels("SELECT name, ch, z, 1 AS frame, (max(x) + 1)::INT AS width, (max(y) + 1)::INT AS height, 0.25 AS pixel_width, 0.25 AS pixel_height, 'micron' AS unit, 4 * count(*) AS n_bytes FROM px GROUP BY ALL"))
+def stack_planes(spark: SparkSession, sf: str) -> DataFrame:
+    return stacks.read_stacks(spark, _stacks(spark, sf), "planes").select("name", "ch", "z", "frame", "width", "height", "pixel_width", "pixel_height", "unit", "n_bytes")
+
+
+@query(O.pixels("SELECT name, count(*) AS n, sum(v)::DOUBLE AS total FROM px WHERE ch = 2 GROUP BY ALL"))
+def stack_one_channel(spark: SparkSession, sf: str) -> DataFrame:
+    """One channel of all stacks: the filter reaches the source, which opens no plane of the other."""
+    own = R.select_channel(stacks.read_stacks(spark, _stacks(spark, sf)), 2)
+    return own.groupBy("name").agg(F.count("*").alias("n"), F.sum("v").alias("total"))
+
+
 @query()
 def pixel_outlines(spark: SparkSession, sf: str) -> DataFrame:
     """Corners, sides and area of the outer outline of every region; a test walks the same boundaries by brute force."""

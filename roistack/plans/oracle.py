@@ -2,9 +2,38 @@
 
 from __future__ import annotations
 
-from ..functions.geometry import EDGES_MEET, crosses, shared_area_term
 from ..sources.fixtures import MEASUREMENTS, NUCLEOLI, PIXELS, VERTICES
 
+#: Edge (ax1, ay1)-(ax2, ay2) and edge (bx1, by1)-(bx2, by2) have a point in common.
+EDGES_MEET = """(
+ greatest(ax1, ax2) >= least(bx1, bx2) AND greatest(bx1, bx2) >= least(ax1, ax2)
+ AND greatest(ay1, ay2) >= least(by1, by2) AND greatest(by1, by2) >= least(ay1, ay2)
+ AND sign((bx2 - bx1) * (ay1 - by1) - (by2 - by1) * (ax1 - bx1)) * sign((bx2 - bx1) * (ay2 - by1) - (by2 - by1) * (ax2 - bx1)) <= 0
+ AND sign((ax2 - ax1) * (by1 - ay1) - (ay2 - ay1) * (bx1 - ax1)) * sign((ax2 - ax1) * (by2 - ay1) - (ay2 - ay1) * (bx2 - ax1)) <= 0
+)"""
+
+
+def crosses(px: str, py: str, e: str) -> str:
+    """A ray from the point to the right crosses the edge."""
+    return f"(({e}y1 > {py}) <> ({e}y2 > {py}) AND {px} < ({e}x2 - {e}x1) * ({py} - {e}y1) / CASE WHEN {e}y2 = {e}y1 THEN 1.0 ELSE {e}y2 - {e}y1 END + {e}x1)"
+
+
+_AT = "({e}y1 + ({e}y2 - {e}y1) * ({x} - {e}x1) / CASE WHEN {e}x2 = {e}x1 THEN 1.0 ELSE {e}x2 - {e}x1 END - y0)"
+_LO, _HI = "greatest(least(ax1, ax2), least(bx1, bx2))", "least(greatest(ax1, ax2), greatest(bx1, bx2))"
+
+
+def shared_area_term() -> str:
+    """The signed area below both edges, above y0, where their x ranges overlap."""
+    a_lo, a_hi, b_lo, b_hi = (_AT.format(e=e, x=x) for e in "ab" for x in (_LO, _HI))
+    width = f"({_HI} - {_LO})"
+    low, high = f"least({a_lo}, {b_lo})", f"least({a_hi}, {b_hi})"
+    t = f"(({a_lo} - {b_lo}) / (({a_lo} - {b_lo}) - ({a_hi} - {b_hi})))"
+    cross = f"({a_lo} + {t} * ({a_hi} - {a_lo}))"
+    split = f"({t} * ({low} + {cross}) + (1 - {t}) * ({cross} + {high}))"
+    below = f"CASE WHEN ({a_lo} - {b_lo}) * ({a_hi} - {b_hi}) < 0 THEN {split} ELSE {low} + {high} END"
+    return f"CASE WHEN {width} > 0 THEN sign(ax2 - ax1) * sign(bx2 - bx1) * {width} / 2 * ({below}) ELSE 0.0 END"
+
+
 
 def _tables(sql: str) -> str:
     return sql.format(orders="orders", lineitem="lineitem")
@@ -173,3 +202,107 @@ def thresholds() -> str:
     FROM (SELECT name, ch, v, count(*) AS n FROM px GROUP BY ALL)
     WINDOW w AS (PARTITION BY name, ch ORDER BY v), t AS (PARTITION BY name, ch)
 ) WHERE middle < nxt GROUP BY name, ch""")
+
+
+def fuzzy_thresholds(bins: int) -> str:
+    return pixels(f"""SELECT name, ch, arg_min(top, (entropy, level)) AS threshold FROM (
+    SELECT t.name, t.ch, t.level, t.top, round(sum(CASE WHEN g.d = 0 THEN 0 ELSE g.n * (-g.u * ln(g.u) - (1 - g.u) * ln(1 - g.u)) END) / any_value(t.n_all), 9) AS entropy
+    FROM splits t JOIN (
+        SELECT t.name, t.ch, t.level AS split, l.n, abs(l.level - CASE WHEN l.level <= t.level THEN t.below ELSE t.above END) AS d,
+               1 / (1 + abs(l.level - CASE WHEN l.level <= t.level THEN t.below ELSE t.above END) / t.span) AS u
+        FROM splits t JOIN levels l ON l.name = t.name AND l.ch = t.ch
+    ) g ON g.name = t.name AND g.ch = t.ch AND g.split = t.level GROUP BY ALL
+) GROUP BY name, ch""").replace(
+        "\nSELECT name, ch, arg_min",
+        f""",
+ends AS (SELECT name, ch, min(v) AS lo, max(v) AS hi FROM px GROUP BY ALL),
+levels AS (
+    SELECT name, ch, least(floor((v - lo) / CASE WHEN hi - lo < {bins} THEN 1.0 ELSE (hi - lo) / {bins} END), {bins - 1})::INT AS level, count(*) AS n, max(v) AS top
+    FROM px JOIN ends USING (name, ch) GROUP BY ALL
+),
+sums AS (
+    SELECT *, sum(n) OVER w AS n_below, sum(n * level) OVER w AS s_below, sum(n) OVER t AS n_all, sum(n * level) OVER t AS s_all, (max(level) OVER t - min(level) OVER t)::DOUBLE AS span
+    FROM levels WINDOW w AS (PARTITION BY name, ch ORDER BY level), t AS (PARTITION BY name, ch)
+),
+splits AS (SELECT *, floor(s_below / n_below + 0.5) AS below, floor((s_all - s_below) / (n_all - n_below) + 0.5) AS above FROM sums WHERE n_below < n_all)
+SELECT name, ch, arg_min""",
+        1,
+    )
+
+
+def distances(level: float) -> str:
+    return pixels(f"""SELECT a.name, a.y, a.x, a.v >= {level} AS "on", CASE WHEN a.v < {level} THEN 0.0 ELSE round(sqrt(min(CASE WHEN b.v < {level} THEN (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) END)), 6) END AS distance
+FROM px a JOIN px b ON b.name = a.name AND b.ch = a.ch WHERE a.ch = 1 AND b.v < {level} GROUP BY a.name, a.y, a.x, a.v""")
+
+
+def trimmed(level: float, pixels_off: int) -> str:
+    return pixels(f"""SELECT a.name, a.y, a.x FROM px a JOIN px b ON b.name = a.name AND b.ch = a.ch AND abs(a.x - b.x) <= {pixels_off} AND abs(a.y - b.y) <= {pixels_off}
+WHERE a.ch = 1 GROUP BY ALL HAVING min(b.v) >= {level}""")
+
+
+def ringed() -> str:
+    """Holes of a region by its pixels, pairs of neighbours and full squares of four; sides by pixels and pairs."""
+    return f"""WITH RECURSIVE {_regions('v >= 0')},
+beside AS (SELECT u.name, u.region, count(*) AS n FROM b u JOIN b w ON w.name = u.name AND w.region = u.region AND ((w.x = u.x + 1 AND w.y = u.y) OR (w.x = u.x AND w.y = u.y + 1)) GROUP BY ALL),
+squares AS (
+    SELECT u.name, u.region, count(*) AS n FROM b u JOIN b r ON r.name = u.name AND r.region = u.region AND r.x = u.x + 1 AND r.y = u.y
+    JOIN b d ON d.name = u.name AND d.region = u.region AND d.x = u.x AND d.y = u.y + 1 JOIN b q ON q.name = u.name AND q.region = u.region AND q.x = u.x + 1 AND q.y = u.y + 1 GROUP BY ALL
+)
+SELECT b.name, b.region, count(*)::DOUBLE AS area, 1 - count(*) + coalesce(any_value(p.n), 0) - coalesce(any_value(s.n), 0) AS n_holes, 4 * count(*) - 2 * coalesce(any_value(p.n), 0) AS sides
+FROM b LEFT JOIN beside p ON p.name = b.name AND p.region = b.region LEFT JOIN squares s ON s.name = b.name AND s.region = b.region GROUP BY b.name, b.region"""
+
+
+def ring_overlaps() -> str:
+    """Regions of high and of low values with pixels that touch, and the pixels they share: as wholes, each is in the other or apart."""
+    return f"""WITH RECURSIVE {_regions('v >= 100')},
+o2 AS (SELECT name, y, x, y::BIGINT * 1048576 + x AS id FROM px WHERE ch = 2 AND v >= 0),
+reach2 AS (
+    SELECT name, id AS a, id AS b FROM o2
+    UNION
+    SELECT r.name, r.a, o2.id FROM reach2 r JOIN o2 ON o2.name = r.name AND o2.id IN (r.b - 1, r.b + 1, r.b - 1048576, r.b + 1048576)
+),
+b2 AS (SELECT o2.*, l.region FROM o2 JOIN (SELECT name, a, min(b) AS region FROM reach2 GROUP BY ALL) l ON l.name = o2.name AND l.a = o2.id)
+SELECT b.name, b.region AS region_1, b2.region AS region_2, count(*) FILTER (b.x = b2.x AND b.y = b2.y)::DOUBLE AS int_area
+FROM b JOIN b2 ON b2.name = b.name AND abs(b.x - b2.x) <= 1 AND abs(b.y - b2.y) <= 1 GROUP BY ALL"""
+
+
+def _about_first(s: str = "") -> str:
+    """CTEs of polygons and of edges about each ROI's first vertex, with the cross product."""
+    return f"""{_polygons(s, VERTICES)},
+{s}o AS (SELECT name, roi, x1 AS ox, y1 AS oy FROM {s}e WHERE i = 0),
+{s}m AS (SELECT name, roi, i, x1 - ox AS x1, y1 - oy AS y1, x2 - ox AS x2, y2 - oy AS y2, (x1 - ox) * (y2 - oy) - (x2 - ox) * (y1 - oy) AS c FROM {s}e JOIN {s}o USING (name, roi))"""
+
+
+def moment_ellipses(select: str) -> str:
+    """CTE t of ROIs with centre, major, minor and angle of the ellipse of the same moments and area."""
+    return f"""WITH {_about_first()},
+sums AS (
+    SELECT name, roi, sum(c) / 2 AS a, sum((x1 + x2) * c) AS sx, sum((y1 + y2) * c) AS sy, sum((x1 * x1 + x1 * x2 + x2 * x2) * c) AS sxx, sum((y1 * y1 + y1 * y2 + y2 * y2) * c) AS syy,
+           sum((x1 * y2 + 2 * x1 * y1 + 2 * x2 * y2 + x2 * y1) * c) AS sxy FROM m GROUP BY ALL
+),
+central AS (
+    SELECT name, roi, abs(a) AS a, sx / (6 * a) AS mx, sy / (6 * a) AS my, sxx / (12 * a) - (sx / (6 * a)) ** 2 AS xx, syy / (12 * a) - (sy / (6 * a)) ** 2 AS yy, sxy / (24 * a) - sx / (6 * a) * sy / (6 * a) AS xy
+    FROM sums WHERE a <> 0
+),
+axes AS (SELECT *, (xx + yy) / 2 AS h, sqrt((xx - yy) * (xx - yy) / 4 + xy * xy) AS r FROM central),
+t AS (
+    SELECT name, roi, ox + mx AS x, oy + my AS y, 2 * sqrt(h + r) * sqrt(a / (pi() * sqrt(h + r) * sqrt(h - r))) AS major, 2 * sqrt(h - r) * sqrt(a / (pi() * sqrt(h + r) * sqrt(h - r))) AS minor,
+           CASE WHEN r > 1e-12 * h THEN atan2(2 * xy, xx - yy) / 2 ELSE 0 END AS turn
+    FROM axes JOIN o USING (name, roi)
+)
+{select}"""
+
+
+def calipers(select: str) -> str:
+    """CTE f of ROIs with largest and smallest width and the area of the hull, whose sides are pairs of vertices with all others to the left."""
+    return f"""WITH {_polygons('', VERTICES)},
+corners AS (SELECT DISTINCT name, roi, x, y FROM v),
+pairs AS (SELECT a.name, a.roi, a.x AS px, a.y AS py, b.x AS qx, b.y AS qy FROM corners a JOIN corners b ON a.name = b.name AND a.roi = b.roi AND (a.x <> b.x OR a.y <> b.y)),
+widest AS (SELECT name, roi, sqrt(max((qx - px) * (qx - px) + (qy - py) * (qy - py))) AS feret FROM pairs GROUP BY ALL),
+sides AS (
+    SELECT p.name, p.roi, px, py, qx, qy, max((qx - px) * (c.y - py) - (qy - py) * (c.x - px)) / sqrt((qx - px) * (qx - px) + (qy - py) * (qy - py)) AS across
+    FROM pairs p JOIN corners c ON c.name = p.name AND c.roi = p.roi GROUP BY p.name, p.roi, px, py, qx, qy
+    HAVING bool_and((qx - px) * (c.y - py) - (qy - py) * (c.x - px) > 0 OR ((qx - px) * (c.y - py) - (qy - py) * (c.x - px) = 0 AND (c.x - px) * (c.x - qx) + (c.y - py) * (c.y - qy) <= 0))
+),
+f AS (SELECT name, roi, any_value(feret) AS feret, min(across) AS min_feret, sum(px * qy - qx * py) / 2 AS hull_area FROM sides JOIN widest USING (name, roi) GROUP BY name, roi)
+{select}"""

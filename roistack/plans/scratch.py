@@ -1,22 +1,36 @@
-"""Scratch tables in the folder that the driver and all executors share."""
+"""Scratch tables in the folder that the driver and all executors share, removed when the driver's Python ends."""
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
-_local: list[str] = []
+_folders: dict[str, str] = {}
+
+
+def _drop(spark: SparkSession, path: str) -> None:
+    try:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    except Exception:  # noqa: BLE001 - the session is already gone at exit
+        pass
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new folder below ``spark.checkpoint.dir``; a local one only where that is unset, as in tests on one machine."""
+    app = spark.sparkContext.applicationId
+    if app not in _folders:
+        root = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="spark-shared-")
+        _folders[app] = f"{root.rstrip('/')}/rois-{app}-{uuid.uuid4().hex[:8]}"
+        atexit.register(_drop, spark, _folders[app])
+    return f"{_folders[app]}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` below ``spark.checkpoint.dir`` and read it back; a local folder only where that is unset."""
-    root = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not _local:
-            _local.append("file://" + tempfile.mkdtemp(prefix="spark-shared-"))
-        root = _local[0]
-    path = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """Write ``df`` to a scratch table and read it back: cuts lineage, survives lost executors."""
+    path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -191,3 +191,26 @@ def bounds(ring: Column) -> dict[str, Column]:
 def physical(pixel: Column, pixel_size: float) -> Column:
     """Pixel to physical coordinate; y is scaled by the pixel's width too unless its height is given."""
     return pixel * F.lit(float(pixel_size))
+
+
+def hilbert(x: Column, y: Column, bits: int = 16) -> Column:
+    """The place of a cell of a grid of ``2 ** bits`` a side (whole numbers from 0) along Hilbert's curve: cells close on it are close in the plane.
+
+    From the largest quadrants down, each takes its place in the curve's order, and is turned so that its own curve begins and ends where it should.
+    """
+
+    def step(s: Column, k: Column) -> Column:
+        side = F.pow(F.lit(2.0), k).cast("long")
+
+        def turned(q: Column) -> Column:
+            rx, ry, low_x, low_y = q["rx"], q["ry"], q["x"] % side, q["y"] % side
+            flip = (ry == 0) & (rx == 1)
+            fx, fy = F.when(flip, side - 1 - low_x).otherwise(low_x), F.when(flip, side - 1 - low_y).otherwise(low_y)
+            place = side * side * ((3 * rx).bitwiseXOR(ry))
+            return F.struct(F.when(ry == 0, fy).otherwise(fx).alias("x"), F.when(ry == 0, fx).otherwise(fy).alias("y"), (q["d"] + place).alias("d"))
+
+        quadrant = F.struct((F.floor(s["x"] / side) % 2).alias("rx"), (F.floor(s["y"] / side) % 2).alias("ry"), s["x"].alias("x"), s["y"].alias("y"), s["d"].alias("d"))
+        return _let(quadrant, turned)
+
+    start = F.struct(x.cast("long").alias("x"), y.cast("long").alias("y"), F.lit(0).cast("long").alias("d"))
+    return F.aggregate(F.sequence(F.lit(bits - 1), F.lit(0)), start, step, lambda s: s["d"])

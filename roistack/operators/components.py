@@ -1,19 +1,78 @@
-"""Connected components per position, by joins alone."""
+"""Connected components per position: a task for each position of bounded size, joins for larger ones."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.scratch import materialize
 
+#: Edges of a position whose components one task finds.
+LOCAL_EDGES = 1_000_000
+
+
+def settle(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Nodes and the smallest node that each is connected with, from edges: roots hook onto smaller roots, paths are halved, until no edge joins two."""
+    nodes, ends = np.unique(np.concatenate([a, b]), return_inverse=True)
+    a, b = ends[: len(a)], ends[len(a) :]
+    root = np.arange(len(nodes))
+    while len(a):
+        np.minimum.at(root, np.maximum(root[a], root[b]), np.minimum(root[a], root[b]))
+        while (root != root[root]).any():
+            root = root[root]
+        open_ = root[a] != root[b]
+        a, b = a[open_], b[open_]
+    return nodes, nodes[root]
+
+
+def _by_position(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows ``name``, ``a``, ``b`` in order of the name: name, node and component."""
+
+    def found(kept: list[pa.RecordBatch]) -> pa.RecordBatch:
+        a, b = (np.concatenate([k.column(c).to_numpy() for k in kept]) for c in (1, 2))
+        nodes, component = settle(a, b)
+        return pa.RecordBatch.from_arrays([pa.array([kept[0].column(0)[0].as_py()] * len(nodes), pa.string()), pa.array(nodes), pa.array(component)], names=["name", "node", "component"])
 
-def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
+    kept: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        names = batch.column(0).dictionary_encode().indices.fill_null(-1).to_numpy()
+        cuts = [0, *(1 + np.flatnonzero(np.diff(names))).tolist(), len(names)]
+        for i, j in zip(cuts[:-1], cuts[1:], strict=True):
+            if kept and kept[-1].column(0)[-1] != batch.column(0)[i]:
+                yield found(kept)
+                kept = []
+            kept.append(batch.slice(i, j - i))
+    if kept:
+        yield found(kept)
+
+
+def connected_components(edges: DataFrame, rounds: int = 60, local: int = LOCAL_EDGES) -> DataFrame:
     """name, node and component (the smallest node) from edges ``name``, ``a``, ``b`` of longs.
 
-    Large and small stars alternate until no edge changes; any number of positions, of any size, settle together.
+    A position of at most ``local`` edges is settled in one task, with as many positions at once as there are tasks;
+    larger ones settle together by joins.
     """
-    state, last = materialize(edges.where("a <> b").select("name", F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges"), None
+    edges = materialize(edges.where("a <> b").select("name", F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
+    sizes = edges.groupBy("name").agg(F.count("*").alias("_n"))
+    large = materialize(sizes.where(F.col("_n") > local).select("name"), "large")
+    if large.isEmpty():
+        small, rest = edges, None
+    else:
+        same = edges["name"].eqNullSafe(large["name"])
+        small, rest = edges.join(large, same, "left_anti"), edges.join(large, same, "left_semi")
+    settled = small.repartition("name").sortWithinPartitions("name").mapInArrow(_by_position, "name string, node long, component long")
+    return settled if rest is None else settled.union(stars(rest, rounds))
+
+
+def stars(edges: DataFrame, rounds: int = 60) -> DataFrame:
+    """The same from distinct edges with ``a > b``: large and small stars alternate until no edge changes."""
+    state, last = materialize(edges, "edges"), None
     for _ in range(rounds):
         now = state.agg(F.count("*"), F.sum(F.xxhash64("name", "a", "b").cast("decimal(38,0)"))).first()
         if now == last or not now[0]:

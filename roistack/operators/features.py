@@ -6,10 +6,10 @@ import math
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..plans.scratch import materialize
 from .components import connected_components
+from .numbering import numbered
 from .overlap import find_z_intersect, measured, polygonize
 
 
@@ -22,7 +22,7 @@ def as_polygons(rois: DataFrame) -> DataFrame:
     if not (kind.startswith("array<struct<x:") and "y:" in kind):
         raise ValueError("Incorrect type of input")
     rois = rois if "name" in rois.columns else rois.withColumn("name", F.lit(""))
-    rois = rois if "ord" in rois.columns else rois.withColumn("ord", F.row_number().over(Window.partitionBy("name").orderBy("z", "roi")).cast("long"))
+    rois = rois if "ord" in rois.columns else numbered(rois, ["name"], ["z", "roi"], "ord")
     return measured(rois)
 
 
@@ -63,24 +63,29 @@ def slice_by_rank(df: DataFrame, rank: int) -> DataFrame:
 
 def edge_order(pairs: DataFrame) -> DataFrame:
     """Pairs with edge_idx, their place in a position by roi_2 and then roi_1, and opens: both ROIs are met first here."""
-    place = Window.partitionBy("name").orderBy("ord_2", "ord_1")
-    indexed = pairs.withColumn("edge_idx", F.row_number().over(place).cast("long"))
+    indexed = numbered(pairs, ["name"], ["ord_2", "ord_1"], "edge_idx")
     ends = indexed.select("name", "edge_idx", F.explode(F.array("ord_1", "ord_2")).alias("node"))
     met = ends.groupBy("name", "node").agg(F.min("edge_idx").alias("met"))
     one, two = (met.select("name", F.col("node").alias(f"ord_{k}"), F.col("met").alias(f"met_{k}")) for k in (1, 2))
     return indexed.join(one, ["name", "ord_1"]).join(two, ["name", "ord_2"]).withColumn("opens", (F.col("edge_idx") == F.col("met_1")) & (F.col("edge_idx") == F.col("met_2")))
 
 
-def component_table(survivors: DataFrame, pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Nodes (name, ord, component), and for each component its label, first edge, slice span and mean area."""
+def component_table(survivors: DataFrame, pairs: DataFrame, labels: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Nodes (name, ord, component), and for each component its first edge (ord_2, ord_1), slice span and mean area.
+
+    ``labels``: also the label that its first edge opens, the number of edges up to there that open one.
+    """
     nodes = materialize(connected_components(pairs.select("name", F.col("ord_1").alias("a"), F.col("ord_2").alias("b"))).withColumnRenamed("node", "ord"), "nodes")
     alone = pairs.where("ord_1 = ord_2").select("name", F.col("ord_1").alias("ord"), F.col("ord_1").alias("component"))
     nodes = nodes.unionByName(alone.distinct().join(nodes, ["name", "ord"], "left_anti"))
-    running = Window.partitionBy("name").orderBy("edge_idx").rowsBetween(Window.unboundedPreceding, 0)
-    labelled = edge_order(pairs).withColumn("label", F.sum(F.col("opens").cast("long")).over(running))
-    first = labelled.join(nodes.withColumnRenamed("ord", "ord_1"), ["name", "ord_1"]).groupBy("name", "component").agg(F.min(F.struct("edge_idx", "label")).alias("f"))
+    first = pairs.join(nodes.withColumnRenamed("ord", "ord_1"), ["name", "ord_1"]).groupBy("name", "component").agg(F.min(F.struct("ord_2", "ord_1")).alias("first_edge"))
     stats = survivors.join(nodes, ["name", "ord"]).groupBy("name", "component").agg(F.count_distinct("z").alias("n_z_span"), F.avg("area").alias("mean_area"), F.count("*").alias("n_roi"))
-    return nodes, stats.join(first.select("name", "component", F.col("f.edge_idx").alias("first_edge"), F.col("f.label").alias("label")), ["name", "component"])
+    found = stats.join(first, ["name", "component"])
+    if labels:
+        # a component's first edge opens its label
+        opened = numbered(edge_order(pairs).where("opens").select("name", "ord_2", "ord_1", "edge_idx"), ["name"], ["edge_idx"], "label")
+        found = found.join(opened.select("name", F.struct("ord_2", "ord_1").alias("first_edge"), "label"), ["name", "first_edge"])
+    return nodes, found
 
 
 def name_components(components: DataFrame, min_z_span: int, min_avg_area: float | None, prefix: str, invalid_prefix: str, literal: bool) -> DataFrame:
@@ -91,16 +96,16 @@ def name_components(components: DataFrame, min_z_span: int, min_avg_area: float
     """
     wide, large = F.col("n_z_span") >= min_z_span, F.lit(True) if min_avg_area is None else F.col("mean_area") >= min_avg_area
     if not literal:
-        numbered = components.withColumn("valid", wide & large)
-        number = F.row_number().over(Window.partitionBy("name", "valid").orderBy("first_edge"))
+        valid = components.withColumn("valid", wide & large)
+        named = numbered(valid, ["name", "valid"], ["first_edge"], "number")
     else:
-        ranked = components.withColumn("place", F.dense_rank().over(Window.partitionBy("name").orderBy("label")).cast("long"))
+        ranked = numbered(components, ["name"], ["label"], "place")
         spans = ranked.where(wide).select("name", F.col("place").alias("label"))
         spans = spans if min_avg_area is None else spans.join(ranked.where(large).select("name", "label"), ["name", "label"], "left_semi")
-        spans = spans.withColumn("valid_number", F.row_number().over(Window.partitionBy("name").orderBy("label")))
-        numbered = ranked.join(spans, ["name", "label"], "left").withColumn("valid", F.col("valid_number").isNotNull())
-        number = F.coalesce("valid_number", F.row_number().over(Window.partitionBy("name", "valid").orderBy("first_edge")))
-    return numbered.withColumn("feature_id", F.concat(F.when(F.col("valid"), prefix).otherwise(invalid_prefix), number.cast("string"))).select("name", "component", "feature_id")
+        spans = numbered(spans, ["name"], ["label"], "valid_number")
+        valid = ranked.join(spans, ["name", "label"], "left").withColumn("valid", F.col("valid_number").isNotNull())
+        named = numbered(valid, ["name", "valid"], ["first_edge"], "number").withColumn("number", F.coalesce("valid_number", "number"))
+    return named.withColumn("feature_id", F.concat(F.when(F.col("valid"), prefix).otherwise(invalid_prefix), F.col("number").cast("string"))).select("name", "component", "feature_id")
 
 
 def define_feature_group(
@@ -119,7 +124,7 @@ def define_feature_group(
     if strict:
         stop_where_empty(tested)
     pairs = materialize(find_z_intersect(survivors, max_z_dist, min_intersect_ratio, cell).select("name", "ord_1", "ord_2"), "pairs")
-    nodes, components = component_table(survivors, pairs)
+    nodes, components = component_table(survivors, pairs, compat == "literal")
     named = nodes.join(name_components(components, min_z_span, min_avg_area, feature_prefix, invalid_feature_prefix, compat == "literal"), ["name", "component"]).select("name", "ord", "feature_id")
     failed = F.concat(F.lit(fail_roi_prefix), F.coalesce("fail_reason", F.lit("overlap")))
     out = tested.join(named, ["name", "ord"], "left").withColumn("feature_id", F.coalesce("feature_id", failed))

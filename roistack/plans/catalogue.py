@@ -12,10 +12,12 @@ from ..operators import raster as R
 from ..operators.components import connected_components
 from ..operators.features import as_polygons, component_table, define_feature_group, fail_reasons, filter_features, slice_by_rank
 from ..operators.match import find_overlap_features, first_match, match_statistics
+from ..operators.numbering import numbered, running_total
 from ..operators.overlap import find_z_intersect, polygonize, same_slice_pairs
 from ..operators.shapes import add_ellipses, shape_table
 from ..sources import fixtures as X
 from ..sources import stacks
+from ..sources.tables import append_outlines, read_outlines, read_polygons, write_outlines, write_polygons
 from . import oracle as O
 from .scratch import materialize, scratch_path
 
@@ -262,6 +264,35 @@ def nucleus_map(spark: SparkSession, sf: str) -> DataFrame:
     return nucleoli.join(lookup.withColumnsRenamed({"feature_id_1": "feature_id", "feature_id_2": "nucleus_id"}), ["name", "feature_id"], "left").select("name", "roi", "nucleus_id")
 
 
+# --- tables --------------------------------------------------------------------------------
+
+
+@query(O.with_vertices("SELECT name, roi, z, row_number() OVER (ORDER BY z % 2 = 0, ord) - 1 AS idx, x, y FROM v"))
+def outlines_appended(spark: SparkSession, sf: str) -> DataFrame:
+    """Outlines of odd slices, then of even ones, appended to one table; the second append is tried twice and made once."""
+    path, rows = scratch_path(spark, "outlines"), X.vertices(spark, sf).drop("include")
+    for slices, tries in ((1, 1), (0, 2)):
+        for _ in range(tries):
+            append_outlines(spark, rows.where(F.col("z") % 2 == slices), path, f"slices {slices}")
+    return read_outlines(spark, path).select("name", "roi", "z", "idx", "x", "y")
+
+
+@query(O.with_vertices("SELECT name, roi, z, x, y FROM v"))
+def outlines_white_space(spark: SparkSession, sf: str) -> DataFrame:
+    """Outlines written as text and read back with any white space as the separator."""
+    path = scratch_path(spark, "outline-text")
+    write_outlines(X.vertices(spark, sf).select("name", "roi", "z", "x", "y"), path)
+    return read_outlines(spark, path, white_space=True).select("name", "roi", "z", "x", "y")
+
+
+@query(O.polygons("SELECT name, roi, z, round(area, 6) AS area FROM p WHERE xmax >= 200 AND xmin <= 320 AND ymax >= 30 AND ymin <= 90"))
+def polygons_in_box(spark: SparkSession, sf: str) -> DataFrame:
+    """Polygons stored along a curve, then those of an area."""
+    path = scratch_path(spark, "polygons")
+    write_polygons(_polygons(spark, sf), path)
+    return _rounded(read_polygons(spark, path, (200, 30, 320, 90)).select("name", "roi", "z", "area"), "area")
+
+
 # --- labels and measurements ----------------------------------------------------------------
 
 
@@ -295,8 +326,16 @@ def roi_type_prefix(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(O.polygons("SELECT name, CASE WHEN n BETWEEN 10 AND 99 THEN concat('cell_', roi, '_b') ELSE roi END AS roi FROM (SELECT name, roi, row_number() OVER (PARTITION BY name ORDER BY ord) - 1 AS n FROM p)"))
 def rename_prefix_range(spark: SparkSession, sf: str) -> DataFrame:
-    index = F.row_number().over(Window.partitionBy("name").orderBy("ord")) - 1
-    return _polygons(spark, sf).withColumn("n", index).select("name", L.renamed(F.col("n"), F.col("roi"), 10, 100, "cell_", "_b").alias("roi"))
+    rois = numbered(_polygons(spark, sf).select("name", "roi", "ord"), ["name"], ["ord"])
+    return rois.select("name", L.renamed(F.col("n") - 1, F.col("roi"), 10, 100, "cell_", "_b").alias("roi"))
+
+
+@query(O.polygons("SELECT name, roi, sum(n) OVER (PARTITION BY name ORDER BY ord)::BIGINT - n AS idx, sum(n) OVER (ORDER BY name, ord)::BIGINT AS points FROM p"))
+def vertex_offsets(spark: SparkSession, sf: str) -> DataFrame:
+    """Where each ROI's vertices begin in its position's table, and how many there are up to its end over all positions."""
+    rois = _polygons(spark, sf).select("name", "roi", "ord", F.size("ring").cast("long").alias("points"))
+    placed = running_total(running_total(rois, ["name"], ["ord"], F.col("points"), "idx"), [], ["name", "ord"], F.col("points"), "total")
+    return placed.select("name", "roi", (F.col("idx") - F.col("points")).alias("idx"), F.col("total").alias("points"))
 
 
 @query(O.measurements("SELECT split_part(label, '/', 2) AS position, count(*) AS n FROM (SELECT string_split(label, '/')[2] AS part, label FROM m) GROUP BY ALL"))
@@ -311,14 +350,13 @@ RANKED = "SELECT name, feature_id, dense_rank() OVER (PARTITION BY name ORDER BY
 @query(O.features("v", X.VERTICES, f"SELECT name, feature_id, {PALETTE}[(k - 1) % 12 + 1] AS colour FROM ({RANKED} WHERE feature_id LIKE 'feature%'))"))
 def feature_palette(spark: SparkSession, sf: str) -> DataFrame:
     ids = _features(spark, sf).where(F.col("feature_id").startswith("feature")).select("name", "feature_id").distinct()
-    return ids.select("name", "feature_id", L.palette_colour(F.dense_rank().over(Window.partitionBy("name").orderBy("feature_id"))).alias("colour"))
+    return numbered(ids, ["name"], ["feature_id"]).select("name", "feature_id", L.palette_colour(F.col("n")).alias("colour"))
 
 
 @query(O.features("v", X.VERTICES, f"SELECT name, feature_id, CASE WHEN feature_id LIKE 'failed%' THEN 'gray80' WHEN feature_id LIKE 'invalid%' THEN 'gray40' ELSE {PALETTE}[(k - 1) % 12 + 1] END AS colour FROM ({RANKED}))"))
 def feature_color_map(spark: SparkSession, sf: str) -> DataFrame:
     ids = _features(spark, sf).select("name", "feature_id").distinct()
-    rank = F.dense_rank().over(Window.partitionBy("name").orderBy("feature_id"))
-    return ids.select("name", "feature_id", L.feature_colour(F.col("feature_id"), rank).alias("colour"))
+    return numbered(ids, ["name"], ["feature_id"]).select("name", "feature_id", L.feature_colour(F.col("feature_id"), F.col("n")).alias("colour"))
 
 
 @query(O.with_vertices("SELECT name, round(min(x) * 0.9, 6) AS x_lo, round(max(x) * 1.1, 6) AS x_hi, round(min(y) * 0.9, 6) AS y_lo, round(max(y) * 1.1, 6) AS y_hi FROM v GROUP BY name"))

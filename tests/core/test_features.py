@@ -38,7 +38,7 @@ def test_labels_and_numbers(spark):
     pairs = spark.createDataFrame(rows, "name string, ord_1 long, ord_2 long")
     nodes = [(f"g{g}", i, i % 5, float(i)) for g in range(12) for i in range(14)]
     survivors = spark.createDataFrame(nodes, "name string, ord long, z int, area double")
-    members, table = component_table(survivors, pairs)
+    members, table = component_table(survivors, pairs, labels=True)
     got = {}
     labels = {(r["name"], r.component): r.label for r in table.collect()}
     for r in members.collect():

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import warnings
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,8 +12,18 @@ from pyspark.sql import functions as F
 TOKEN_PATTERNS = {"filename": r"\.lif$", "roi": r"\d{4}-\d{4}-\d{4}$", "pos": r"^[Pp]osition\d+$"}
 #: Fixed value: what stands between the tokens of a label.
 SEPARATORS = r"(/)|(\s+)|(:)"
-#: The twelve-colour qualitative palette named Paired.
-PAIRED = ["#A6CEE3", "#1F78B4", "#B2DF8A", "#33A02C", "#FB9A99", "#E31A1C", "#FDBF6F", "#FF7F00", "#CAB2D6", "#6A3D9A", "#FFFF99", "#B15928"]
+#: The qualitative palettes of ColorBrewer, by name.
+PALETTES = {
+    "Accent": ["#7FC97F", "#BEAED4", "#FDC086", "#FFFF99", "#386CB0", "#F0027F", "#BF5B17", "#666666"],
+    "Dark2": ["#1B9E77", "#D95F02", "#7570B3", "#E7298A", "#66A61E", "#E6AB02", "#A6761D", "#666666"],
+    "Paired": ["#A6CEE3", "#1F78B4", "#B2DF8A", "#33A02C", "#FB9A99", "#E31A1C", "#FDBF6F", "#FF7F00", "#CAB2D6", "#6A3D9A", "#FFFF99", "#B15928"],
+    "Pastel1": ["#FBB4AE", "#B3CDE3", "#CCEBC5", "#DECBE4", "#FED9A6", "#FFFFCC", "#E5D8BD", "#FDDAEC", "#F2F2F2"],
+    "Pastel2": ["#B3E2CD", "#FDCDAC", "#CBD5E8", "#F4CAE4", "#E6F5C9", "#FFF2AE", "#F1E2CC", "#CCCCCC"],
+    "Set1": ["#E41A1C", "#377EB8", "#4DAF4A", "#984EA3", "#FF7F00", "#FFFF33", "#A65628", "#F781BF", "#999999"],
+    "Set2": ["#66C2A5", "#FC8D62", "#8DA0CB", "#E78AC3", "#A6D854", "#FFD92F", "#E5C494", "#B3B3B3"],
+    "Set3": ["#8DD3C7", "#FFFFB3", "#BEBADA", "#FB8072", "#80B1D3", "#FDB462", "#B3DE69", "#FCCDE5", "#D9D9D9", "#BC80BD", "#CCEBC5", "#FFED6F"],
+}
+PAIRED = PALETTES["Paired"]
 #: The greys of invalid features and of failed ROIs.
 INVALID_COLOUR, FAILED_COLOUR = "gray40", "gray80"
 
@@ -55,14 +66,19 @@ def name_by_content(df: DataFrame, columns: list[str], patterns: dict[str, str]
     """New names of columns whose values, nulls aside, all match a pattern.
 
     Of several columns for one name the first has the name itself and the others ``_1``, ``_2`` and so on;
-    a column for several names takes the last.  One aggregation; a column without values matches nothing.
+    a column for several names takes the last; either is warned of.  One aggregation; a column without values matches
+    nothing.
     """
     checks = [F.bool_and(F.col(c).rlike(p)).alias(f"{c}|{n}") for c in columns for n, p in patterns.items()]
     row = df.agg(*checks).first() if checks else {}
     out: dict[str, str] = {}
-    for name in patterns:
-        hits = [c for c in columns if row[f"{c}|{name}"]]
-        out.update({c: name if k == 0 else f"{name}_{k}" for k, c in enumerate(hits)})
+    hits = {name: [c for c in columns if row[f"{c}|{name}"]] for name in patterns}
+    for name, own in hits.items():
+        out.update({c: name if k == 0 else f"{name}_{k}" for k, c in enumerate(own)})
+    taken = [c for own in hits.values() for c in own]
+    for what, found in (("columns that match several patterns", sorted({c for c in taken if taken.count(c) > 1})), ("patterns that several columns match", [n for n, own in hits.items() if len(own) > 1])):
+        if found:
+            warnings.warn(f"{what}: {', '.join(found)}", stacklevel=2)
     return out
 
 
@@ -78,15 +94,18 @@ def parse_labels(df: DataFrame, label: str = "label", patterns: dict[str, str] =
     return df.withColumns({**found, "z": slice_number(F.col(label))})
 
 
-def palette(n: int, max_repeat: int = 10, literal: bool = False) -> list[str]:
-    """``n`` recycled colours; ``literal``: ``max_repeat`` times the first ``min(n, 12)``."""
-    own = PAIRED[: min(n, len(PAIRED))]
-    return own * max_repeat if literal and n > 0 else [PAIRED[k % len(PAIRED)] for k in range(n)]
+def palette(n: int, max_repeat: int = 10, literal: bool = False, name: str = "Paired") -> list[str]:
+    """``n`` recycled colours of a palette; ``literal``: ``max_repeat`` times the first of them, at most ``n``."""
+    if name not in PALETTES:
+        raise ValueError(f"{name} is none of {', '.join(PALETTES)}")
+    colours = PALETTES[name]
+    own = colours[: min(n, len(colours))]
+    return own * max_repeat if literal and n > 0 else [colours[k % len(colours)] for k in range(n)]
 
 
-def palette_colour(rank: Column) -> Column:
+def palette_colour(rank: Column, name: str = "Paired") -> Column:
     """Colour of a rank from 1, recycled."""
-    return F.element_at(F.array(*map(F.lit, PAIRED)), (F.pmod(rank - 1, F.lit(len(PAIRED))) + 1).cast("int"))
+    return F.element_at(F.array(*map(F.lit, PALETTES[name])), (F.pmod(rank - 1, F.lit(len(PALETTES[name]))) + 1).cast("int"))
 
 
 def feature_colour(feature_id: Column, rank: Column, invalid_prefix: str = "invalid_feature_", failed_prefix: str = "failed_ROI_") -> Column:

@@ -9,6 +9,7 @@ batches of candidate pairs where the join leaves them; nothing is shuffled for i
 from __future__ import annotations
 
 import math
+import warnings
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,6 +41,24 @@ def polygonize(vertices: DataFrame) -> DataFrame:
     return rings.withColumn("ring", ring("_p")).withColumn("z", F.explode("_z")).drop("_p", "_z")
 
 
+def roi_polygons(vertices: DataFrame, wanted: DataFrame, min_points: int = 1) -> DataFrame:
+    """Polygons of the ROIs listed in ``wanted`` (roi, and name where vertices have it) that have ``min_points`` distinct vertices.
+
+    Warns of ROIs that have fewer, or none, with the first of them; an error where none is left.  A vertex without a
+    coordinate is none.
+    """
+    key = ["name", "roi"] if "name" in vertices.columns else ["roi"]
+    listed = wanted.select(*key).distinct()
+    found = polygonize(vertices.where("x IS NOT NULL AND y IS NOT NULL").join(listed, key, "left_semi"))
+    fine = found.where(F.size(F.array_distinct("ring")) >= min_points)
+    missing = [".".join(map(str, r)) for r in listed.join(fine, key, "left_anti").orderBy(*key).limit(6).collect()]
+    if missing:
+        warnings.warn(f"Some ROIs have no coordinates, or too few: {', '.join(missing[:5])}{', ...' if len(missing) > 5 else ''}", stacklevel=2)
+        if fine.isEmpty():
+            raise ValueError("No ROI of the list has coordinates")
+    return fine
+
+
 def measured(polygons: DataFrame) -> DataFrame:
     """Polygons with area (without that of holes), orientation and bounding box."""
     ring = F.col("ring")

@@ -13,7 +13,7 @@ from ..operators.components import connected_components
 from ..operators.features import as_polygons, component_table, define_feature_group, fail_reasons, filter_features, slice_by_rank
 from ..operators.match import find_overlap_features, first_match, match_statistics
 from ..operators.numbering import numbered, running_total
-from ..operators.overlap import find_z_intersect, polygonize, same_slice_pairs
+from ..operators.overlap import find_z_intersect, measured, roi_polygons, same_slice_pairs
 from ..operators.shapes import add_ellipses, shape_table
 from ..sources import fixtures as X
 from ..sources import stacks
@@ -101,6 +101,16 @@ def filter_flag_any(spark: SparkSession, sf: str) -> DataFrame:
     return fail_reasons(_polygons(spark, sf), area_range=None).where("fail_reason IS NULL").select("name", "roi", "z")
 
 
+@query(O.polygons("SELECT name, roi, n AS n_points, round(area, 6) AS area FROM p WHERE include AND xmin >= 100"))
+def polygons_of_rois(spark: SparkSession, sf: str) -> DataFrame:
+    """Polygons of a list of ROIs, of which some have no vertices and are warned of."""
+    vertices = X.vertices(spark, sf)
+    wanted = vertices.groupBy("name", "roi").agg(F.bool_or("include").alias("include"), F.min("x").alias("x")).where("include AND x >= 100").select("name", "roi")
+    wanted = wanted.unionByName(wanted.where("roi LIKE '%0'").withColumn("roi", F.concat("roi", F.lit("_gone"))))
+    found = measured(roi_polygons(vertices, wanted, 3))
+    return _rounded(found.select("name", "roi", F.size("ring").cast("long").alias("n_points"), "area"), "area")
+
+
 @query(O.polygons(f"SELECT name, roi, z FROM p WHERE regexp_matches(roi, '{REGEX}')"))
 def filter_name_regex(spark: SparkSession, sf: str) -> DataFrame:
     return fail_reasons(_polygons(spark, sf), None, None, REGEX).where("fail_reason IS NULL").select("name", "roi", "z")
@@ -344,6 +354,7 @@ def position_from_label(spark: SparkSession, sf: str) -> DataFrame:
 
 
 PALETTE = "[" + ", ".join(f"'{c}'" for c in L.PAIRED) + "]"
+SET3 = "[" + ", ".join(f"'{c}'" for c in L.PALETTES["Set3"]) + "]"
 RANKED = "SELECT name, feature_id, dense_rank() OVER (PARTITION BY name ORDER BY feature_id) AS k FROM (SELECT DISTINCT name, feature_id FROM features"
 
 
@@ -353,6 +364,12 @@ def feature_palette(spark: SparkSession, sf: str) -> DataFrame:
     return numbered(ids, ["name"], ["feature_id"]).select("name", "feature_id", L.palette_colour(F.col("n")).alias("colour"))
 
 
+@query(O.features("v", X.VERTICES, f"SELECT name, feature_id, {SET3}[(k - 1) % 12 + 1] AS colour FROM ({RANKED} WHERE feature_id LIKE 'invalid%'))"))
+def invalid_feature_palette(spark: SparkSession, sf: str) -> DataFrame:
+    ids = _features(spark, sf).where(F.col("feature_id").startswith("invalid")).select("name", "feature_id").distinct()
+    return numbered(ids, ["name"], ["feature_id"]).select("name", "feature_id", L.palette_colour(F.col("n"), "Set3").alias("colour"))
+
+
 @query(O.features("v", X.VERTICES, f"SELECT name, feature_id, CASE WHEN feature_id LIKE 'failed%' THEN 'gray80' WHEN feature_id LIKE 'invalid%' THEN 'gray40' ELSE {PALETTE}[(k - 1) % 12 + 1] END AS colour FROM ({RANKED}))"))
 def feature_color_map(spark: SparkSession, sf: str) -> DataFrame:
     ids = _features(spark, sf).select("name", "feature_id").distinct()

@@ -114,16 +114,23 @@ def read_polygons(spark: SparkSession, path: str, box: tuple[float, float, float
     return df.where((F.col("xmax") >= x0) & (F.col("xmin") <= x1) & (F.col("ymax") >= y0) & (F.col("ymin") <= y1))
 
 
+def _is_row_number(df: DataFrame, column: str) -> bool:
+    """Whether a column holds 1, 2, ... in the order of the rows.  Only one that holds each of these numbers once is put in order."""
+    n = F.col(f"`{column}`").cast("double")
+    each = df.agg((F.count("*") == F.count(n)) & (F.min(n) == 1) & (F.max(n) == F.count("*")) & (F.count_distinct(n) == F.count("*")) & F.bool_and(n == F.floor(n))).first()[0]
+    if not each:
+        return False
+    placed = df.select(n.alias("_own"), F.col("_metadata.file_path").alias("_path"), F.monotonically_increasing_id().alias("_place"))
+    return numbered(placed, [], ["_path", "_place"], "_row").where("_own <> _row").isEmpty()
+
+
 def read_measurements(spark: SparkSession, path: str | list[str], parse: bool = True) -> DataFrame:
     """A measurement table (tab separated, header): names cleaned, a leading row number dropped, labels parsed.
 
-    The first column is a row number if it holds exactly 1 to the number of rows.
+    The first column is a row number if it holds exactly 1 to the number of rows, in order.
     """
     df = _text(spark, path, None).option("inferSchema", True).csv(path)
-    first = df.columns[0]
-    n = F.col(f"`{first}`").cast("long")
-    row = df.agg((F.count("*") == F.count(n)) & (F.min(n) == 1) & (F.max(n) == F.count("*")) & (F.count_distinct(n) == F.count("*"))).first()
-    df = df.drop(df[f"`{first}`"]) if row[0] else df
+    df = df.drop(df[f"`{df.columns[0]}`"]) if _is_row_number(df, df.columns[0]) else df
     df = df.toDF(*[clean_name(c) for c in df.columns])
     return parse_labels(df) if parse and "label" in df.columns else df
 

@@ -1,9 +1,11 @@
 """Readers, labels, palettes, raster operators, streams."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from roistack.functions import labels as L
 from roistack.operators import raster as R
+from roistack.operators.overlap import roi_polygons
 from roistack.sources.tables import append_outlines, read_measurements, read_outlines, write_outlines
 from roistack.streaming.outlines import group_arriving, stream_outlines
 
@@ -19,15 +21,24 @@ def test_measurements(spark, tmp_path):
     assert (rows[1].filename, rows[1].pos, rows[1].roi, rows[1].z, rows[0].z) == ("sample1.lif", "Position001", "0007-0123-0456", 7, None)
     (tmp_path / "b_res.txt").write_text("n\tLabel\n1\tx\n3\ty\n")
     assert read_measurements(spark, f"file://{tmp_path}/b_res.txt").columns == ["n", "label", "z"]
+    # all of the numbers, but not in order
+    (tmp_path / "c_res.txt").write_text("n\tLabel\n2\tx\n1\ty\n")
+    assert read_measurements(spark, f"file://{tmp_path}/c_res.txt").columns == ["n", "label", "z"]
 
 
 def test_content_names(spark):
     df = spark.createDataFrame([("a.lif", "b.lif", "x", None), ("c.lif", "d.lif", "Position1", None)], "V1 string, V2 string, V3 string, V4 string")
-    assert L.name_by_content(df, df.columns) == {"V1": "filename", "V2": "filename_1"}
+    with pytest.warns(UserWarning, match="patterns that several columns match: filename"):
+        assert L.name_by_content(df, df.columns) == {"V1": "filename", "V2": "filename_1"}
+    with pytest.warns(UserWarning, match="columns that match several patterns: V1"):
+        assert L.name_by_content(df.select("V1"), ["V1"], {"a": "lif", "b": "a|c"}) == {"V1": "b"}
 
 
 def test_palette():
     assert L.palette(14) == L.PAIRED + L.PAIRED[:2]
+    assert L.palette(10, name="Set1")[8:] == ["#999999", "#E41A1C"] and sum(map(len, L.PALETTES.values())) == 74
+    with pytest.raises(ValueError, match="none of"):
+        L.palette(3, name="Blue")
     assert len(L.palette(3, literal=True)) == 30 and L.palette(0) == [] and L.clean_name("Circ..") == "circ"
 
 
@@ -74,3 +85,12 @@ def test_raster(spark):
     levels = spark.createDataFrame([("im", 1, 1, 0, x, v) for x, v in enumerate([0.0] * 5 + [10.0] * 5)], "name string, ch int, z int, y int, x int, v double")
     assert R.auto_threshold(levels).first().threshold == 5
     assert R.measure(ring, R.label_regions(ring)).agg(F.sum("area")).first()[0] == 9
+
+
+def test_polygons_of_a_list(spark):
+    vertices = rois(spark, [("a", 1, SQUARE), ("b", 1, [(0, 0), (1, 1), (0, 0)]), ("c", 1, SQUARE)]).union(rois(spark, [("n", 1, SQUARE)]).withColumn("x", F.lit(None).cast("double")))
+    wanted = spark.createDataFrame([("p", "a"), ("p", "a"), ("p", "b"), ("p", "n"), ("p", "z"), ("q", "c")], "name string, roi string")
+    with pytest.warns(UserWarning, match="p.b, p.n, p.z, q.c"):
+        assert [r.roi for r in roi_polygons(vertices, wanted, 3).collect()] == ["a"]
+    with pytest.warns(UserWarning, match="no coordinates"), pytest.raises(ValueError, match="No ROI"):
+        roi_polygons(vertices, wanted.where("roi = 'z'"))

@@ -17,7 +17,8 @@ from ..operators.overlap import find_z_intersect, measured, roi_polygons, same_s
 from ..operators.shapes import add_ellipses, shape_table
 from ..sources import fixtures as X
 from ..sources import stacks
-from ..sources.tables import append_outlines, read_outlines, read_polygons, write_outlines, write_polygons
+from ..sources.tables import append_outlines, path_list, read_measurements, read_outlines, read_polygons, write_measurements, write_outlines, write_polygons
+from ..streaming.outlines import group_arriving, stream_outlines
 from . import oracle as O
 from .scratch import materialize, scratch_path
 
@@ -44,6 +45,11 @@ def _polygons(spark: SparkSession, sf: str) -> DataFrame:
     return as_polygons(X.vertices(spark, sf))
 
 
+def _stored_polygons(spark: SparkSession, sf: str) -> DataFrame:
+    """Polygons as a table, for queries that look at them more than once."""
+    return materialize(_polygons(spark, sf), "polygons")
+
+
 def _rounded(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.round(c, 6) for c in columns})
 
@@ -137,33 +143,33 @@ def _pairs(df: DataFrame) -> DataFrame:
 
 @query(O.pairs(1, 0.0, f"SELECT {PAIR}, round(int_area, 6) AS int_area, round(int_ratio, 6) AS int_ratio FROM pairs"))
 def overlap_pairs_z1(spark: SparkSession, sf: str) -> DataFrame:
-    return _pairs(find_z_intersect(_polygons(spark, sf)))
+    return _pairs(find_z_intersect(_stored_polygons(spark, sf)))
 
 
 @query(O.pairs(3, 0.0, f"SELECT {PAIR}, round(int_area, 6) AS int_area, round(int_ratio, 6) AS int_ratio FROM pairs"))
 def overlap_pairs_z3(spark: SparkSession, sf: str) -> DataFrame:
-    return _pairs(find_z_intersect(_polygons(spark, sf), max_z_dist=3))
+    return _pairs(find_z_intersect(_stored_polygons(spark, sf), max_z_dist=3))
 
 
 @query(O.pairs(1, 0.3, "SELECT name, roi_1, roi_2, round(area_1, 6) AS area_1, round(area_2, 6) AS area_2, round(min_area, 6) AS min_area, round(int_ratio, 6) AS int_ratio FROM pairs"))
 def overlap_ratio(spark: SparkSession, sf: str) -> DataFrame:
-    found = find_z_intersect(_polygons(spark, sf), min_intersect_ratio=0.3)
+    found = find_z_intersect(_stored_polygons(spark, sf), min_intersect_ratio=0.3)
     return _rounded(found.select("name", "roi_1", "roi_2", "area_1", "area_2", "min_area", "int_ratio"), "area_1", "area_2", "min_area", "int_ratio")
 
 
 @query(O.pairs(1, 0.0, f"SELECT {PAIR} FROM pairs WHERE round(int_area, 9) = 0"))
 def overlap_touch_only(spark: SparkSession, sf: str) -> DataFrame:
-    return find_z_intersect(_polygons(spark, sf)).where(F.round("int_area", 9) == 0).select("name", "roi_1", "roi_2", "z1", "z2", "z_dist")
+    return find_z_intersect(_stored_polygons(spark, sf)).where(F.round("int_area", 9) == 0).select("name", "roi_1", "roi_2", "z1", "z2", "z_dist")
 
 
 @query(O.pairs(2, 0.0, f"SELECT {PAIR} FROM pairs"))
 def overlap_pairs_grid(spark: SparkSession, sf: str) -> DataFrame:
-    return find_z_intersect(_polygons(spark, sf), max_z_dist=2, cell=32.0).select("name", "roi_1", "roi_2", "z1", "z2", "z_dist")
+    return find_z_intersect(_stored_polygons(spark, sf), max_z_dist=2, cell=32.0).select("name", "roi_1", "roi_2", "z1", "z2", "z_dist")
 
 
 @query(O.pairs(0, None, "SELECT name, roi_1, roi_2 FROM pairs"))
 def overlap_pairs_any_z(spark: SparkSession, sf: str) -> DataFrame:
-    return find_z_intersect(_polygons(spark, sf), max_z_dist=0, min_intersect_ratio=None, cell=64.0).select("name", "roi_1", "roi_2")
+    return find_z_intersect(_stored_polygons(spark, sf), max_z_dist=0, min_intersect_ratio=None, cell=64.0).select("name", "roi_1", "roi_2")
 
 
 # --- features ------------------------------------------------------------------------
@@ -182,7 +188,7 @@ def _listed(df: DataFrame) -> DataFrame:
 
 @query(O.pairs(1, 0.0, "SELECT r.name, p.roi, q.roi AS first_roi FROM r JOIN p ON p.name = r.name AND p.ord = r.node JOIN p q ON q.name = r.name AND q.ord = r.component", reach=True))
 def feature_components(spark: SparkSession, sf: str) -> DataFrame:
-    polygons = _polygons(spark, sf)
+    polygons = _stored_polygons(spark, sf)
     pairs = find_z_intersect(polygons)
     found = connected_components(pairs.select("name", F.col("ord_1").alias("a"), F.col("ord_2").alias("b")))
     rois = polygons.select("name", "ord", "roi")
@@ -191,8 +197,8 @@ def feature_components(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _component_stats(spark: SparkSession, sf: str) -> DataFrame:
-    polygons = _polygons(spark, sf)
-    return component_table(polygons, find_z_intersect(polygons).select("name", "ord_1", "ord_2"))[1]
+    polygons = _stored_polygons(spark, sf)
+    return component_table(polygons, materialize(find_z_intersect(polygons).select("name", "ord_1", "ord_2"), "pairs"))[1]
 
 
 @query(O.features("v", X.VERTICES, "SELECT name, component, n_z_span FROM c", include=False))
@@ -253,7 +259,7 @@ def _both(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
 
 @query(O.matches("SELECT name, roi_a AS roi_1, roi_b AS roi_2, round(int_ratio, 6) AS int_ratio FROM m"))
 def match_roi_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    found = same_slice_pairs(as_polygons(X.nucleoli(spark, sf)), _polygons(spark, sf), [])
+    found = same_slice_pairs(materialize(as_polygons(X.nucleoli(spark, sf)), "polygons"), _stored_polygons(spark, sf), [])
     return _rounded(found.select(F.col("name_a").alias("name"), F.col("roi_a").alias("roi_1"), F.col("roi_b").alias("roi_2"), "int_ratio"), "int_ratio")
 
 
@@ -295,6 +301,37 @@ def outlines_white_space(spark: SparkSession, sf: str) -> DataFrame:
     return read_outlines(spark, path, white_space=True).select("name", "roi", "z", "x", "y")
 
 
+@query(O.matches("SELECT name, roi, z, i, x, y FROM a_e"))
+def outline_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Two kinds of outlines written as text, one found again by its path; vertices are numbered in the order of the files."""
+    paths = path_list(scratch_path(spark, "outline-files"), {"nuclei": "sample_nucleus_outline.txt", "nucleoli": "sample_nucleolus_outline.txt"})
+    for kind, rows in (("nuclei", X.vertices(spark, sf)), ("nucleoli", X.nucleoli(spark, sf))):
+        write_outlines(rows.repartitionByRange("name", "ord").sortWithinPartitions("name", "ord").select("name", "roi", "z", "x", "y"), paths[kind])
+    found = read_outlines(spark, list(paths.values()), pattern="*.csv", regex=r"nucleolus_outline\.txt/")
+    order = Window.partitionBy("name", "roi").orderBy("path", "ord")
+    return found.select("name", "roi", "z", (F.row_number().over(order) - 1).cast("long").alias("i"), "x", "y")
+
+
+@query(O.measurements("SELECT label, area, circ, t[1] AS filename, t[2] AS pos, t[3] AS roi, CAST(regexp_extract(label, 'z:(\\d+)', 1) AS INT) AS z FROM (SELECT *, string_split_regex(label, '(/)|(\\s+)|(:)') AS t FROM m)"))
+def measurement_file(spark: SparkSession, sf: str) -> DataFrame:
+    """A measurement table written with row numbers and an image tool's column names, and read back."""
+    path, own = scratch_path(spark, "measurements"), numbered(X.measurements(spark, sf), [], ["roi_name", "ch"])
+    rows = own.select("n", F.col("label").alias("Label"), F.col("area").alias("Area"), F.col("circ").alias("Circ."))
+    write_measurements(rows.repartitionByRange("n").sortWithinPartitions("n"), path)
+    return read_measurements(spark, path).select("label", "area", "circ", "filename", "pos", "roi", "z")
+
+
+@query(O.features("v", X.VERTICES, FEATURE, include=False))
+def streamed_features(spark: SparkSession, sf: str) -> DataFrame:
+    """Outline files that arrive in a folder, a position in each, grouped by a stream."""
+    path = scratch_path(spark, "arriving")
+    rows = X.vertices(spark, sf).repartition("name").sortWithinPartitions("name", "ord")
+    write_outlines(rows.select("name", "roi", "z", "x", "y"), f"{path}/in")
+    arriving = stream_outlines(spark, f"{path}/in", max_files=2)
+    group_arriving(arriving, lambda features, number: _listed(features).write.mode("overwrite").parquet(f"{path}/out/batch={number}"), f"{path}/state").awaitTermination()
+    return spark.read.parquet(f"{path}/out").select("name", "roi", "z", "area", "feature_id")
+
+
 @query(O.polygons("SELECT name, roi, z, round(area, 6) AS area FROM p WHERE xmax >= 200 AND xmin <= 320 AND ymax >= 30 AND ymin <= 90"))
 def polygons_in_box(spark: SparkSession, sf: str) -> DataFrame:
     """Polygons stored along a curve, then those of an area."""

@@ -48,11 +48,12 @@ def running_total(df: DataFrame, by: list[str], order: list[str], value: Column
 
     schema = T.StructType([*dealt.schema.fields, T.StructField(into, T.LongType()), T.StructField("_part", T.IntegerType())])
     summed = materialize(dealt.mapInArrow(run, schema), "ranges")
-    # a row for each group and range
     held = summed.groupBy("_group", "_part").agg(F.sum("_value").alias("_held"))
     earlier = Window.partitionBy("_group").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    held = held.select("_group", "_part", F.coalesce(F.sum("_held").over(earlier), F.lit(0)).alias("_before"))
-    return summed.join(held, ["_group", "_part"]).withColumn(into, F.col(into) + F.col("_before")).select(*df.columns, into)
+    held = held.select("_group", "_part", F.sum("_held").over(earlier).alias("_before"))
+    # only the group that a range begins with can have earlier rows: no more rows than ranges
+    held = F.broadcast(held.where("_before IS NOT NULL"))
+    return summed.join(held, ["_group", "_part"], "left").withColumn(into, F.col(into) + F.coalesce("_before", F.lit(0))).select(*df.columns, into)
 
 
 def numbered(df: DataFrame, by: list[str], order: list[str], into: str = "n") -> DataFrame:

@@ -270,6 +270,45 @@ def _boundaries(cells: set[tuple[int, int]]) -> list[list[tuple[int, int]]]:
     return walks
 
 
+def _traced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows ``name``, ``ch``, ``z``, ``region``, ``y``, ``x`` in order of the first four: the boundaries of each region."""
+
+    def trace(regions: pa.Table) -> pa.RecordBatch:
+        x, y = (regions.column(c).to_numpy().tolist() for c in ("x", "y"))
+        cuts = [*_starts(regions).tolist(), len(x)]
+        out: list[tuple[int, int, int, int, int]] = []
+        for i, j in zip(cuts[:-1], cuts[1:], strict=True):
+            walks = _boundaries(set(zip(x[i:j], y[i:j], strict=True)))
+            corners = [(part, *corner) for part, walk in enumerate(walks) for corner in walk]
+            out += [(i, part, at, a, b) for at, (part, a, b) in enumerate(corners)]
+        row, part, at, a, b = (np.array(c, np.int64) for c in zip(*out, strict=True))
+        own = regions.select(["name", "z", "region"]).take(pa.array(row)).combine_chunks().to_batches()[0]
+        return pa.RecordBatch.from_arrays([*own.columns, pa.array(part.astype(np.int32)), pa.array(at), pa.array(a.astype(np.float64)), pa.array(b.astype(np.float64))], names=["name", "z", "region", "part", "ord", "x", "y"])
+
+    def _starts(regions: pa.Table) -> np.ndarray:
+        new = np.zeros(len(regions), bool)
+        new[0] = True
+        for c in ("ch", "z", "region"):
+            new[1:] |= np.diff(regions.column(c).to_numpy()) != 0
+        names = pa.concat_arrays(regions.column("name").chunks).dictionary_encode().indices.fill_null(-1).to_numpy()
+        new[1:] |= np.diff(names) != 0
+        return np.flatnonzero(new)
+
+    kept: pa.Table | None = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        here = pa.Table.from_batches([batch])
+        here = here if kept is None else pa.concat_tables([kept, here])
+        # the last region may go on in the next batch
+        last = int(_starts(here)[-1])
+        if last:
+            yield trace(here.slice(0, last))
+        kept = here.slice(last)
+    if kept is not None:
+        yield trace(kept)
+
+
 def outline_rings(labelled: DataFrame) -> DataFrame:
     """name, z, region, part, ord, x and y: all boundaries of each labelled region as the corners of its pixels' sides.
 
@@ -277,16 +316,8 @@ def outline_rings(labelled: DataFrame) -> DataFrame:
     Rows as they are make polygons with holes: ``polygonize`` with a column ``roi``.  A region's pixels are gathered in
     one task; a region is one particle.
     """
-    import pandas as pd
-
-    def trace(pixels: pd.DataFrame) -> pd.DataFrame:
-        row = pixels.iloc[0]
-        rows = [(row["name"], row["z"], row["region"], part, at, float(x), float(y)) for part, walk in enumerate(_boundaries(set(zip(pixels["x"].tolist(), pixels["y"].tolist(), strict=True)))) for at, (x, y) in enumerate(walk)]
-        found = pd.DataFrame(rows, columns=["name", "z", "region", "part", "ord", "x", "y"])
-        return found.assign(ord=range(len(found)))
-
-    own = labelled.select("name", "ch", "z", "region", "y", "x")
-    return own.groupBy("name", "ch", "z", "region").applyInPandas(trace, "name string, z int, region long, part int, ord long, x double, y double")
+    own = labelled.select("name", "ch", "z", "region", "y", "x").repartition("name", "ch", "z", "region").sortWithinPartitions("name", "ch", "z", "region")
+    return own.mapInArrow(_traced, "name string, z int, region long, part int, ord long, x double, y double")
 
 
 def outlines(labelled: DataFrame) -> DataFrame:

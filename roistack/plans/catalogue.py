@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -9,6 +11,7 @@ from pyspark.sql.window import Window
 from ..functions import geometry as G
 from ..functions import labels as L
 from ..operators import raster as R
+from ..operators import selector as S
 from ..operators.components import connected_components
 from ..operators.features import as_polygons, component_table, define_feature_group, fail_reasons, filter_features, slice_by_rank
 from ..operators.match import find_overlap_features, first_match, match_statistics
@@ -526,6 +529,24 @@ def ring_overlaps(spark: SparkSession, sf: str) -> DataFrame:
     return found.select(F.col("name_a").alias("name"), F.col("region_a").alias("region_1"), F.col("region_b").alias("region_2"), F.round("int_area", 6).alias("int_area"))
 
 
+MEASURED = "SELECT b.name, b.region, p.ch, count(*) AS area, round(avg(p.v), 6) AS mean, min(p.v) AS min, max(p.v) AS max FROM b JOIN px p USING (name, z, y, x) GROUP BY ALL"
+
+
+@query(O.particles(MEASURED))
+def measure_outlines(spark: SparkSession, sf: str) -> DataFrame:
+    """Pixels inside the outlines of regions, without their holes, measured in both channels."""
+    regions = materialize(_region_polygons(_mask(spark, sf)), "regions")
+    found = S.measure_selections(X.pixels(spark, sf), regions)
+    return _rounded(found.select("name", F.col("roi").cast("long").alias("region"), "ch", "area", "mean", "min", "max"), "mean")
+
+
+@query()
+def select_nuclei(spark: SparkSession, sf: str) -> DataFrame:
+    """From pixels to measured nuclei: blur, threshold, holes, particles, names, channels; a test does the same in plain Python."""
+    measured = S.select_nuclei(X.pixels(spark, sf), 1, [1, 2], pixel_width=0.25, sigma=1.5, particle_size=(6 / 16, math.inf))[1]
+    return _rounded(measured.select("name", "roi", "ch", "area", "mean", "min", "max"), "mean")
+
+
 def _stacks(spark: SparkSession, sf: str) -> str:
     """The pixels as stack files in the shared folder."""
     path = scratch_path(spark, "stacks")

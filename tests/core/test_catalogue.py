@@ -6,7 +6,7 @@ import pytest
 from roistack.plans import catalogue
 
 SF = "/root/testdata/sf0.001"
-WITHOUT_SQL = {"pixel_outlines"}
+WITHOUT_SQL = {"pixel_outlines", "select_nuclei"}
 
 
 @pytest.fixture(scope="module")

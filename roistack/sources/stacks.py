@@ -419,7 +419,10 @@ def read_stacks(spark: SparkSession, path: str, form: str = "pixels", basename:
 
 
 def write_stacks(pixels: DataFrame, path: str, mode: str = "append", kind: str = "f4", pixel_width: float = 1.0, unit: str = "pixel") -> None:
-    """Write pixel rows (name, ch, z, y, x, v and frame if there is one) as a stack for each name; stacks are dealt over the tasks."""
+    """Write pixel rows (name, ch, z, y, x, v and frame if there is one) as a stack for each name; stacks are dealt over the tasks.
+
+    ``path`` is a URI of a file system that Arrow knows.  A task holds one plane at a time.
+    """
     spark = pixels.sparkSession
     spark.dataSource.register(StackSource)
     pixels = pixels if "frame" in pixels.columns else pixels.withColumn("frame", F.lit(1))

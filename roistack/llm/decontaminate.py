@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ALNUM, chunks, fold_case, shingle_hashes, text_bytes, word_hashes, words
+from .common import ALNUM, chunks, fold_case, materialize, shingle_hashes, text_bytes, word_hashes, words
 
 STRIDE = 4
 #: Shingles of a window, where the item isn't shorter.
@@ -122,12 +122,14 @@ class Items:
         """``df``: items that hold a shingle, where they are several, and ``total``: all items; of the whole benchmark, where ``texts`` is a slice."""
         self.threshold, self.n = threshold, n
         self.shingles: list[np.ndarray] = []
+        self.n_words: list[int] = []
         self.groups: dict[tuple[int, int, int], _Tables] = {}
         for k, text in enumerate(texts):
             h, first = _shingles(*text_bytes(pa.array([text], pa.string())), n)
             n_words = len(h) + n - 1 if len(h) > 1 else self._words(text)
             length = min(n, n_words)
             self.shingles.append(h)
+            self.n_words.append(n_words)
             if not len(h):
                 continue
             size, stride = _window(len(h), threshold)
@@ -192,7 +194,7 @@ def _shingles(data: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndarray
 
 
 def find_leaks(documents: DataFrame, benchmark: DataFrame, threshold: float = 0.8, radius: int = 11, slice_items: int = 2000) -> DataFrame:
-    """doc_id, item_id, similarity, start (in words) and n_words (of the item's shingles) of every text that holds an item.
+    """doc_id, item_id, similarity, start (in words) and n_words (the item's words) of every text that holds an item.
 
     ``threshold``: least weighted Jaccard similarity of five-word shingles.  ``radius``: bits that fingerprints may differ by.
     """
@@ -200,21 +202,26 @@ def find_leaks(documents: DataFrame, benchmark: DataFrame, threshold: float = 0.
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
     total = items.count()
     slices = max(1, -(-total // slice_items))
+    items = items.withColumn("slice", F.pmod(F.xxhash64("item_id", "text"), F.lit(slices)))
 
     def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             h, first = _shingles(*text_bytes(batch.column(0)), 5)
             own = [np.unique(h[i:j]) for i, j in zip(first[:-1], first[1:], strict=True)]
-            yield pa.RecordBatch.from_pydict({"hash": np.concatenate([np.zeros(0, np.uint64), *own]).view(np.int64)})
+            of_slice = np.repeat(batch.column(1).to_numpy(), [len(x) for x in own])
+            yield pa.RecordBatch.from_pydict({"hash": np.concatenate([np.zeros(0, np.uint64), *own]).view(np.int64), "slice": of_slice})
 
-    several = items.select("text").mapInArrow(distinct, "hash long").groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").toArrow()
-    df = dict(zip(several.column("hash").to_numpy().view(np.uint64).tolist(), several.column("n").to_pylist(), strict=True))
+    # items that hold a shingle, of all items; a slice gets those of its own shingles
+    by_slice = materialize(items.select("text", "slice").mapInArrow(distinct, "hash long, slice long").groupBy("hash", "slice").agg(F.count("*").alias("own")), "item-shingles")
+    several = materialize(by_slice.join(by_slice.groupBy("hash").agg(F.sum("own").alias("n")).where("n > 1"), "hash").select("slice", "hash", "n"), "item-frequencies")
     found = None
     for k in range(slices):
-        own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(slices)) == k).orderBy("item_id", "text").toArrow()
+        own = items.where(F.col("slice") == k).orderBy("item_id", "text").toArrow()
+        counts = several.where(F.col("slice") == k).select("hash", "n").toArrow()
+        df = dict(zip(counts.column("hash").to_numpy().view(np.uint64).tolist(), counts.column("n").to_pylist(), strict=True))
         ids, source = own.column("item_id").to_pylist(), own.column("text").to_pylist()
 
-        def run(batches: Iterator[pa.RecordBatch], ids=ids, source=source) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch], ids=ids, source=source, df=df) -> Iterator[pa.RecordBatch]:
             items = Items(source, threshold, radius, df=df, total=total)
             for batch in batches:
                 data, offsets = text_bytes(batch.column(1))
@@ -224,7 +231,7 @@ def find_leaks(documents: DataFrame, benchmark: DataFrame, threshold: float = 0.
                     r, item, similarity, start = (list(c) for c in zip(*rows, strict=True)) if rows else ([], [], [], [])
                     yield pa.RecordBatch.from_pydict({
                         "doc_id": docs.take(pa.array([i + x for x in r], pa.int64())), "item_id": pa.array([ids[x] for x in item], pa.int64()), "similarity": pa.array(similarity, pa.float64()),
-                        "start": pa.array(start, pa.int64()), "n_words": pa.array([len(items.shingles[x]) + 4 for x in item], pa.int64()),
+                        "start": pa.array(start, pa.int64()), "n_words": pa.array([items.n_words[x] for x in item], pa.int64()),
                     })
 
         part = texts.mapInArrow(run, SCHEMA)

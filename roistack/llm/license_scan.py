@@ -28,21 +28,48 @@ from .common import ALNUM, chunks, fold_case, hash_of, text_bytes, word_hashes,
 #: Phrases that count by themselves, and their labels.
 BASE_PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
 
-#: Label, template and its mandatory key phrase (public licence texts).
+#: Label, template and its mandatory key phrase (public licence texts and notices).
 TEMPLATES = [
     ("mit", "released under the mit license", "mit license"),
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files", "permission is hereby granted free of charge"),
+    ("mit", "to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so", "use copy modify merge publish distribute sublicense and or sell copies"),
+    ("mit", "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software", "this permission notice shall be included in all copies or substantial portions"),
     ("apache", "licensed under the apache license version 2 0", "apache license"),
+    ("apache", "you may not use this file except in compliance with the license you may obtain a copy of the license at http www apache org licenses license 2 0", "apache org licenses license 2 0"),
+    ("apache", "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied", "distributed under the license is distributed on an as is basis"),
+    ("apache", "terms and conditions for use reproduction and distribution 1 definitions license shall mean the terms and conditions for use reproduction and distribution as defined by sections 1 through 9 of this document", "as defined by sections 1 through 9 of this document"),
     ("gpl", "this work is licensed under the gnu general public license version 3", "general public license"),
     ("gpl", "redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation", "gnu general public license as published by"),
+    ("gpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license", "you can redistribute it and or modify it under the terms of the gnu general public license"),
+    ("gpl", "you should have received a copy of the gnu general public license along with this program", "received a copy of the gnu general public license"),
     ("lgpl", "under the terms of the gnu lesser general public license", "lesser general public license"),
+    ("lgpl", "you should have received a copy of the gnu lesser general public license along with this library", "received a copy of the gnu lesser general public license"),
+    ("lgpl", "under the terms of the gnu library general public license as published by the free software foundation", "gnu library general public license"),
     ("agpl", "under the terms of the gnu affero general public license", "affero general public license"),
+    ("gfdl", "permission is granted to copy distribute and or modify this document under the terms of the gnu free documentation license", "gnu free documentation license"),
     ("bsd", "redistribution and use in source and binary forms with or without modification are permitted", "redistribution and use in source and binary forms"),
+    ("bsd", "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer", "redistributions of source code must retain the above copyright notice"),
+    ("bsd", "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution", "redistributions in binary form must reproduce the above copyright notice"),
+    ("bsd-3", "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission", "nor the names of its contributors may be used to endorse or promote products"),
+    ("bsd-4", "all advertising materials mentioning features or use of this software must display the following acknowledgement", "all advertising materials mentioning features or use of this software"),
     ("mpl", "this source code form is subject to the terms of the mozilla public license v 2 0", "mozilla public license"),
+    ("mpl", "if a copy of the mpl was not distributed with this file you can obtain one at http mozilla org mpl 2 0", "if a copy of the mpl was not distributed with this file"),
     ("epl", "made available under the terms of the eclipse public license", "eclipse public license"),
+    ("cddl", "the contents of this file are subject to the terms of the common development and distribution license", "common development and distribution license"),
+    ("eupl", "licensed under the eupl the european union public licence", "european union public licence"),
     ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted", "permission to use copy modify and or distribute this software"),
+    ("zlib", "this software is provided as is without any express or implied warranty in no event will the authors be held liable for any damages arising from the use of this software", "in no event will the authors be held liable for any damages arising from the use of this software"),
+    ("zlib", "the origin of this software must not be misrepresented you must not claim that you wrote the original software", "origin of this software must not be misrepresented"),
+    ("boost", "distributed under the boost software license version 1 0", "boost software license"),
+    ("artistic", "you may redistribute it and or modify it under the same terms as the artistic license", "artistic license"),
+    ("postgresql", "permission to use copy modify and distribute this software and its documentation for any purpose without fee and without a written agreement is hereby granted", "without fee and without a written agreement is hereby granted"),
+    ("wtfpl", "do what the fuck you want to public license", "do what the fuck you want to public license"),
+    ("ofl", "this font software is licensed under the sil open font license version 1 1", "sil open font license"),
     ("cc-by-nc", "licensed under cc by nc 4 0", "cc by nc"),
+    ("cc-by-nc", "licensed under a creative commons attribution noncommercial 4 0 international license", "creative commons attribution noncommercial"),
     ("cc-by-sa", "licensed under cc by sa 4 0", "cc by sa"),
+    ("cc-by-sa", "licensed under a creative commons attribution sharealike 4 0 international license", "creative commons attribution sharealike"),
+    ("cc-by-nd", "licensed under a creative commons attribution noderivatives 4 0 international license", "creative commons attribution noderivatives"),
     ("cc-by", "licensed under a creative commons attribution 4 0 international license", "creative commons attribution"),
     ("cc0", "this work is dedicated to the public domain under cc0 1 0 universal", "cc0 1 0 universal"),
     ("unlicense", "this is free and unencumbered software released into the public domain", "free and unencumbered software"),

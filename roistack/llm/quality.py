@@ -6,15 +6,18 @@ either view labels the unlabelled documents that it is surest of for the other
 view's training set; the views' logits are calibrated on labelled documents
 that neither has seen, and combined there.
 
-Models are fitted on the driver on bounded samples of hashed ids (``labelled``
-and ``unlabelled`` rows at most); every document is scored, in one pass without
-a shuffle of text, and only the models' weights go to the tasks.
+Every round scores all unlabelled documents from a table of their features, which
+goes once the tasks have written it to the shared folder; a task keeps the surest rows of
+each batch, which hold the surest of all.  Models are fitted on the driver on bounded
+samples: ``labelled`` documents of least hashed ids, and ``pseudo`` documents a
+round and view.  All documents are scored at last, in one pass without
+a shuffle of text; only the models' weights and the ids of pseudo-labels go to the tasks.
 
 Defined results: null columns count as a value of their own, a null text as
 empty; a label that is null is none, and of several for one id the mean counts;
 with labels of one class only, or none, every document gets their share of good
-ones (0.5 without any) and is kept; repeated rows give repeated rows; an empty
-table gives no rows.
+ones (0.5 without any) and is kept; repeated rows give repeated rows, and of rows that share
+an id the one of least features is learned from; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -29,11 +32,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import NON_SPACE, byte_table, chunks, fold_case, text_bytes, word_hashes, words
+from .common import NON_SPACE, byte_table, chunks, fold_case, materialize, text_bytes, word_hashes, words
 
 WORD_BUCKETS, SOURCE_BUCKETS, LANG_BUCKETS = 256, 64, 16
 #: Groups of bytes whose share of a text tells its shape.
 SHAPES = [byte_table((0x41, 0x5A)), byte_table((0x61, 0x7A)), byte_table((0x30, 0x39)), byte_table((0x0A, 0x0A)), byte_table((0x80, 0xFF))] + [byte_table((ord(c), ord(c))) for c in ".,;:!?|#$%&*<>/=\"'-_"]
+#: Features of the two views.
+TEXT_WIDTH, PAGE_WIDTH = len(SHAPES) + 6 + WORD_BUCKETS, LANG_BUCKETS + SOURCE_BUCKETS + 18
 TEXT_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
@@ -45,7 +50,7 @@ def _per_row(values: np.ndarray, first: np.ndarray) -> np.ndarray:
 def text_features(column: pa.Array) -> np.ndarray:
     """The text view of each row, whole."""
     data, offsets = text_bytes(column)
-    return np.concatenate([_text_features(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]) for i, j in chunks(offsets)] or [np.zeros((0, len(SHAPES) + 6 + WORD_BUCKETS), np.float32)])
+    return np.concatenate([_text_features(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]) for i, j in chunks(offsets)] or [np.zeros((0, TEXT_WIDTH), np.float32)])
 
 
 def _text_features(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -80,7 +85,7 @@ def _bucket(column: pa.Array, buckets: int) -> np.ndarray:
 def page_features(lang: pa.Array, source: pa.Array, n_chars: pa.Array) -> np.ndarray:
     """The page-metadata view of each row."""
     n = len(lang)
-    out = np.zeros((n, LANG_BUCKETS + SOURCE_BUCKETS + 16 + 2), np.float32)
+    out = np.zeros((n, PAGE_WIDTH), np.float32)
     out[np.arange(n), _bucket(lang, LANG_BUCKETS)] = 1
     out[np.arange(n), LANG_BUCKETS + _bucket(source, SOURCE_BUCKETS)] = 1
     size = np.log1p(np.maximum(n_chars.cast(pa.float64()).fill_null(-1.0).to_numpy(zero_copy_only=False), 0))
@@ -133,65 +138,106 @@ class QualityModel:
         return (_sigmoid(_logit(np.stack(own, axis=1), self.combine)), *map(_sigmoid, own))
 
 
-def co_train(text: np.ndarray, page: np.ndarray, label: np.ndarray, rounds: int, confident: float, share: float, keep_good: float) -> QualityModel:
-    """``label``: 0 or 1, negative where unlabelled. Every fourth labelled row calibrates, the others train."""
-    labelled = np.flatnonzero(label >= 0)
-    prior = float(label[labelled].mean()) if len(labelled) else 0.5
-    held, train = labelled[::4], np.setdiff1d(labelled, labelled[::4])
-    if any(len(set(label[k].tolist())) < 2 for k in (held, train)):
-        return QualityModel(prior)
-    views, free = (text, page), np.flatnonzero(label < 0)
-    sets = [(train, label[train].astype(float)) for _ in views]
-    taken: list[set[int]] = [set(), set()]
-    for k in range(rounds + 1):
-        weights = [fit_logistic(v[rows], y) for v, (rows, y) in zip(views, sets, strict=True)]
-        if k == rounds or not len(free):
-            break
-        for teacher, pupil in ((0, 1), (1, 0)):
-            p = _sigmoid(_logit(views[teacher][free], weights[teacher]))
-            most = max(1, int(share * len(free)))
-            sure = np.concatenate([[i for i in np.argsort(-p)[: int(np.ceil(most * prior))] if p[i] >= confident], [i for i in np.argsort(p)[: int(np.ceil(most * (1 - prior)))] if p[i] <= 1 - confident]]).astype(int)
-            fresh = np.array([i for i in sure if free[i] not in taken[pupil]], int)
-            taken[pupil].update(free[fresh].tolist())
-            rows, y = sets[pupil]
-            sets[pupil] = np.concatenate([rows, free[fresh]]), np.concatenate([y, (p[fresh] > 0.5).astype(float)])
-    y = label[held].astype(float)
-    raw = [_logit(v[held], w) for v, w in zip(views, weights, strict=True)]
+def calibrated(views: list[np.ndarray], weights: list[np.ndarray], y: np.ndarray, prior: float, keep_good: float) -> QualityModel:
+    """The views' models, calibrated and combined on labelled rows that neither has seen."""
+    raw = [_logit(v, w) for v, w in zip(views, weights, strict=True)]
     platt = tuple(fit_logistic(r[:, None], y, decay=1e-4) for r in raw)
-    calibrated = np.stack([_logit(r[:, None], c) for r, c in zip(raw, platt, strict=True)], axis=1)
-    model = QualityModel(prior, 0.5, weights[0], weights[1], platt, fit_logistic(calibrated, y, decay=1e-4))
-    score = model.scores(text[held], page[held])[0]
+    both = np.stack([_logit(r[:, None], c) for r, c in zip(raw, platt, strict=True)], axis=1)
+    model = QualityModel(prior, 0.5, *weights, platt, fit_logistic(both, y, decay=1e-4))
+    score = model.scores(*views)[0]
     model.threshold = float(min(0.5, np.quantile(score[y == 1], 1 - keep_good)))
     return model
 
 
-def fit_quality(documents: DataFrame, labels: DataFrame, labelled: int = 8000, unlabelled: int = 8000, rounds: int = 5, confident: float = 0.95, share: float = 0.05, keep_good: float = 0.998) -> QualityModel:
-    """Fit on at most ``labelled`` and ``unlabelled`` documents, those of least hashed ids.
+def _ids(documents: DataFrame) -> DataFrame:
+    return _columns(documents).where("doc_id is not null")
 
-    ``confident``: probability from which a pseudo-label is given, for at most ``share`` of the unlabelled rows a round and view.
-    ``keep_good``: share of good calibration rows that the threshold keeps at least.
-    """
-    marks = labels.where("doc_id is not null and quality is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.avg("quality").alias("quality"))
-    marks = marks.select("doc_id", (F.col("quality") > 0.5).cast("int").alias("label"))
-    ids = documents.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"))
-    some = marks.orderBy(F.xxhash64("doc_id"), "doc_id").limit(labelled)
-    more = ids.orderBy(F.xxhash64(F.lit(1), "doc_id"), "doc_id").limit(unlabelled).join(F.broadcast(some), "doc_id", "left_anti").withColumn("label", F.lit(-1))
-    wanted = some.unionByName(more).dropDuplicates(["doc_id"])
-    sample = _columns(documents).join(F.broadcast(wanted), "doc_id")
 
-    def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _features(documents: DataFrame) -> DataFrame:
+    """doc_id and both views' features, as bytes, of each row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(0, batch.num_rows, 500):
                 part = batch.slice(i, 500)
-                x, z = _views(part)
-                yield pa.RecordBatch.from_pydict({"doc_id": part.column(0), "label": part.column(5), "text": pa.array(list(x), pa.list_(pa.float32())), "page": pa.array(list(z), pa.list_(pa.float32()))})
+                both = [pa.array([r.tobytes() for r in v], pa.binary()) for v in _views(part)]
+                yield pa.RecordBatch.from_pydict({"doc_id": part.column(0), "text": both[0], "page": both[1]})
+
+    return _ids(documents).mapInArrow(run, "doc_id long, text binary, page binary")
+
+
+def _matrix(column: pa.Array | pa.ChunkedArray, width: int) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.float32).reshape(len(column), width)
+
+
+def _of_ids(features: DataFrame, ids: DataFrame) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The bounded ``ids`` that have features, ascending, and the features, one row for each."""
+    rows = features.join(F.broadcast(ids), "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct("text", "page")).alias("own"))
+    rows = rows.select("doc_id", "own.text", "own.page").toArrow().sort_by("doc_id")
+    return rows.column("doc_id").to_numpy(), [_matrix(rows.column(c), w) for c, w in (("text", TEXT_WIDTH), ("page", PAGE_WIDTH))]
 
-    rows = sample.mapInArrow(features, "doc_id long, label int, text array<float>, page array<float>").toArrow().combine_chunks().sort_by("doc_id")
-    if not rows.num_rows:
+
+def _surest(features: DataFrame, weights: list[np.ndarray], taken: list[np.ndarray], most: dict[int, int], confident: float) -> DataFrame:
+    """doc_id, pupil, label and level (hundredths of confidence) of rows that a view is sure of: of each batch, all that can be among the ``most`` surest."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column(0).to_numpy()
+            for teacher, width in ((0, TEXT_WIDTH), (1, PAGE_WIDTH)):
+                p = _sigmoid(_logit(_matrix(batch.column(1 + teacher), width), weights[teacher]))
+                fresh = ~np.isin(ids, taken[1 - teacher])
+                for label, sure in ((1, p), (0, 1 - p)):
+                    at = np.flatnonzero(fresh & (sure >= confident))
+                    level = np.floor(100 * sure[at]).astype(np.int32)
+                    # all rows of the last level that is needed: ties go by hash later
+                    if len(at) > most[label]:
+                        at, level = (x[level >= np.partition(level, -most[label])[-most[label]]] for x in (at, level))
+                    n = len(at)
+                    yield pa.RecordBatch.from_pydict({"doc_id": ids[at], "pupil": np.full(n, 1 - teacher, np.int32), "label": np.full(n, label, np.int32), "level": level})
+
+    return features.mapInArrow(run, "doc_id long, pupil int, label int, level int")
+
+
+def fit_quality(documents: DataFrame, labels: DataFrame, labelled: int = 8000, pseudo: int = 400, rounds: int = 5, confident: float = 0.95, keep_good: float = 0.998) -> QualityModel:
+    """Fit on at most ``labelled`` documents, those of least hashed ids, and on pseudo-labels given among all others.
+
+    Every fourth labelled row in that order calibrates, the others train.  ``confident``: probability from which a pseudo-label is given,
+    to about ``pseudo`` documents a round and view, the surest by hundredths, then those of least hashed ids.
+    ``keep_good``: share of good calibration rows that the threshold keeps at least.
+    """
+    marks = labels.where("doc_id is not null and quality is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.avg("quality").alias("quality"))
+    marks = marks.select("doc_id", (F.col("quality") > 0.5).cast("int").alias("label"))
+    some = marks.orderBy(F.xxhash64("doc_id"), "doc_id").limit(labelled).toPandas()
+    spark = documents.sparkSession
+    known = spark.createDataFrame(some[["doc_id"]], "doc_id long")
+    ids, views = _of_ids(_features(_ids(documents).join(F.broadcast(known), "doc_id", "left_semi")), known)
+    if not len(ids):
         return QualityModel(0.5)
-    label = rows.column("label").to_numpy()
-    text, page = (rows.column(c).combine_chunks().flatten().to_numpy().reshape(len(label), -1) for c in ("text", "page"))
-    return co_train(text, page, label, rounds, confident, share, keep_good)
+    own = some.assign(place=np.arange(len(some))).set_index("doc_id").loc[ids]
+    label, held = own["label"].to_numpy(), own["place"].to_numpy() % 4 == 0
+    prior = float(label.mean())
+    if any(len(set(label[k].tolist())) < 2 for k in (held, ~held)):
+        return QualityModel(prior)
+
+    features = materialize(_features(documents), "quality-features", compression="zstd")
+    most = {1: int(np.ceil(pseudo * prior)), 0: int(np.ceil(pseudo * (1 - prior)))}
+    sets = [(v[~held], label[~held].astype(float)) for v in views]
+    taken = [some["doc_id"].to_numpy()] * 2
+    for k in range(rounds + 1):
+        weights = [fit_logistic(x, y) for x, y in sets]
+        if k == rounds:
+            break
+        sure = materialize(_surest(features, weights, taken, most, confident), "quality-sure")
+        groups = [sure.where((F.col("pupil") == pupil) & (F.col("label") == y)).distinct().orderBy(F.desc("level"), F.xxhash64("doc_id"), "doc_id").limit(n) for pupil in (0, 1) for y, n in most.items()]
+        found = groups[0].union(groups[1]).union(groups[2]).union(groups[3]).toPandas()
+        if not len(found):
+            break
+        fresh, x = _of_ids(features, spark.createDataFrame(found[["doc_id"]], "doc_id long").distinct())
+        for pupil in (0, 1):
+            own = found[found["pupil"] == pupil].drop_duplicates("doc_id")
+            sets[pupil] = np.concatenate([sets[pupil][0], x[pupil][np.searchsorted(fresh, own["doc_id"])]]), np.concatenate([sets[pupil][1], own["label"].astype(float)])
+            taken[pupil] = np.concatenate([taken[pupil], own["doc_id"]])
+    return calibrated([v[held] for v in views], weights, label[held].astype(float), prior, keep_good)
 
 
 def _columns(documents: DataFrame) -> DataFrame:

@@ -32,12 +32,26 @@ KINDS = [k for k, *_ in PATTERNS] + ["novel"]
 
 #: Words that make a context sensitive.
 SENSITIVE = re.compile(r"passw|passwd|pwd|secret|token|api[_-]?key|private[_-]?key|credential|auth|bearer|akia|access[_-]?key", re.IGNORECASE | re.ASCII)
-#: Identifiers and words that surround secrets in code and configuration.
+#: Identifiers, settings and words that surround secrets in code and configuration; the likelier ones stand last, nearest to the text.
 IDENTIFIERS = (
-    "password passwd secret token api_key apikey access_key private_key credential authorization bearer basic login user username "
-    "client_id client_secret connection string database host port localhost http https www com org net config settings environment export "
-    "const let var public private static final class function return import from def self this null true false none default example sample "
-    "changeme placeholder your_password your_token your_api_key test dummy value name key the and for with that this license version under "
+    "abstract async await boolean break byte case catch char continue default double else elif enum except extends final finally float foreach "
+    "global goto implements import include instanceof int interface internal lambda long namespace native nonlocal object operator override package "
+    "pass print private protected public raise require return short sizeof static string struct super switch synchronized template throw throws try "
+    "typedef typename union unsigned using virtual void volatile while yield const let var function class module exports module.exports __init__ __main__ "
+    "abcdefghijklmnopqrstuvwxyz ABCDEFGHIJKLMNOPQRSTUVWXYZ 0123456789 0123456789abcdef 1234567890 00000000 11111111 ffffffff deadbeef xxxxxxxx XXXXXXXX "
+    "2023-01-01T00:00:00Z application/json application/x-www-form-urlencoded text/html charset=utf-8 Content-Type User-Agent Accept-Encoding gzip deflate "
+    "http:// https:// www. .com .org .net .io /index.html /api/v1/ /v2/ /usr/local/bin /etc/ /var/log/ /home/ node_modules package.json requirements.txt "
+    "Dockerfile docker-compose.yml kubernetes deployment namespace metadata labels selector replicas container image latest service ingress configmap "
+    "region us-east-1 us-west-2 eu-west-1 bucket queue topic cluster instance endpoint account tenant subscription project resource group "
+    "mysql postgres postgresql mongodb redis sqlite jdbc odbc driver schema table column index select from where insert into values update delete "
+    "BEGIN RSA PRIVATE KEY END RSA PRIVATE KEY BEGIN CERTIFICATE END CERTIFICATE ssh-rsa AAAAB3NzaC1yc2E sha256 sha512 md5 hmac base64 utf-8 encode decode "
+    "getenv os.environ process.env System.getenv environment setting settings config configuration properties options parameters arguments kwargs "
+    "user username user_name userId email mail login logout signin signup session cookie csrf nonce state redirect_uri callback scope grant_type "
+    "client_id client_secret clientId clientSecret refresh_token access_token id_token oauth oauth2 jwt saml openid consumer_key consumer_secret "
+    "database host hostname port localhost 127.0.0.1 0.0.0.0 connection connection_string dsn url uri path proxy timeout retry debug verbose "
+    "changeme change_me placeholder your_password your_token your_api_key your-secret-key-here example sample dummy fake test testing none null true false "
+    "authorization Authorization: Bearer Authorization: Basic x-api-key X-Auth-Token credential credentials private_key public_key secret_key access_key "
+    "accessKeyId secretAccessKey api_key apikey apiKey API_KEY api_token auth_token secret token passwd pwd password = value name key: "
 )
 #: Candidates: runs of a secret's alphabet that hold a letter and a digit.
 CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*[0-9])(?=[0-9+/_=-]*[A-Za-z])[A-Za-z0-9+/_=-]{12,}", re.ASCII)

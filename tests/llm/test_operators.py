@@ -383,6 +383,7 @@ def test_decontaminate(spark, documents, texts, odd):
     found = Counter((r.doc_id, r.item_id) for r in find_leaks(more, own).collect())
     assert found == {(6, 1): 2, (7, 1): 1, (None, 1): 1, (50, 4): 2, (5, 4): 2, (51, 5): 1}
     assert find_leaks(more, own, slice_items=1).count() == sum(found.values())
+    assert {(r.item_id, r.n_words) for r in find_leaks(more, own).collect()} == {(1, 6), (4, 1), (5, 700)}
     assert find_leaks(empty(odd), own).count() == 0 and find_leaks(odd, own.limit(0)).count() == 0
 
 
@@ -404,6 +405,27 @@ def test_quality(spark, documents, odd):
     assert {r.score for r in score_quality(odd, fit_quality(empty(larger), empty(labels))).collect()} == {0.5}
 
 
+def test_quality_learns_from_all_rows(spark):
+    """Pseudo-labels come from all documents, the surest by hundredths, however many there are and whatever ids repeat."""
+    from roistack.llm import quality
+
+    good, bad = "a plain sentence about the weather and the sea number", "$$ BUY NOW !!! $$ >>> 99% FREE"
+    rows = [(i, f"{good} {i}" if i % 2 else f"{bad} {i}", "en", "web" if i % 2 else "spam", 40) for i in range(400)]
+    docs = spark.createDataFrame(rows + rows[200:210] * 3, "doc_id long, text string, lang string, source string, n_chars long")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)] + [(0, None), (None, 1)], "doc_id long, quality int")
+    features = quality._features(docs)
+    weights = [np.zeros(w + 1) for w in (quality.TEXT_WIDTH, quality.PAGE_WIDTH)]
+    weights[0][-1], weights[1][-1] = 4.0, -4.0
+    sure = quality._surest(features, weights, [np.arange(60)] * 2, {1: 5, 0: 5}, 0.95).collect()
+    # all are as sure as one another, so no batch may leave one out
+    assert {r.doc_id for r in sure if r.pupil == 1 and r.label == 1} == set(range(60, 400)) == {r.doc_id for r in sure if r.pupil == 0 and r.label == 0}
+    assert {(r.pupil, r.label, r.level) for r in sure} == {(1, 1, 98), (0, 0, 98)}
+    model = quality.fit_quality(docs, labels, pseudo=20)
+    assert all(r.keep == (r.doc_id % 2 == 1) for r in quality.score_quality(docs, model).collect())
+    few = quality.fit_quality(docs, labels, labelled=30, pseudo=2, rounds=1)
+    assert all(r.keep == (r.doc_id % 2 == 1) for r in quality.score_quality(docs, few).collect())
+
+
 def edit_distance(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):

@@ -75,6 +75,12 @@ def materialize(df: DataFrame, name: str, compression: str = "snappy") -> DataFr
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(table: DataFrame) -> None:
+    """Remove the files of a table that :func:`materialize` wrote, once nothing reads it any more."""
+    for folder in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
+        _drop(table.sparkSession, folder)
+
+
 def lower_ascii(column: Column) -> Column:
     """Lower-case A-Z only."""
     return F.translate(column, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

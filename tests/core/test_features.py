@@ -2,13 +2,16 @@
 
 import math
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
+from roistack.operators import components, overlap
 from roistack.operators.components import connected_components
-from roistack.operators.features import component_table, define_feature_group, name_components
+from roistack.operators.features import as_polygons, component_table, define_feature_group, name_components
 from roistack.operators.match import find_overlap_features, match_statistics
+from roistack.plans.scratch import materialize
 
 from .test_geometry import SQUARE, moved, rois
 
@@ -88,3 +91,44 @@ def test_match(spark):
     assert stats == {("feature_1", "feature_a"): (2, 1.0), ("feature_1", "invalid_feature_b"): (0, 0.0), ("feature_2", "feature_a"): (0, 0.0), ("feature_2", "invalid_feature_b"): (0, 0.0)}
     assert find_overlap_features(inner, outer, min_ratio_roi_overlap=0).count() == 4
     assert find_overlap_features(inner, outer, "^feature_2").count() == 0
+
+
+def _row_of_squares(spark, n: int, slices: int):
+    vertices = [("p", f"r{i}_{z}", z, (i * slices + z) * 4 + k, 30.0 * i + x, float(y), True) for i in range(n) for z in range(slices) for k, (x, y) in enumerate(((0, 0), (10, 0), (10, 10), (0, 10)))]
+    return as_polygons(spark.createDataFrame(vertices, "name string, roi string, z int, ord long, x double, y double, include boolean"))
+
+
+def test_a_set_that_meets_itself_is_shuffled_once(spark):
+    polygons = materialize(_row_of_squares(spark, 30, 8), "squares")
+    assert overlap._placed(polygons, overlap.cell_size(polygons), [], 3, 16).count() < 1.5 * 30 * 8
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = overlap.find_z_intersect(polygons, 3)
+        assert "ReusedExchange" in found._jdf.queryExecution().executedPlan().toString()
+        assert found.count() == 30 * sum(8 - d for d in (1, 2, 3))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_large_positions_settle_where_their_edges_lie(spark, monkeypatch):
+    def none(*_):
+        raise AssertionError("joined")
+
+    monkeypatch.setattr(components, "stars", none)
+    edges = spark.createDataFrame([("p", 100 * i + k + 1, 100 * i + k) for i in range(30) for k in range(9)], "name string, a long, b long").coalesce(1)
+    got = {r.node: r.component for r in connected_components(edges, local=100).collect()}
+    assert got == {100 * i + k: 100 * i for i in range(30) for k in range(10)}
+
+
+def test_scratch_tables_leave_no_shuffle_files(spark):
+    files = lambda: {f for f in spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString(" ").split() if "shuffle_" in f}
+    before = files()
+    materialize(spark.range(1000).groupBy((F.col("id") % 100).alias("k")).count(), "groups")
+    for _ in range(100):
+        # Spark removes them a moment later
+        if not files() - before:
+            break
+        time.sleep(0.1)
+    assert not files() - before

@@ -575,3 +575,13 @@ def test_decontaminate_weights_cover_all_slices(spark):
     docs = frame(spark, [shared + " " + " ".join(f"i3w{k}" for k in range(27)) + " x y z"])
     whole, sliced = ([(r.item_id, round(r.similarity, 9)) for r in find_leaks(docs, items, slice_items=n).collect()] for n in (2000, 1))
     assert whole and whole == sliced
+
+
+def test_line_dedup_compares_all_pairs_of_a_crowd(spark):
+    from roistack.llm import line_dedup
+
+    # 40 lines of one key, their fingerprints within 16 bits and without a common block of eight
+    flips = [sum(1 << (8 * k + (i // 8 ** (k % 2) + k // 2 * i) % 8) for k in range(8)) for i in range(40)]
+    signed = [f - (1 << 64) if f >> 63 else f for f in flips]
+    several = spark.createDataFrame([(i, line_dedup.FIRST_RUN + 5, f, 80, i, 40) for i, f in enumerate(signed)], "node long, key long, fingerprint long, length int, component long, in_list long")
+    assert line_dedup._between(several, 0.8).count() == 40 * 39 // 2

@@ -32,7 +32,13 @@ def _sum(values: Column) -> Column:
 
 def signed_area(ring: Column) -> Column:
     """Shoelace area, positive for counter-clockwise rings; 0 for fewer than three points."""
-    return F.coalesce(_sum(F.transform(edges(ring), lambda e: e["x1"] * e["y2"] - e["x2"] * e["y1"])) / 2, F.lit(0.0))
+
+    def added(total: Column, i: Column) -> Column:
+        p, q = F.get(ring, i), _next(ring, i)
+        return total + (p["x"] * q["y"] - q["x"] * p["y"])
+
+    doubled = F.when(F.size(ring) > 0, F.aggregate(F.sequence(F.lit(0), F.size(ring) - 1), F.lit(0.0), added))
+    return F.coalesce(doubled / 2, F.lit(0.0))
 
 
 def area(ring: Column) -> Column:
@@ -79,7 +85,11 @@ def all_rings(polygons: DataFrame) -> Column:
 
 def area_of(polygons: DataFrame) -> Column:
     """The area of a polygon without its holes."""
-    whole = area(F.col("ring"))
+    return without_holes(polygons, area(F.col("ring")))
+
+
+def without_holes(polygons: DataFrame, whole: Column) -> Column:
+    """``whole``, the area of a polygon's ring, without that of its holes, if the table has any."""
     return whole - _sum(F.transform(F.coalesce("holes", F.array().cast(f"array<{RING}>")), area)) if "holes" in polygons.columns else whole
 
 
@@ -184,7 +194,7 @@ def ellipse_ring(ellipse: Column, n: int) -> Column:
 
 def bounds(ring: Column) -> dict[str, Column]:
     """xmin, ymin, xmax and ymax."""
-    xs, ys = F.transform(ring, lambda p: p["x"]), F.transform(ring, lambda p: p["y"])
+    xs, ys = ring.getField("x"), ring.getField("y")
     return {"xmin": F.array_min(xs), "ymin": F.array_min(ys), "xmax": F.array_max(xs), "ymax": F.array_max(ys)}
 
 

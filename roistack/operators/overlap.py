@@ -63,8 +63,8 @@ def roi_polygons(vertices: DataFrame, wanted: DataFrame, min_points: int = 1) ->
 
 def measured(polygons: DataFrame) -> DataFrame:
     """Polygons with area (without that of holes), orientation and bounding box."""
-    ring = F.col("ring")
-    return polygons.withColumns({"area": G.area_of(polygons), "ori": F.signum(G.signed_area(ring)), **G.bounds(ring)})
+    signed = polygons.withColumn("_signed", G.signed_area(F.col("ring")))
+    return signed.withColumns({"area": G.without_holes(polygons, F.abs("_signed")), "ori": F.signum("_signed"), **G.bounds(F.col("ring"))}).drop("_signed")
 
 
 def _placed(df: DataFrame, cell: float, extra: list[str], reach: int | None, slices: int | None) -> DataFrame:

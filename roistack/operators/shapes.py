@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geometry as G
+from ..plans.scratch import materialize
 
 
 def shape_table(polygons: DataFrame) -> DataFrame:
@@ -29,7 +30,10 @@ def add_ellipses(polygons: DataFrame, n: int = 64, suffix: str = "_ellipse") ->
     A ROI without area has none.
     """
     base = polygons.drop("area", "ori", "xmin", "ymin", "xmax", "ymax", "holes")
+    # looked at three times: as they are, for the last one, and for their ellipses
+    fitted = materialize(base.withColumn("_fit", G.moment_ellipse(F.col("ring"))), "fitted")
+    base = fitted.drop("_fit")
     last = base.groupBy("name").agg((F.max("ord") + 1).alias("_after"))
-    fitted = base.withColumn("_fit", G.moment_ellipse(F.col("ring"))).where("_fit IS NOT NULL").join(last, "name")
+    fitted = fitted.where("_fit IS NOT NULL").join(last, "name")
     fitted = fitted.withColumns({"ring": G.ellipse_ring(F.col("_fit"), n).cast(G.RING), "roi": F.concat("roi", F.lit(suffix)), "ord": F.col("ord") + F.col("_after")})
     return base.unionByName(fitted.select(*base.columns))

@@ -99,7 +99,9 @@ def write_polygons(df: DataFrame, path: str, mode: str = "errorifexists", files:
     shuffle partition unless given; a position of any size is spread over several.
     """
     files = files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = _on_curve(df).repartitionByRange(files, "name", "curve", "z").sortWithinPartitions("name", "curve", "z")
+    # ranges are drawn from a first look at all places on the curve, which itself takes one for the extent
+    placed = materialize(_on_curve(materialize(df, "polygons")), "placed")
+    dealt = placed.repartitionByRange(files, "name", "curve", "z").sortWithinPartitions("name", "curve", "z")
     dealt.drop("curve").write.mode(mode).partitionBy("name").parquet(path)
 
 

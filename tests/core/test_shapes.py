@@ -13,7 +13,7 @@ from roistack.functions import geometry as G
 from roistack.functions.edge_pairs import Edges, compare
 from roistack.operators import raster as R
 from roistack.operators.features import as_polygons, define_feature_group
-from roistack.operators.overlap import find_z_intersect
+from roistack.operators.overlap import find_z_intersect, measured
 from roistack.operators.shapes import add_ellipses, shape_table
 
 from .test_geometry import C_SHAPE, SQUARE, exact_overlap, moved, rois
@@ -198,3 +198,24 @@ def test_rings_of_regions(spark):
     # background that touches at a corner only is one hole, pixels that do are two regions
     assert sorted((r.area, [len(h) for h in r.holes]) for r in regions) == [(1, []), (3, []), (14, [8]), (16, [12])]
     assert R.outlines(R.label_regions(grid(spark, picture))).count() == 4 + 8 + 16 + 20
+
+
+def test_polygons_are_worked_out_once(spark, tmp_path):
+    """Ellipses and the curve look at their polygons several times, and read a table then."""
+    from roistack.sources.tables import read_polygons, write_polygons
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    square = [(0.0, 0.0), (2.0, 0.0), (2.0, 2.0), (0.0, 2.0)]
+    rings = spark.createDataFrame([("p", f"r{i}", 1, i, [(x + i, y) for x, y in square]) for i in range(20)], f"name string, roi string, z int, ord long, ring {G.RING}")
+    polygons = rings.mapInArrow(counted, rings.schema)
+    assert add_ellipses(polygons, 8).count() == 40
+    assert seen.value == 20
+    write_polygons(measured(polygons), str(tmp_path / "polygons"))
+    assert seen.value == 40
+    assert read_polygons(spark, str(tmp_path / "polygons")).count() == 20

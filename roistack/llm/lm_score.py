@@ -1,9 +1,11 @@
 """LM scoring: a probabilistic suffix tree over the tokens of texts.
 
-A text's tokens are its words and one end.  Symbols of the tree are the corpus'
-most frequent tokens, the end, a start mark (only in contexts) and one symbol
-for all other tokens.  Contexts are the symbols before a place, up to ``depth``
-of them; beyond one symbol only frequent ones and the start make a context.
+A text's tokens are its words and one end.  Symbols of the tree are all tokens
+that occur often enough to stand in a context that is tested, the end, a start
+mark (only in contexts) and one symbol for all other tokens.  Contexts are the
+symbols before a place, up to ``depth`` of them; beyond one symbol only tokens
+with a symbol of their own and the start make a context: any other context is
+too rare to be tested, so none is left out.
 Every context whose next-symbol distribution diverges from its parent's (the
 context without its oldest symbol) by a likelihood-ratio test is retained,
 together with all its suffixes.  A place is scored by its longest retained
@@ -13,10 +15,11 @@ away is the probability of an unknown token: probabilities sum to 1 over the
 training tokens and the unknown one.  A token that is no symbol of its own gets
 its share of the other tokens' probability.
 
-All counts cover all training texts.  The alphabet grows with the square root
-of the training tokens and the tree with the corpus: it is a written table that
-never leaves Spark.  Texts are cut into blocks of documents.  Shuffled are the
-hashes of a block's distinct tokens, counts of contexts, the distinct retained
+All counts cover all training texts.  Alphabet and tree grow with the corpus;
+the tree is a written table that never leaves Spark.  Texts are cut into blocks
+of documents, and written once as symbols.  A context is counted only where the
+shorter ones within it are frequent, since it is no more frequent than they are.
+Shuffled are the hashes of a block's distinct tokens, counts of contexts, the distinct retained
 contexts and next symbols of a block to be looked up in the tree, and each
 block's text to meet what was found for it.  Sent to the tasks are the alphabet
 and, of fixed sizes and only to save look-ups, a bitmap of the retained contexts
@@ -92,31 +95,62 @@ class Symbols:
         at = np.minimum(np.searchsorted(self.table, h), len(self.table) - 1)
         return np.where(self.table[at] == h, self.order[at] + FIRST_TOKEN, OTHER).astype(np.uint64)
 
-    def places(self, h: np.ndarray, first: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray, Iterator[tuple[np.ndarray, np.ndarray]]]:
-        """For each token and each row's end: its symbol, its row, and for k = 1 to ``depth`` places with their contexts of k symbols."""
+    def flow(self, h: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """The symbols of all rows: each row's after a start and before an end."""
         n = len(first) - 1
-        row = np.repeat(np.arange(n), np.diff(first))
-        # each row's symbols stand after a start and before an end
         flow = np.full(len(h) + 2 * n, START, np.uint64)
-        at = np.arange(len(h)) + 2 * row + 1
-        flow[at] = self.of(h)
+        flow[np.arange(len(h)) + 2 * np.repeat(np.arange(n), np.diff(first)) + 1] = self.of(h)
         flow[first[1:] + 2 * np.arange(n) + 1] = END
-        here = np.flatnonzero(flow != START)
+        return flow
+
+    def places(self, h: np.ndarray, first: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray, Iterator[tuple[np.ndarray, np.ndarray]]]:
+        """:func:`places_of` the rows' symbols, with each place's row."""
+        symbol, levels = places_of(self.flow(h, first), depth)
+        return symbol, np.repeat(np.arange(len(first) - 1), np.diff(first) + 1), levels
+
+
+def places_of(flow: np.ndarray, depth: int) -> tuple[np.ndarray, Iterator[tuple[np.ndarray, np.ndarray]]]:
+    """For each token and each row's end: its symbol, and for k = 1 to ``depth`` places with their contexts of k symbols."""
+    here = np.flatnonzero(flow != START)
+
+    def levels() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        live, context, index = here, np.zeros(len(here), np.uint64), np.arange(len(here))
+        for k in range(1, depth + 1):
+            back = flow[live - k]
+            fine = back != END
+            if k > 1:
+                fine &= back != OTHER
+                fine &= context >> np.uint64(BITS * (k - 2)) != START
+                if k == 2:
+                    fine &= context != OTHER
+            live, context, index = live[fine], context[fine] | (back[fine] << np.uint64(BITS * (k - 1))), index[fine]
+            yield index, context
+
+    return flow[here], levels()
+
+
+def _flows(documents: DataFrame, symbols: Symbols) -> DataFrame:
+    """block, held_out and the symbols (32-bit integers) of texts, a row for each piece of a block."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = batch.column(0).to_numpy() * 2 + batch.column(1).to_numpy(zero_copy_only=False)
+            data, offsets = text_bytes(batch.column(2))
+            for i, j in chunks(offsets, 2 << 20):
+                h, first = _tokens(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
+                flow = symbols.flow(h, first).astype(np.uint32)
+                own = np.repeat(keys[i:j], np.diff(first) + 2)
+                heads = np.unique(keys[i:j])
+                pieces = [flow[own == k].tobytes() for k in heads]
+                yield pa.RecordBatch.from_pydict({"block": heads >> 1, "held_out": (heads & 1) > 0, "flow": pa.array(pieces, pa.binary())})
+
+    return documents.select("block", "held_out", "text").mapInArrow(run, "block long, held_out boolean, flow binary")
 
-        def levels() -> Iterator[tuple[np.ndarray, np.ndarray]]:
-            live, context, index = here, np.zeros(len(here), np.uint64), np.arange(len(here))
-            for k in range(1, depth + 1):
-                back = flow[live - k]
-                fine = back != END
-                if k > 1:
-                    fine &= back != OTHER
-                    fine &= context >> np.uint64(BITS * (k - 2)) != START
-                    if k == 2:
-                        fine &= context != OTHER
-                live, context, index = live[fine], context[fine] | (back[fine] << np.uint64(BITS * (k - 1))), index[fine]
-                yield index, context
 
-        return flow[here], np.repeat(np.arange(n), np.diff(first) + 1), levels()
+def _pieces(column: pa.Array) -> Iterator[np.ndarray]:
+    """The symbols of each row that :func:`_flows` gave."""
+    for piece in column:
+        yield np.frombuffer(piece.as_buffer(), np.uint32).astype(np.uint64)
 
 
 def _packed(context: np.ndarray, symbol: np.ndarray, bits: int) -> np.ndarray:
@@ -145,12 +179,12 @@ def _summed(context: np.ndarray, symbol: np.ndarray, n: np.ndarray | None, bits:
     return context[order[heads]], symbol[order[heads]], sums
 
 
-def _context_counts(documents: DataFrame, symbols: Symbols, depth: int, among: np.ndarray | None = None, hold: int = 1 << 20) -> DataFrame:
-    """context, symbol and n: how often each symbol follows each context that the bitmap ``among`` has in training texts.
+def _context_counts(flows: DataFrame, bits: int, depth: int, among: np.ndarray | None = None, within: np.ndarray | None = None, hold: int = 1 << 20) -> DataFrame:
+    """context, symbol and n: how often each symbol (of ``bits``) follows each context that the bitmap ``among`` has in training texts.
 
-    Without a bitmap: how often each context stands in them, with symbol 0.
+    Without that bitmap: context and n only, how often each context stands in them.  ``within``: a bitmap of contexts of
+    ``depth`` - 1 symbols; only contexts of ``depth`` symbols are counted, whose newest and oldest ones it has.
     """
-    bits = symbols.bits
 
     def batches_of(context: np.ndarray, symbol: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
         for i in range(0, len(context), 1 << 16):
@@ -160,16 +194,20 @@ def _context_counts(documents: DataFrame, symbols: Symbols, depth: int, among: n
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         for batch in batches:
-            data, offsets = text_bytes(batch.column(0))
-            for i, j in chunks(offsets, 2 << 20):
-                symbol, _, levels = symbols.places(*_tokens(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]), depth)
+            for flow in _pieces(batch.column(0)):
+                symbol, levels = places_of(flow, depth)
                 found = []
-                for index, context in levels:
-                    if among is None:
-                        found.append((context, np.zeros(len(context), np.uint64)))
-                    else:
+                for k, (index, context) in enumerate(levels, 1):
+                    if among is not None:
                         asked = _in_bitmap(among, context)
                         found.append((context[asked], symbol[index[asked]]))
+                        continue
+                    if within is not None:
+                        if k < depth:
+                            continue
+                        context = context[_in_bitmap(within, context & np.uint64((1 << BITS * (depth - 1)) - 1))]
+                        context = context[_in_bitmap(within, context >> np.uint64(BITS))]
+                    found.append((context, np.zeros(len(context), np.uint64)))
                 held.append(_summed(*map(np.concatenate, zip(*found, strict=True)), None, bits))
                 if sum(len(part[0]) for part in held) > hold:
                     held = [_summed(*map(np.concatenate, zip(*held, strict=True)), bits)]
@@ -178,17 +216,20 @@ def _context_counts(documents: DataFrame, symbols: Symbols, depth: int, among: n
         if held:
             yield from batches_of(*_summed(*map(np.concatenate, zip(*held, strict=True)), bits))
 
-    counts = documents.where(~F.col("held_out")).select("text").mapInArrow(run, "context long, symbol int, n long")
-    return counts.groupBy("context", "symbol").agg(F.sum("n").alias("n"))
+    counts = flows.where(~F.col("held_out")).select("flow").mapInArrow(run, "context long, symbol int, n long")
+    return counts.groupBy(*(["context"] if among is None else ["context", "symbol"])).agg(F.sum("n").alias("n"))
 
 
-def frequent_counts(documents: DataFrame, symbols: Symbols, depth: int, min_count: int) -> DataFrame:
+def frequent_counts(flows: DataFrame, bits: int, depth: int, min_count: int) -> DataFrame:
     """:func:`_context_counts` of the contexts that stand in training texts ``min_count`` times or more, and of few others.
 
-    Most contexts are rarer, so they are counted by themselves first, and their next symbols are never shuffled.
+    Most contexts are rarer, so they are counted by themselves first, and their next symbols are never shuffled; those of
+    three symbols only where both contexts of two in them are frequent.
     """
-    own = _context_counts(documents, symbols, depth).where(F.col("n") >= min_count)
-    return _context_counts(documents, symbols, depth, context_filter(own))
+    bitmap = context_filter(_context_counts(flows, bits, min(depth, 2)).where(F.col("n") >= min_count))
+    for k in range(3, depth + 1):
+        bitmap |= context_filter(_context_counts(flows, bits, k, within=bitmap).where(F.col("n") >= min_count))
+    return _context_counts(flows, bits, depth, bitmap)
 
 
 def _suffix(context: Column, k: int) -> Column:
@@ -289,7 +330,10 @@ def context_filter(contexts: DataFrame) -> np.ndarray:
             at = _filter_bits(batch.column(0).to_numpy().view(np.uint64))
             yield pa.RecordBatch.from_pydict({"word": at >> 6, "mask": (np.uint64(1) << (at & 63).astype(np.uint64)).view(np.int64)})
 
-    words_set = contexts.select("context").mapInArrow(run, "word long, mask long").groupBy("word").agg(F.bit_or("mask").alias("mask")).toArrow()
+    # written, so that the shuffles behind it go at once
+    words_set = materialize(contexts.select("context").mapInArrow(run, "word long, mask long").groupBy("word").agg(F.bit_or("mask").alias("mask")), "lm-bits")
+    words_set, written = words_set.toArrow(), words_set
+    discard(written)
     bitmap = np.zeros(1 << (FILTER_BITS - 6), np.uint64)
     bitmap[words_set.column("word").to_numpy()] = words_set.column("mask").to_numpy().view(np.uint64)
     return bitmap
@@ -307,7 +351,7 @@ def tree_head(tree: DataFrame, most: int) -> pa.Table:
     return tree.where(step >= least if least is not None else F.lit(False)).toArrow().select(["context", "symbol", "n", "kinds"])
 
 
-def _wanted(documents: DataFrame, symbols: Symbols, depth: int, bitmap: np.ndarray, head: SuffixTree) -> DataFrame:
+def _wanted(flows: DataFrame, bits: int, depth: int, bitmap: np.ndarray, head: SuffixTree) -> DataFrame:
     """block, context and symbol (0 for the context's own row) that a block's texts ask the tree for beyond its head."""
 
     def rows_of(block: int, context: np.ndarray, follow: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -320,38 +364,33 @@ def _wanted(documents: DataFrame, symbols: Symbols, depth: int, bitmap: np.ndarr
             yield pa.RecordBatch.from_pydict({"block": np.full(len(context[part]), block, np.int64), "context": context[part].view(np.int64), "symbol": follow[part].astype(np.int32)})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # what blocks asked for so far: a block goes out when a chunk holds nothing of it, or when it is large
+        # what a block asked for so far: it goes out when another one comes, or when it is large
         held: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         for batch in batches:
-            blocks = batch.column(0).to_numpy()
-            data, offsets = text_bytes(batch.column(1))
-            for i, j in chunks(offsets, 2 << 20):
-                symbol, row, levels = symbols.places(*_tokens(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]), depth)
-                found = []
+            for b, flow in zip(batch.column(0).to_pylist(), _pieces(batch.column(1)), strict=True):
+                symbol, levels = places_of(flow, depth)
+                found = [held[b]] if b in held else []
                 for at, context in levels:
                     asked = _in_bitmap(bitmap, context)
-                    found.append((blocks[i:j][row[at[asked]]], context[asked], symbol[at[asked]]))
-                block, contexts, follows = map(np.concatenate, zip(*found, strict=True))
-                here = np.unique(blocks[i:j]).tolist()
-                for b in here:
-                    own = contexts[block == b], follows[block == b]
-                    context, follow = map(np.concatenate, zip(held[b], own, strict=True)) if b in held else own
-                    held[b] = _summed(context, follow, None, symbols.bits)[:2]
-                for b in [b for b, (context, _) in held.items() if b not in here or len(context) > 1 << 20]:
-                    yield from rows_of(b, *held.pop(b))
+                    found.append((context[asked], symbol[at[asked]]))
+                held[b] = _summed(*map(np.concatenate, zip(*found, strict=True)), None, bits)[:2]
+                for k in [k for k, (context, _) in held.items() if k != b or len(context) > 1 << 20]:
+                    yield from rows_of(k, *held.pop(k))
         for b, rows in held.items():
             yield from rows_of(b, *rows)
 
-    return documents.select("block", "text").mapInArrow(run, "block long, context long, symbol int")
+    return flows.select("block", "flow").mapInArrow(run, "block long, context long, symbol int")
 
 
 def score_documents(
-    documents: DataFrame, held_out: Column, depth: int = 3, symbols: int = 1000, min_count: int = 100, divergence: float = 2.0, symbol_growth: float = 0.5, block_docs: int = 4096
+    documents: DataFrame, held_out: Column, depth: int = 3, symbols: int | None = None, min_count: int = 100, divergence: float = 2.0, symbol_growth: float = 0.5, block_docs: int = 4096
 ) -> DataFrame:
     """Score every text by a tree that learns from the texts where ``held_out`` is not true.
 
-    ``depth``: symbols of the longest context (at most 3).  ``symbols``: frequent tokens with a symbol of their own, to which come
-    ``symbol_growth`` times the square root of the training tokens (in all less than two million, reached at some 10^13 tokens).
+    ``depth``: symbols of the longest context (at most 3).  ``symbols``: None gives every token of ``min_count`` occurrences a symbol
+    of its own, so that no context that could be tested is left out; a number asks for a smaller tree, of so many of the most
+    frequent tokens and ``symbol_growth`` times the square root of the training tokens more.  More than two million symbols
+    are an error, which a larger ``min_count`` mends.
     ``min_count``: occurrences of a context that is tested.  ``divergence``: log-likelihood gain over the parent, for each next
     symbol, that retains it.  ``block_docs``: ids in a block of documents.
     """
@@ -366,20 +405,37 @@ def score_documents(
     n_words, kinds, once, twice = counted.agg(F.coalesce(F.sum("n"), F.lit(0)), *[F.count(F.when(c, 1)) for c in (F.col("n") > 0, F.col("n") == 1, F.col("n") == 2)]).first()
     total, kinds = n_words + n_end, kinds + (n_end > 0)
     discount = once / (once + 2.0 * twice) if once else 0.5
-    top = counted.where("n > 0").orderBy(F.desc("n"), "hash").limit(min(symbols + math.isqrt(int(total * symbol_growth**2)), MASK - FIRST_TOKEN)).toArrow()
+    if symbols is None:
+        top = counted.where(F.col("n") >= max(min_count, 1))
+        most = top.count()
+    else:
+        top = counted.where("n > 0").orderBy(F.desc("n"), "hash")
+        most = symbols + math.isqrt(int(total * symbol_growth**2))
+    if most > MASK - FIRST_TOKEN:
+        raise ValueError(f"{most} tokens would have symbols of their own, more than {MASK - FIRST_TOKEN}: set min_count to more than {min_count}")
+    top = (top if symbols is None else top.limit(most)).toArrow()
     top_n = top.column("n").to_numpy()
     known = Symbols(top.column("hash").to_numpy())
     share = lambda n: (n - discount) / max(total, 1) if n else 1e-12
     unknown = discount * kinds / total if total else 1.0
     root = np.array([0.0, 0.0, 0.0, share(n_end)] + [share(n) for n in top_n])
     root[OTHER] = max(1.0 - root.sum(), unknown, 1e-12)
-    root_table = spark.createDataFrame([(k, float(p)) for k, p in enumerate(root) if p > 0], "symbol long, p double")
-    tree = grow_tree(frequent_counts(texts, known, depth, min_count), root_table, depth, min_count, divergence)
+    # a block's tokens, marked by symbol -1
+    tokens = by_block.select("block", "hash").join(counted, "hash").select("block", F.col("hash").alias("key"), F.lit(-1).alias("symbol"), "n", F.lit(0).cast("long").alias("kinds"))
+    tokens = materialize(tokens, "lm-block-tokens", compression="zstd")
+    discard(by_block)
+    discard(counted)
+    there = np.flatnonzero(root > 0)
+    root_table = spark.createDataFrame(pa.table({"symbol": there, "p": root[there]}))
+    flows = materialize(_flows(texts, known), "lm-flows", compression="zstd")
+    tree = grow_tree(frequent_counts(flows, known.bits, depth, min_count), root_table, depth, min_count, divergence)
     table = tree_head(tree, HEAD_ROWS)
     first = [table.column("context").to_numpy().view(np.uint64)] + [table.column(c).to_numpy() for c in ("symbol", "n", "kinds")]
-    wanted = _wanted(texts, known, depth, context_filter(tree.where("symbol = 0")), SuffixTree(*first, root))
+    wanted = _wanted(flows, known.bits, depth, context_filter(tree.where("symbol = 0")), SuffixTree(*first, root))
     answers = wanted.join(tree, ["context", "symbol"]).select("block", F.col("context").alias("key"), "symbol", "n", "kinds")
     answers = materialize(answers, "lm-answers", compression="zstd")
+    discard(flows)
+    discard(tree)
 
     def look_up(texts_of_block: pa.Table, facts: pa.Table) -> pa.Table:
         keys, kind = facts.column("key").to_numpy().view(np.uint64), facts.column("symbol").to_numpy()
@@ -410,8 +466,7 @@ def score_documents(
                 }))
         return pa.Table.from_batches(out) if out else _EMPTY
 
-    # a block's tokens, marked by symbol -1, and what the tree holds of its contexts
-    tokens = by_block.select("block", "hash").join(counted, "hash").select("block", F.col("hash").alias("key"), F.lit(-1).alias("symbol"), "n", F.lit(0).cast("long").alias("kinds"))
+    # a block's tokens, and what the tree holds of its contexts
     found = texts.groupBy("block").cogroup(tokens.unionByName(answers).groupBy("block")).applyInArrow(look_up, SCHEMA)
     norm = float(np.log10(total + kinds + 1.0))
     return found.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(int(total)).cast("long").alias("train_tokens"), (F.col("base_log") - F.col("n_tokens") * norm).alias("base_score"), "score")

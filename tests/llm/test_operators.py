@@ -239,6 +239,18 @@ def test_lm_tree_by_brute_force(spark, documents, texts, head, monkeypatch):
         assert r.score == pytest.approx(own)
 
 
+def test_lm_every_frequent_token_has_a_symbol(spark):
+    """Words alike but for their letters get one score, however many there are: none shares a symbol with others."""
+    from roistack.llm.lm_score import score_documents
+
+    pairs = [(100 * k + i, f"left{k} right{k}") for k in range(700) for i in range(5)]
+    rows = score_documents(spark.createDataFrame(pairs, "doc_id long, text string"), F.col("doc_id") % 100 == 4, min_count=3, divergence=0.1).collect()
+    scores = [r.score for r in rows if r.held_out]
+    assert len(scores) == 700 and max(scores) - min(scores) < 1e-6
+    with pytest.raises(ValueError, match="min_count"):
+        score_documents(spark.createDataFrame(pairs, "doc_id long, text string"), F.lit(False), symbols=1 << 21).collect()
+
+
 def test_lm_probabilities_sum_to_one():
     from roistack.llm.lm_score import BITS, END, SuffixTree, Symbols
 

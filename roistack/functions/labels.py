@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 #: Token names and the patterns that all values of a token column must match.
 TOKEN_PATTERNS = {"filename": r"\.lif$", "roi": r"\d{4}-\d{4}-\d{4}$", "pos": r"^[Pp]osition\d+$"}
 #: Fixed value: what stands between the tokens of a label.
-SEPARATORS = r"(/)|(\s+)|(:)"
+SEPARATORS = r"[/:]|\s+"
 #: The qualitative palettes of ColorBrewer, by name.
 PALETTES = {
     "Accent": ["#7FC97F", "#BEAED4", "#FDC086", "#FFFF99", "#386CB0", "#F0027F", "#BF5B17", "#666666"],
@@ -71,24 +71,33 @@ def name_by_content(df: DataFrame, columns: list[str], patterns: dict[str, str]
     """
     checks = [F.bool_and(F.col(c).rlike(p)).alias(f"{c}|{n}") for c in columns for n, p in patterns.items()]
     row = df.agg(*checks).first() if checks else {}
+    return _names({name: [c for c in columns if row[f"{c}|{name}"]] for name in patterns})
+
+
+def _names(hits: dict[str, list[str]]) -> dict[str, str]:
+    """New names of columns, from the columns that match each name's pattern."""
     out: dict[str, str] = {}
-    hits = {name: [c for c in columns if row[f"{c}|{name}"]] for name in patterns}
     for name, own in hits.items():
         out.update({c: name if k == 0 else f"{name}_{k}" for k, c in enumerate(own)})
     taken = [c for own in hits.values() for c in own]
     for what, found in (("columns that match several patterns", sorted({c for c in taken if taken.count(c) > 1})), ("patterns that several columns match", [n for n, own in hits.items() if len(own) > 1])):
         if found:
-            warnings.warn(f"{what}: {', '.join(found)}", stacklevel=2)
+            warnings.warn(f"{what}: {', '.join(found)}", stacklevel=3)
     return out
 
 
 def parse_labels(df: DataFrame, label: str = "label", patterns: dict[str, str] = TOKEN_PATTERNS) -> DataFrame:
-    """``df`` with its labels' named tokens and slice number; tokens without a name are left out."""
-    width = df.agg(F.max(F.size(tokens(F.col(label))))).first()[0] or 0
-    parts = [f"V{k + 1}" for k in range(width)]
-    split = df.select(F.col(label), tokens(F.col(label)).alias("_t")).distinct()
-    wide = split.select(label, *[F.coalesce(F.get("_t", F.lit(k)), F.lit("")).alias(p) for k, p in enumerate(parts)])
-    named = name_by_content(wide, parts, patterns)
+    """``df`` with its labels' named tokens and slice number; tokens without a name are left out.
+
+    One look at the labels tells which patterns the tokens of each place match.  A label without a token at a place has an empty one there.
+    """
+    matched = lambda x: sum((F.when(x.rlike(p), 1 << k).otherwise(0) for k, p in enumerate(patterns.values())), F.lit(0))
+    places = df.select(F.posexplode_outer(F.transform(tokens(F.col(label)), matched)).alias("place", "mask"))
+    found = places.groupBy("place").agg(F.count("*").alias("n"), F.bit_and("mask").alias("mask"), F.first(matched(F.lit(""))).alias("empty")).collect()
+    labels = sum(r["n"] for r in found if not r["place"])
+    masks = {r["place"]: r["mask"] if r["n"] == labels else r["mask"] & r["empty"] for r in found if r["place"] is not None}
+    parts = [f"V{k + 1}" for k in range(len(masks))]
+    named = _names({name: [p for k, p in enumerate(parts) if masks[k] >> bit & 1] for bit, name in enumerate(patterns)})
     mine = tokens(F.col(label))
     found = {new: F.coalesce(F.get(mine, F.lit(parts.index(p))), F.lit("")) for p, new in named.items()}
     return df.withColumns({**found, "z": slice_number(F.col(label))})

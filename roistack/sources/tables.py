@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from ..functions.geometry import hilbert
 from ..functions.labels import clean_name, parse_labels
@@ -117,13 +118,17 @@ def read_polygons(spark: SparkSession, path: str, box: tuple[float, float, float
 
 
 def _is_row_number(df: DataFrame, column: str) -> bool:
-    """Whether a column holds 1, 2, ... in the order of the rows.  Only one that holds each of these numbers once is put in order."""
-    n = F.col(f"`{column}`").cast("double")
-    each = df.agg((F.count("*") == F.count(n)) & (F.min(n) == 1) & (F.max(n) == F.count("*")) & (F.count_distinct(n) == F.count("*")) & F.bool_and(n == F.floor(n))).first()[0]
-    if not each:
-        return False
-    placed = df.select(n.alias("_own"), F.col("_metadata.file_path").alias("_path"), F.monotonically_increasing_id().alias("_place"))
-    return numbered(placed, [], ["_path", "_place"], "_row").where("_own <> _row").isEmpty()
+    """Whether a column holds 1, 2, ... in the order of the rows of a table just read.
+
+    One look at it: in each piece of a file numbers go up with the rows' places, and a piece begins where those before it end.
+    """
+    placed = df.select(F.col(f"`{column}`").cast("double").alias("_own"), F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_block_start").alias("_start"), F.monotonically_increasing_id().alias("_place"))
+    ahead = F.col("_own") - F.col("_place")
+    pieces = placed.groupBy("_path", "_start").agg(F.count("*").alias("_rows"), F.count("_own").alias("_own_rows"), F.min("_own").alias("_first"), F.min(ahead).alias("_lo"), F.max(ahead).alias("_hi"))
+    before = F.coalesce(F.sum("_rows").over(Window.orderBy("_path", "_start").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    fine = (F.col("_own_rows") == F.col("_rows")) & (F.col("_first") == before + 1) & (F.col("_lo") == F.col("_hi"))
+    # a row for each piece of a file: few
+    return bool(pieces.select(F.coalesce(fine, F.lit(False)).alias("fine")).agg(F.bool_and("fine")).first()[0])
 
 
 def read_measurements(spark: SparkSession, path: str | list[str], parse: bool = True) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from roistack.functions import labels as L
 from roistack.operators import raster as R
 from roistack.operators.overlap import roi_polygons
-from roistack.sources.tables import append_outlines, read_measurements, read_outlines, write_outlines
+from roistack.sources.tables import _is_row_number, append_outlines, read_measurements, read_outlines, write_outlines
 from roistack.streaming.outlines import group_arriving, stream_outlines
 
 from .test_geometry import SQUARE, rois
@@ -94,3 +94,31 @@ def test_polygons_of_a_list(spark):
         assert [r.roi for r in roi_polygons(vertices, wanted, 3).collect()] == ["a"]
     with pytest.warns(UserWarning, match="no coordinates"), pytest.raises(ValueError, match="No ROI"):
         roi_polygons(vertices, wanted.where("roi = 'z'"))
+
+
+def test_parts_of_labels_in_one_look(spark):
+    """Labels of different widths: a token that some labels lack has no name, and no row is shuffled to find out."""
+    df = spark.createDataFrame([("a.lif/Position1 z:1",), ("b.lif/Position2 z:2/x",), ("b.lif/Position2 z:2/x",)], "label string")
+    seen = spark.sparkContext._jsc.sc().dagScheduler().nextJobId()
+    assert sorted(L.parse_labels(df).columns) == ["filename", "label", "pos", "z"]
+    assert spark.sparkContext._jsc.sc().dagScheduler().nextJobId() - seen <= 2
+    assert L.parse_labels(df.unionByName(df.limit(1).select(F.lit(None).cast("string").alias("label")))).columns == ["label", "z"]
+
+
+def test_row_number_over_files(spark, tmp_path):
+    """Row numbers that go on from file to file are found in one look."""
+    spark.range(1, 4001).repartitionByRange(5, "id").sortWithinPartitions("id").write.option("sep", "\t").option("header", True).csv(f"file://{tmp_path}/n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000b")
+    try:
+        table = spark.read.option("sep", "\t").option("header", True).csv(f"file://{tmp_path}/n")
+        assert _is_row_number(table, "id")
+        jobs = spark.sparkContext._jsc.sc().dagScheduler().nextJobId()
+        _is_row_number(table, "id")
+        assert spark.sparkContext._jsc.sc().dagScheduler().nextJobId() - jobs <= 3
+        # the same numbers, two of them changed about
+        swapped = F.when(F.col("id") == 7, 3500).when(F.col("id") == 3500, 7).otherwise(F.col("id"))
+        spark.range(1, 4001).repartitionByRange(5, "id").sortWithinPartitions("id").select(swapped.alias("id")).write.option("sep", "\t").option("header", True).csv(f"file://{tmp_path}/s")
+        assert not _is_row_number(spark.read.option("header", True).csv(f"file://{tmp_path}/s"), "id")
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)

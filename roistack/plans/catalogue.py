@@ -20,7 +20,7 @@ from ..operators.overlap import find_z_intersect, measured, roi_polygons, same_s
 from ..operators.shapes import add_ellipses, shape_table
 from ..sources import fixtures as X
 from ..sources import stacks
-from ..sources.tables import append_outlines, path_list, read_measurements, read_outlines, read_polygons, write_measurements, write_outlines, write_polygons
+from ..sources.tables import append_outlines, in_file_order, path_list, read_measurements, read_outlines, read_polygons, write_measurements, write_outlines, write_polygons
 from ..streaming.outlines import group_arriving, stream_outlines
 from . import oracle as O
 from .scratch import materialize, scratch_path
@@ -306,12 +306,12 @@ def outlines_white_space(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(O.matches("SELECT name, roi, z, i, x, y FROM a_e"))
 def outline_files(spark: SparkSession, sf: str) -> DataFrame:
-    """Two kinds of outlines written as text, one found again by its path; vertices are numbered in the order of the files."""
+    """Two kinds of outlines written as compressed text, one found again by its path; vertices are numbered in the order of the files."""
     paths = path_list(scratch_path(spark, "outline-files"), {"nuclei": "sample_nucleus_outline.txt", "nucleoli": "sample_nucleolus_outline.txt"})
     for kind, rows in (("nuclei", X.vertices(spark, sf)), ("nucleoli", X.nucleoli(spark, sf))):
-        write_outlines(rows.repartitionByRange("name", "ord").sortWithinPartitions("name", "ord").select("name", "roi", "z", "x", "y"), paths[kind])
-    found = read_outlines(spark, list(paths.values()), pattern="*.csv", regex=r"nucleolus_outline\.txt/")
-    order = Window.partitionBy("name", "roi").orderBy("path", "ord")
+        write_outlines(rows.repartitionByRange("name", "ord").sortWithinPartitions("name", "ord").select("name", "roi", "z", "x", "y"), paths[kind], compression="gzip")
+    found = in_file_order(read_outlines(spark, list(paths.values()), pattern="*.csv.gz", regex=r"nucleolus_outline\.txt/"))
+    order = Window.partitionBy("name", "roi").orderBy("ord")
     return found.select("name", "roi", "z", (F.row_number().over(order) - 1).cast("long").alias("i"), "x", "y")
 
 

@@ -63,9 +63,20 @@ def read_white_space(spark: SparkSession, path: str | list[str], pattern: str |
     return rows.select(*[F.when(value(k) != "NA", value(k)).alias(n) for k, n in enumerate(names)], "path", "_place")
 
 
-def write_outlines(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Vertices as tab separated text with a header."""
-    df.write.mode(mode).option("sep", "\t").option("header", True).csv(path)
+def write_outlines(df: DataFrame, path: str, mode: str = "errorifexists", compression: str = "none") -> None:
+    """Vertices as tab separated text with a header; ``compression``: a codec of the files, which their names then end with."""
+    df.write.mode(mode).option("sep", "\t").option("header", True).option("compression", compression).csv(path)
+
+
+def in_file_order(df: DataFrame) -> DataFrame:
+    """Rows that :func:`read_outlines` gave with ``ord``, the order of all rows by path and place, instead of a path in each."""
+    spark = df.sparkSession
+    files = spark.createDataFrame(list(enumerate(sorted(df.inputFiles()))), "_file int, _path string")
+    # file:/x and file:///x are one file
+    plain = lambda c: F.regexp_replace(c, "^([^/:]+):/+", "$1:/")
+    placed = df.join(F.broadcast(files), plain(df["path"]) == plain(files["_path"]), "left")
+    file = F.coalesce("_file", F.raise_error(F.concat(F.lit("no file of the table: "), "path")).cast("int"))
+    return placed.select(*[c for c in df.columns if c not in ("path", "ord")], F.struct(file.alias("file"), "ord").alias("ord"))
 
 
 def append_outlines(spark: SparkSession, df: DataFrame, path: str, transaction: str | None = None) -> Append:

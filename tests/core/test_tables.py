@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from roistack.functions import labels as L
 from roistack.operators import raster as R
 from roistack.operators.overlap import roi_polygons
-from roistack.sources.tables import _is_row_number, append_outlines, read_measurements, read_outlines, write_outlines
+from roistack.sources.tables import _is_row_number, append_outlines, in_file_order, read_measurements, read_outlines, write_outlines
 from roistack.streaming.outlines import group_arriving, stream_outlines
 
 from .test_geometry import SQUARE, rois
@@ -122,3 +122,12 @@ def test_row_number_over_files(spark, tmp_path):
         assert not _is_row_number(spark.read.option("header", True).csv(f"file://{tmp_path}/s"), "id")
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_file_order_of_compressed_outlines(spark, tmp_path):
+    """Rows of compressed files in the order of the files, without a path in each."""
+    df = rois(spark, [(f"r{k}", 1, SQUARE) for k in range(6)]).repartitionByRange(3, "ord").sortWithinPartitions("ord")
+    write_outlines(df.select("name", "roi", "z", "x", "y"), f"file://{tmp_path}/o", compression="gzip")
+    back = in_file_order(read_outlines(spark, f"file://{tmp_path}/o", pattern="*.csv.gz"))
+    assert "path" not in back.columns
+    assert [(r.roi, r.x, r.y) for r in back.orderBy("ord").collect()] == [(r.roi, r.x, r.y) for r in df.orderBy("ord").collect()]

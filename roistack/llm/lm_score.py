@@ -130,27 +130,26 @@ def places_of(flow: np.ndarray, depth: int) -> tuple[np.ndarray, Iterator[tuple[
 
 
 def _flows(documents: DataFrame, symbols: Symbols) -> DataFrame:
-    """block, held_out and the symbols (32-bit integers) of texts, a row for each piece of a block."""
+    """block, held_out and the symbols (32-bit integers) of each text: a row for a text, so that batches stay as small as those of texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = batch.column(0).to_numpy() * 2 + batch.column(1).to_numpy(zero_copy_only=False)
             data, offsets = text_bytes(batch.column(2))
-            for i, j in chunks(offsets, 2 << 20):
+            for i, j in chunks(offsets):
                 h, first = _tokens(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
-                flow = symbols.flow(h, first).astype(np.uint32)
-                own = np.repeat(keys[i:j], np.diff(first) + 2)
-                heads = np.unique(keys[i:j])
-                pieces = [flow[own == k].tobytes() for k in heads]
-                yield pa.RecordBatch.from_pydict({"block": heads >> 1, "held_out": (heads & 1) > 0, "flow": pa.array(pieces, pa.binary())})
+                ends = (4 * (first + 2 * np.arange(j - i + 1))).astype(np.int64)
+                flow = pa.LargeBinaryArray.from_buffers(pa.large_binary(), j - i, [None, pa.py_buffer(ends), pa.py_buffer(symbols.flow(h, first).astype(np.uint32))])
+                yield pa.RecordBatch.from_pydict({"block": batch.column(0).slice(i, j - i), "held_out": batch.column(1).slice(i, j - i), "flow": flow.cast(pa.binary())})
 
     return documents.select("block", "held_out", "text").mapInArrow(run, "block long, held_out boolean, flow binary")
 
 
-def _pieces(column: pa.Array) -> Iterator[np.ndarray]:
-    """The symbols of each row that :func:`_flows` gave."""
-    for piece in column:
-        yield np.frombuffer(piece.as_buffer(), np.uint32).astype(np.uint64)
+def _pieces(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Ranges of rows that :func:`_flows` gave, with their symbols and how many each row has."""
+    _, offsets, data = column.cast(pa.large_binary()).buffers()
+    offsets = np.frombuffer(offsets, np.int64, len(column) + 1, column.offset * 8)
+    for i, j in chunks(offsets):
+        yield i, j, np.frombuffer(data, np.uint32, (offsets[j] - offsets[i]) // 4, int(offsets[i])).astype(np.uint64), np.diff(offsets[i : j + 1]) // 4
 
 
 def _packed(context: np.ndarray, symbol: np.ndarray, bits: int) -> np.ndarray:
@@ -179,7 +178,7 @@ def _summed(context: np.ndarray, symbol: np.ndarray, n: np.ndarray | None, bits:
     return context[order[heads]], symbol[order[heads]], sums
 
 
-def _context_counts(flows: DataFrame, bits: int, depth: int, among: np.ndarray | None = None, within: np.ndarray | None = None, hold: int = 1 << 20) -> DataFrame:
+def _context_counts(flows: DataFrame, bits: int, depth: int, among: np.ndarray | None = None, within: np.ndarray | None = None, hold: int = 1 << 19) -> DataFrame:
     """context, symbol and n: how often each symbol (of ``bits``) follows each context that the bitmap ``among`` has in training texts.
 
     Without that bitmap: context and n only, how often each context stands in them.  ``within``: a bitmap of contexts of
@@ -194,7 +193,7 @@ def _context_counts(flows: DataFrame, bits: int, depth: int, among: np.ndarray |
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         for batch in batches:
-            for flow in _pieces(batch.column(0)):
+            for _, _, flow, _ in _pieces(batch.column(0)):
                 symbol, levels = places_of(flow, depth)
                 found = []
                 for k, (index, context) in enumerate(levels, 1):
@@ -364,18 +363,22 @@ def _wanted(flows: DataFrame, bits: int, depth: int, bitmap: np.ndarray, head: S
             yield pa.RecordBatch.from_pydict({"block": np.full(len(context[part]), block, np.int64), "context": context[part].view(np.int64), "symbol": follow[part].astype(np.int32)})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # what a block asked for so far: it goes out when another one comes, or when it is large
+        # what blocks asked for so far: a block goes out when a piece holds nothing of it, or when it is large
         held: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         for batch in batches:
-            for b, flow in zip(batch.column(0).to_pylist(), _pieces(batch.column(1)), strict=True):
-                symbol, levels = places_of(flow, depth)
-                found = [held[b]] if b in held else []
-                for at, context in levels:
-                    asked = _in_bitmap(bitmap, context)
-                    found.append((context[asked], symbol[at[asked]]))
-                held[b] = _summed(*map(np.concatenate, zip(*found, strict=True)), None, bits)[:2]
-                for k in [k for k, (context, _) in held.items() if k != b or len(context) > 1 << 20]:
-                    yield from rows_of(k, *held.pop(k))
+            blocks = batch.column(0).to_numpy()
+            for i, j, flows_of, sizes in _pieces(batch.column(1)):
+                of_block = np.repeat(blocks[i:j], sizes)
+                here = np.unique(blocks[i:j]).tolist()
+                for b in here:
+                    symbol, levels = places_of(flows_of[of_block == b], depth)
+                    found = [held[b]] if b in held else []
+                    for at, context in levels:
+                        asked = _in_bitmap(bitmap, context)
+                        found.append((context[asked], symbol[at[asked]]))
+                    held[b] = _summed(*map(np.concatenate, zip(*found, strict=True)), None, bits)[:2]
+                for b in [b for b, (context, _) in held.items() if b not in here or len(context) > 1 << 19]:
+                    yield from rows_of(b, *held.pop(b))
         for b, rows in held.items():
             yield from rows_of(b, *rows)
 

@@ -326,13 +326,19 @@ def measurement_file(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(O.features("v", X.VERTICES, FEATURE, include=False))
 def streamed_features(spark: SparkSession, sf: str) -> DataFrame:
-    """Outline files that arrive in a folder, a position in each, grouped by a stream."""
+    """Outline files that arrive in a folder, half of them at a time, a position in any number of them, grouped by a stream."""
     path = scratch_path(spark, "arriving")
-    rows = X.vertices(spark, sf).repartition("name").sortWithinPartitions("name", "ord")
+    # ranges of a position's rows, so that no task sorts or writes a whole position
+    rows = X.vertices(spark, sf).repartitionByRange("name", "ord").sortWithinPartitions("name", "ord")
     write_outlines(rows.select("name", "roi", "z", "x", "y"), f"{path}/in")
-    arriving = stream_outlines(spark, f"{path}/in", max_files=2)
-    group_arriving(arriving, lambda features, number: _listed(features).write.mode("overwrite").parquet(f"{path}/out/batch={number}"), f"{path}/state").awaitTermination()
-    return spark.read.parquet(f"{path}/out").select("name", "roi", "z", "area", "feature_id")
+    files = len(spark.read.text(f"{path}/in").inputFiles())
+    arriving = stream_outlines(spark, f"{path}/in", max_files=max(1, (files + 1) // 2))
+
+    def replace(features: DataFrame, number: int) -> None:
+        _listed(features).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("name").parquet(f"{path}/out")
+
+    group_arriving(arriving, replace, f"{path}/state", keep=True).awaitTermination()
+    return spark.read.schema("roi string, z int, area double, feature_id string, name string").parquet(f"{path}/out").select("name", "roi", "z", "area", "feature_id")
 
 
 @query(O.polygons("SELECT name, roi, z, round(area, 6) AS area FROM p WHERE xmax >= 200 AND xmin <= 320 AND ymax >= 30 AND ymin <= 90"))

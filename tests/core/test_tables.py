@@ -1,5 +1,7 @@
 """Readers, labels, palettes, raster operators, streams."""
 
+import shutil
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -60,6 +62,23 @@ def test_stream(spark, tmp_path):
     assert [r.feature_id for r in seen] == ["feature_1"]
 
 
+def test_stream_of_positions_in_several_files(spark, tmp_path):
+    """A position, and a ROI, may be spread over files and batches; numbers follow the files' names, not their arrival."""
+    rows = rois(spark, [(f"{t}{z}", z, [(x + d, y) for x, y in SQUARE]) for t, d in (("r", 0), ("s", 50)) for z in range(1, 7)]).drop("ord").collect()
+    cuts = [0, 5, 23, 26, len(rows)]
+    for k in (3, 1, 0, 2):
+        part = spark.createDataFrame(rows[cuts[k] : cuts[k + 1]], "name string, roi string, z int, x double, y double").coalesce(1)
+        write_outlines(part, f"file://{tmp_path}/part")
+        (tmp_path / "in").mkdir(exist_ok=True)
+        next((tmp_path / "part").glob("part-*.csv")).rename(tmp_path / "in" / f"{k}.csv")
+        shutil.rmtree(tmp_path / "part")
+    seen = {}
+    arriving = stream_outlines(spark, f"file://{tmp_path}/in", max_files=1)
+    group_arriving(arriving, lambda df, n: seen.update({n: {(r.roi, r.feature_id) for r in df.collect()}}), f"file://{tmp_path}/state", keep=True).awaitTermination(240)
+    assert len(seen) == 4
+    assert seen[3] == {(f"{t}{z}", f"feature_{n}") for n, t in ((1, "r"), (2, "s")) for z in range(1, 7)}
+
+
 def grid(spark, picture):
     rows = [("im", 1, 1, y, x, float(c != ".")) for y, line in enumerate(picture) for x, c in enumerate(line)]
     return spark.createDataFrame(rows, "name string, ch int, z int, y int, x int, v double").withColumn("on", F.col("v") > 0)

@@ -597,3 +597,33 @@ def test_line_dedup_compares_all_pairs_of_a_crowd(spark):
     signed = [f - (1 << 64) if f >> 63 else f for f in flips]
     several = spark.createDataFrame([(i, line_dedup.FIRST_RUN + 5, f, 80, i, 40) for i, f in enumerate(signed)], "node long, key long, fingerprint long, length int, component long, in_list long")
     assert line_dedup._between(several, 0.8).count() == 40 * 39 // 2
+
+
+def test_line_dedup_counts_bound_the_distance(spark):
+    """Counts of characters never rule out a pair within the distance, and rule out most others where they meet."""
+    from roistack.llm import line_dedup
+
+    rng = np.random.default_rng(5)
+    letters = np.array(list("etaoinshrdluc wäß.7"))
+    bases = ["".join(rng.choice(letters, n)) for n in (8, 30, 60, 90, 90, 400, 1000) for _ in range(8)] + ["e" * 300, "e" * 290, "x" * 300, "et" * 400]
+    edited = ["".join(c if rng.random() > rate else rng.choice(["", "e", "qz", "7"]) for c in x) for x in bases for rate in (0.05, 0.15, 0.25)]
+    lines = spark.createDataFrame([(i, x) for i, x in enumerate(bases + edited)], "node long, line string")
+    fixed = {"key": F.lit(line_dedup.FIRST_RUN + 5), "fingerprint": F.lit(0).cast("long"), "length": F.length("line"), "component": F.col("node")}
+    counted = dict(zip(line_dedup.COUNTS, line_dedup.character_counts(F.col("line")), strict=True))
+    plain, several = lines.withColumns(fixed), lines.withColumns({**fixed, **counted})
+    every, left = ({(r.a, r.b) for r in line_dedup._between(x, 0.8).collect()} for x in (plain, several))
+    texts = lines.select(F.col("node").alias("a"), F.col("line").alias("l")).join(lines.select(F.col("node").alias("b"), F.col("line").alias("m")), F.col("a") > F.col("b"))
+    allowed = F.floor(F.greatest(F.length("l"), F.length("m")) * 0.2 + 1e-9)
+    similar = {(r.a, r.b) for r in texts.where(F.levenshtein("l", "m") <= allowed).collect()}
+    assert len(similar) > 100 and similar <= left < every
+    assert len(left) < len(every) / 2
+
+
+def test_line_dedup_compares_every_slice(spark):
+    """Pairs are compared in slices of about a given number, and none is left out or compared twice."""
+    from roistack.llm import line_dedup
+
+    texts = spark.createDataFrame([(i, f"a line of some words {i}") for i in range(40)], "node long, line string")
+    pairs = texts.select(F.col("node").alias("a")).crossJoin(texts.select(F.col("node").alias("b"))).where("a > b").localCheckpoint()
+    found = [tuple(r) for r in line_dedup._similar_in_slices(pairs, texts, 0.8, 200).collect()]
+    assert len(found) == len(set(found)) == 40 * 39 // 2

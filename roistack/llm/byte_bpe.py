@@ -18,9 +18,9 @@ give repeated rows; only ``doc_id`` and ``text`` are read.
 from __future__ import annotations
 
 import base64
-import functools
 import heapq
 from collections.abc import Iterator
+from contextlib import AbstractContextManager
 
 import duckdb
 import numpy as np
@@ -29,7 +29,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_table, chunks, text_bytes
+from .common import byte_table, chunks, kept, text_bytes
 from .piecewise import PieceEncoder, binary_rows, row_bytes
 
 CONTRACT = """
@@ -165,10 +165,9 @@ class BytePairEncoder(PieceEncoder):
         return out
 
 
-@functools.lru_cache(1)
-def encoder(ranks: str, pattern: str) -> BytePairEncoder:
-    """One for each Python worker, kept from task to task."""
-    return BytePairEncoder(ranks, pattern)
+def encoder(ranks: str, pattern: str) -> AbstractContextManager[BytePairEncoder]:
+    """One for each Python worker, kept from task to task until other work begins there."""
+    return kept(("byte_bpe", ranks, pattern), lambda: BytePairEncoder(ranks, pattern))
 
 
 def _texts(documents: DataFrame) -> DataFrame:
@@ -176,9 +175,9 @@ def _texts(documents: DataFrame) -> DataFrame:
 
 
 def _encoded(batch: pa.RecordBatch, enc: BytePairEncoder) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
-    """Pieces of about 4 MB of text: the rows' doc_id, all their ids and the number of each row's."""
+    """Pieces of about 1 MB of text: the rows' doc_id, all their ids and the number of each row's."""
     data, offsets = text_bytes(batch.column(1))
-    for i, j in chunks(offsets, 4 << 20):
+    for i, j in chunks(offsets):
         yield batch.column(0).slice(i, j - i), *enc.encode(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
 
 
@@ -186,10 +185,10 @@ def encode_texts(documents: DataFrame, ranks: str, pattern: str) -> DataFrame:
     """doc_id, n_tokens and ids (little-endian unsigned 32 bits) of each row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(ranks, pattern)
-        for batch in batches:
-            for doc_id, ids, sizes in _encoded(batch, enc):
-                yield pa.RecordBatch.from_pydict({"doc_id": doc_id, "n_tokens": sizes, "ids": binary_rows(ids.astype("<u4").view(np.uint8), 4 * sizes)})
+        with encoder(ranks, pattern) as enc:
+            for batch in batches:
+                for doc_id, ids, sizes in _encoded(batch, enc):
+                    yield pa.RecordBatch.from_pydict({"doc_id": doc_id, "n_tokens": sizes, "ids": binary_rows(ids.astype("<u4").view(np.uint8), 4 * sizes)})
 
     return _texts(documents).mapInArrow(run, "doc_id long, n_tokens long, ids binary")
 
@@ -198,12 +197,12 @@ def decode_ids(encoded: DataFrame, ranks: str, pattern: str) -> DataFrame:
     """doc_id, n_tokens, ids, and ``decoded``, the bytes that the ids stand for."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(ranks, pattern)
-        for batch in batches:
-            data, offsets = row_bytes(batch.column(2))
-            for i, j in chunks(offsets):
-                decoded = enc.decode(data[offsets[i] : offsets[j]].view("<u4"), batch.column(1).slice(i, j - i).to_numpy())
-                yield pa.RecordBatch.from_pydict({n: batch.column(k).slice(i, j - i) for k, n in enumerate(("doc_id", "n_tokens", "ids"))} | {"decoded": pa.array(decoded, pa.binary())})
+        with encoder(ranks, pattern) as enc:
+            for batch in batches:
+                data, offsets = row_bytes(batch.column(2))
+                for i, j in chunks(offsets):
+                    decoded = enc.decode(data[offsets[i] : offsets[j]].view("<u4"), batch.column(1).slice(i, j - i).to_numpy())
+                    yield pa.RecordBatch.from_pydict({n: batch.column(k).slice(i, j - i) for k, n in enumerate(("doc_id", "n_tokens", "ids"))} | {"decoded": pa.array(decoded, pa.binary())})
 
     return encoded.select("doc_id", "n_tokens", "ids").mapInArrow(run, "doc_id long, n_tokens long, ids binary, decoded binary")
 
@@ -212,11 +211,11 @@ def round_trip(documents: DataFrame, ranks: str, pattern: str) -> DataFrame:
     """Encode every text and decode the ids again, both in the same task's DuckDB."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(ranks, pattern)
-        for batch in batches:
-            for doc_id, ids, sizes in _encoded(batch, enc):
-                decoded = pa.array(enc.decode(ids, sizes), pa.binary())
-                yield pa.RecordBatch.from_pydict({"doc_id": doc_id, "n_tokens": sizes, "ids": binary_rows(ids.astype("<u4").view(np.uint8), 4 * sizes), "decoded": decoded})
+        with encoder(ranks, pattern) as enc:
+            for batch in batches:
+                for doc_id, ids, sizes in _encoded(batch, enc):
+                    decoded = pa.array(enc.decode(ids, sizes), pa.binary())
+                    yield pa.RecordBatch.from_pydict({"doc_id": doc_id, "n_tokens": sizes, "ids": binary_rows(ids.astype("<u4").view(np.uint8), 4 * sizes), "decoded": decoded})
 
     return _texts(documents).mapInArrow(run, "doc_id long, n_tokens long, ids binary, decoded binary")
 

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ALNUM, chunks, fold_case, materialize, shingle_hashes, text_bytes, word_hashes, words
+from .common import ALNUM, chunks, fold_case, let_go, materialize, shingle_hashes, text_bytes, word_hashes, words
 
 STRIDE = 4
 #: Shingles of a window, where the item isn't shorter.
@@ -222,6 +222,7 @@ def find_leaks(documents: DataFrame, benchmark: DataFrame, threshold: float = 0.
         ids, source = own.column("item_id").to_pylist(), own.column("text").to_pylist()
 
         def run(batches: Iterator[pa.RecordBatch], ids=ids, source=source, df=df) -> Iterator[pa.RecordBatch]:
+            let_go()
             items = Items(source, threshold, radius, df=df, total=total)
             for batch in batches:
                 data, offsets = text_bytes(batch.column(1))

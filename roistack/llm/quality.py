@@ -32,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import NON_SPACE, byte_table, chunks, fold_case, materialize, text_bytes, word_hashes, words
+from .common import NON_SPACE, byte_table, chunks, fold_case, let_go, materialize, text_bytes, word_hashes, words
 
 WORD_BUCKETS, SOURCE_BUCKETS, LANG_BUCKETS = 256, 64, 16
 #: Groups of bytes whose share of a text tells its shape.
@@ -157,6 +157,7 @@ def _features(documents: DataFrame) -> DataFrame:
     """doc_id and both views' features, as bytes, of each row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in batches:
             for i in range(0, batch.num_rows, 500):
                 part = batch.slice(i, 500)
@@ -252,6 +253,7 @@ def score_quality(documents: DataFrame, model: QualityModel) -> DataFrame:
     """doc_id, score, text_score, page_score and keep (score at least the model's threshold) of each row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in batches:
             for i in range(0, batch.num_rows, 500):
                 part = batch.slice(i, 500)
@@ -266,6 +268,7 @@ def keep_good(documents: DataFrame, model: QualityModel) -> DataFrame:
     names = documents.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         at = [names.index(c) for c in TEXT_COLUMNS]
         for batch in batches:
             for i in range(0, batch.num_rows, 500):

@@ -19,10 +19,10 @@ per id and one total per file.  A null or empty text has only the end id; equal
 
 from __future__ import annotations
 
-import functools
 import os
 import zlib
 from collections.abc import Iterator
+from contextlib import AbstractContextManager
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import NON_SPACE, byte_table, chunks, fold_case, materialize, scratch_path, text_bytes, words
+from .common import NON_SPACE, byte_table, chunks, fold_case, kept, materialize, scratch_path, text_bytes, words
 from .piecewise import PieceEncoder, binary_rows, row_bytes
 
 MAGIC = b"HUF1"
@@ -97,10 +97,9 @@ class WordEncoder(PieceEncoder):
         return [[t.id for t in model.tokenize(w)] if p else next(others).ids for w, p in zip(pieces, plain, strict=True)]
 
 
-@functools.lru_cache(1)
-def encoder(path: str) -> WordEncoder:
-    """One for each Python worker, kept from task to task."""
-    return WordEncoder(path)
+def encoder(path: str) -> AbstractContextManager[WordEncoder]:
+    """One for each Python worker, kept from task to task until other work begins there."""
+    return kept(("token_output", path), lambda: WordEncoder(path))
 
 
 # --- the code ------------------------------------------------------------------
@@ -229,12 +228,12 @@ def encode_documents(documents: DataFrame, tokenizer: str, end_id: int = 1) -> D
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(tokenizer)
-        for batch in batches:
-            data, offsets = text_bytes(batch.column(1))
-            for i, j in chunks(offsets, 4 << 20):
-                ids, sizes = enc.encode(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], end_id)
-                yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0).slice(i, j - i), "n_tokens": sizes, "ids": binary_rows(ids.astype("<u2" if ids.max() < 1 << 16 else "<u4").view(np.uint8), sizes * (2 if ids.max() < 1 << 16 else 4))})
+        with encoder(tokenizer) as enc:
+            for batch in batches:
+                data, offsets = text_bytes(batch.column(1))
+                for i, j in chunks(offsets, 4 << 20):
+                    ids, sizes = enc.encode(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], end_id)
+                    yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0).slice(i, j - i), "n_tokens": sizes, "ids": binary_rows(ids.astype("<u2" if ids.max() < 1 << 16 else "<u4").view(np.uint8), sizes * (2 if ids.max() < 1 << 16 else 4))})
 
     return texts.mapInArrow(run, "doc_id long, n_tokens long, ids binary")
 

@@ -3,6 +3,8 @@
 import hashlib
 import math
 import re
+import time
+import weakref
 import zlib
 from collections import Counter, defaultdict
 
@@ -627,3 +629,23 @@ def test_line_dedup_compares_every_slice(spark):
     pairs = texts.select(F.col("node").alias("a")).crossJoin(texts.select(F.col("node").alias("b"))).where("a > b").localCheckpoint()
     found = [tuple(r) for r in line_dedup._similar_in_slices(pairs, texts, 0.8, 200).collect()]
     assert len(found) == len(set(found)) == 40 * 39 // 2
+
+
+def test_workers_let_go_of_what_they_kept(monkeypatch):
+    from roistack.llm import common
+
+    class Large:
+        pass
+
+    def alive(key):
+        with common.kept((key,), Large) as own:
+            return weakref.ref(own)
+
+    first = alive("a")
+    assert alive("a") is first  # kept from task to task
+    alive("b")
+    assert first() is None  # other work began
+    monkeypatch.setattr(common, "IDLE_S", 0.05)
+    idle = alive("c")
+    time.sleep(1)
+    assert idle() is None and not common._kept

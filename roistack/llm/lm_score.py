@@ -21,7 +21,7 @@ of documents, and written once as symbols.  A context is counted only where the
 shorter ones within it are frequent, since it is no more frequent than they are.
 Shuffled are the hashes of a block's distinct tokens, counts of contexts, the distinct retained
 contexts and next symbols of a block to be looked up in the tree, and each
-block's text to meet what was found for it.  Sent to the tasks are the alphabet
+block's text to meet what was found for it; the last two for a third of the blocks at a time.  Sent to the tasks are the alphabet
 and, of fixed sizes and only to save look-ups, a bitmap of the retained contexts
 and the most frequent rows of the tree.
 
@@ -34,6 +34,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -49,6 +50,8 @@ MASK = (1 << BITS) - 1
 START, OTHER, END, FIRST_TOKEN = 1, 2, 3, 4
 #: Bits of the bitmap of retained contexts, as a power of two.
 FILTER_BITS = 25
+#: Slices of blocks that look their contexts up and are scored one after the other: on disk at once is one slice's part of what is asked and found.
+BLOCK_SLICES = 3
 #: Rows of the tree, the most frequent ones, that are sent to the tasks at most.
 HEAD_ROWS = 1 << 18
 SCHEMA = "doc_id long, held_out boolean, n_tokens long, n_known long, base_log double, score double"
@@ -434,11 +437,7 @@ def score_documents(
     tree = grow_tree(frequent_counts(flows, known.bits, depth, min_count), root_table, depth, min_count, divergence)
     table = tree_head(tree, HEAD_ROWS)
     first = [table.column("context").to_numpy().view(np.uint64)] + [table.column(c).to_numpy() for c in ("symbol", "n", "kinds")]
-    wanted = _wanted(flows, known.bits, depth, context_filter(tree.where("symbol = 0")), SuffixTree(*first, root))
-    answers = wanted.join(tree, ["context", "symbol"]).select("block", F.col("context").alias("key"), "symbol", "n", "kinds")
-    answers = materialize(answers, "lm-answers", compression="zstd")
-    discard(flows)
-    discard(tree)
+    bitmap, head = context_filter(tree.where("symbol = 0")), SuffixTree(*first, root)
 
     def look_up(texts_of_block: pa.Table, facts: pa.Table) -> pa.Table:
         keys, kind = facts.column("key").to_numpy().view(np.uint64), facts.column("symbol").to_numpy()
@@ -469,8 +468,19 @@ def score_documents(
                 }))
         return pa.Table.from_batches(out) if out else _EMPTY
 
-    # a block's tokens, and what the tree holds of its contexts
-    found = texts.groupBy("block").cogroup(tokens.unionByName(answers).groupBy("block")).applyInArrow(look_up, SCHEMA)
+    parts = []
+    for k in range(BLOCK_SLICES):
+        own = F.pmod(F.col("block"), F.lit(BLOCK_SLICES)) == k
+        wanted = _wanted(flows.where(own), known.bits, depth, bitmap, head)
+        answers = wanted.join(tree, ["context", "symbol"]).select("block", F.col("context").alias("key"), "symbol", "n", "kinds")
+        answers = materialize(answers, "lm-answers", compression="zstd")
+        # a block's tokens, and what the tree holds of its contexts
+        scored = texts.where(own).groupBy("block").cogroup(tokens.where(own).unionByName(answers).groupBy("block")).applyInArrow(look_up, SCHEMA)
+        parts.append(materialize(scored, "lm-scored", compression="zstd"))
+        discard(answers)
+    for table in (flows, tree, tokens):
+        discard(table)
+    found = reduce(DataFrame.union, parts)
     norm = float(np.log10(total + kinds + 1.0))
     return found.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(int(total)).cast("long").alias("train_tokens"), (F.col("base_log") - F.col("n_tokens") * norm).alias("base_score"), "score")
 

@@ -649,3 +649,26 @@ def test_workers_let_go_of_what_they_kept(monkeypatch):
     idle = alive("c")
     time.sleep(1)
     assert idle() is None and not common._kept
+
+
+def test_lm_blocks_are_scored_in_slices(spark, documents, monkeypatch):
+    """What is asked of the tree and found is on disk for a slice of the blocks at a time; slices change no row."""
+    from roistack.llm import lm_score
+
+    held_out, blocks, write = F.col("doc_id") % 7 == 2, [], lm_score.materialize
+
+    def seen(df, name, *args, **more):
+        out = write(df, name, *args, **more)
+        if name == "lm-answers":
+            blocks.append({r.block for r in out.select("block").distinct().collect()})
+        return out
+
+    monkeypatch.setattr(lm_score, "materialize", seen)
+    monkeypatch.setattr(lm_score, "HEAD_ROWS", 0)
+    some = documents.limit(200).cache()
+    score = lambda: sorted(map(tuple, lm_score.score_documents(some, held_out, min_count=20, block_docs=16).collect()))
+    rows = score()
+    assert len(blocks) > 1 and sum(map(len, blocks)) == len(set().union(*blocks)) > 1
+    monkeypatch.setattr(lm_score, "BLOCK_SLICES", 1)
+    one = score()
+    assert [r[:5] for r in one] == [r[:5] for r in rows] and [r[5:] for r in one] == [pytest.approx(r[5:]) for r in rows]

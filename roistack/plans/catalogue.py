@@ -279,8 +279,11 @@ def match_features(spark: SparkSession, sf: str) -> DataFrame:
 @query(O.matches("SELECT a.name, a.roi, k.f_id_2 AS nucleus_id FROM a_features a LEFT JOIN (SELECT name, f_id_1, min(f_id_2) AS f_id_2 FROM s WHERE ratio >= 0.75 GROUP BY ALL) k ON k.name = a.name AND k.f_id_1 = a.feature_id"))
 def nucleus_map(spark: SparkSession, sf: str) -> DataFrame:
     nucleoli, nuclei = _both(spark, sf)
+    # both the match and the map look at the nucleoli: they are grouped once
+    nucleoli = materialize(nucleoli, "nucleoli")
     lookup = first_match(find_overlap_features(nucleoli, nuclei, "^feature_", "^feature_", 0.5, 0.75), ["name", "feature_id_1"], "feature_id_2", ["feature_id_2"])
-    return nucleoli.join(lookup.withColumnsRenamed({"feature_id_1": "feature_id", "feature_id_2": "nucleus_id"}), ["name", "feature_id"], "left").select("name", "roi", "nucleus_id")
+    lookup = lookup.withColumnsRenamed({"feature_id_1": "feature_id", "feature_id_2": "nucleus_id"})
+    return nucleoli.select("name", "roi", "feature_id").join(lookup, ["name", "feature_id"], "left").select("name", "roi", "nucleus_id")
 
 
 # --- tables --------------------------------------------------------------------------------

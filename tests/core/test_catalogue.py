@@ -58,3 +58,9 @@ def test_outlines_against_brute_force(spark):
     got = {(r["name"], r.region): (r.sides, round(abs(r.area)), r.xmin, r.xmax, r.ymin, r.ymax) for r in catalogue.pixel_outlines(spark, SF).collect()}
     assert len(got) == len(expected) and max(len(c) for c in regions.values()) > 10
     assert {k: (got[k], v) for k, v in expected.items() if got[k] != v} == {}
+
+
+def test_nucleus_map_groups_nucleoli_once(spark):
+    """What the map joins is the table of grouped nucleoli, not another grouping of them."""
+    files = catalogue.QUERIES["nucleus_map"](spark, SF).inputFiles()
+    assert any("/nucleoli-" in f for f in files) and not any("/nodes-" in f for f in files)
